@@ -56,19 +56,23 @@ def ordered_distinct(arr: Column) -> Column:
     return F.array_distinct(arr)
 
 
-def url_join(base: str, c: Column | str) -> Column:
+def url_join(base: str | Column, c: Column | str) -> Column:
     """resolve a link against a site root: absolute, ``//host``, ``/path`` or relative.
 
-    ``base`` is a scheme + host such as ``https://example.org``. Relative links resolve against
-    the root, which is what joining onto a bare host does.
+    ``base`` is a scheme + host such as ``https://example.org`` (text or a column). Relative
+    links resolve against the root, which is what joining onto a bare host does.
     """
     c = _c(c)
-    root = base.rstrip("/")
-    scheme = root.split("://", 1)[0] if "://" in root else "https"
+    if isinstance(base, Column):
+        root = F.regexp_replace(base, "/+$", "")
+        scheme = F.substring_index(root, "://", 1)
+    else:
+        root = F.lit(base.rstrip("/"))
+        scheme = F.lit(base.split("://", 1)[0] if "://" in base else "https")
     return (F.when(c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), c)
-             .when(c.startswith("//"), F.concat(F.lit(scheme + ":"), c))
-             .when(c.startswith("/"), F.concat(F.lit(root), c))
-             .otherwise(F.concat(F.lit(root + "/"), c)))
+             .when(c.startswith("//"), F.concat(scheme, F.lit(":"), c))
+             .when(c.startswith("/"), F.concat(root, c))
+             .otherwise(F.concat(root, F.lit("/"), c)))
 
 
 def empty_if_null(c: Column | str) -> Column:
