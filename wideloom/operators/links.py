@@ -40,8 +40,9 @@ def extract_links(df: DataFrame, html: str, *, keep: Sequence[str] = (),
     exts = list(extensions) if extensions else [None]
     per_ext = [F.regexp_extract_all(F.col(html), F.lit(href_pattern(e)), 1) for e in exts]
     found = F.flatten(F.array(*per_ext)) if len(per_ext) > 1 else per_ext[0]
-    out = df.select(*keep, F.posexplode(found).alias("pos", "href"))
-    return out.select(*keep, "pos", "href", url_join(base, F.col("href")).alias("url"))
+    base_col = base if isinstance(base, Column) else F.lit(base)
+    out = df.select(*keep, base_col.alias("_base"), F.posexplode(found).alias("pos", "href"))
+    return out.select(*keep, "pos", "href", url_join(F.col("_base"), F.col("href")).alias("url"))
 
 
 def extract_urls(df: DataFrame, text: Column | str, *, keep: Sequence[str] = (),

@@ -269,3 +269,5 @@ def q18(spark, sf_dir):
     return A.totals_by_fuzzy_columns(S.offence_records(spark, sf_dir),
                                      ("type", "offence", "category"),
                                      ("count", "total", "offences"))
+
+from . import registered_ops  # noqa: E402,F401  (registers the operator-level queries)
