@@ -68,16 +68,16 @@ class TypeDecision:
     rule: str          # S1b | N5 | none
 
 
-def with_row_order(df: DataFrame) -> DataFrame:
-    """Attach the ordering columns. For a file scan these are the file path, the split start and a
-    per-partition increasing id, which reproduces file order; otherwise the id alone."""
-    try:
+def with_row_order(df: DataFrame, *, from_files: bool = False) -> DataFrame:
+    """Attach the ordering columns. For a file scan (``from_files``) these are the file path, the
+    split start and a per-partition increasing id, which reproduces file order; otherwise the id
+    alone (partition order)."""
+    if from_files:
         return df.select("*", F.col("_metadata.file_path").alias("_src_file"),
                          F.col("_metadata.file_block_start").alias("_src_block"),
                          F.monotonically_increasing_id().alias("_src_row"))
-    except Exception:  # noqa: BLE001 - not a file source: no _metadata column
-        return df.select("*", F.lit("").alias("_src_file"), F.lit(0).cast("bigint").alias("_src_block"),
-                         F.monotonically_increasing_id().alias("_src_row"))
+    return df.select("*", F.lit("").alias("_src_file"), F.lit(0).cast("bigint").alias("_src_block"),
+                     F.monotonically_increasing_id().alias("_src_row"))
 
 
 def _order(df: DataFrame) -> list[str]:
@@ -199,10 +199,10 @@ def apply_types(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
                        else F.col(c) for c in df.columns])
 
 
-def sniff(df: DataFrame, *, csv: bool = False, infer_rows: int = INFER_ROWS,
-          sample: int = SAMPLE_VALUES, mode: str = "prefix",
+def sniff(df: DataFrame, *, csv: bool = False, numeric: bool = True,
+          infer_rows: int = INFER_ROWS, sample: int = SAMPLE_VALUES, mode: str = "prefix",
           keep_order: bool = False) -> tuple[DataFrame, list[TypeDecision]]:
-    """S1b (when ``csv``) then N5. ``mode='full'`` decides over all rows instead of prefixes
+    """S1b (when ``csv``) then N5 (when ``numeric``). ``mode='full'`` decides over all rows instead of prefixes
     (never loses late text; not the original's behaviour).
 
     Returns the typed frame and the decisions. Ordering columns are added if missing and dropped
@@ -219,7 +219,7 @@ def sniff(df: DataFrame, *, csv: bool = False, infer_rows: int = INFER_ROWS,
         s1b = decide_csv_types(prefix, text_cols)
         kinds.update({c: k for c, k in s1b.items() if k != "string"})
         decisions += [TypeDecision(c, k, "S1b") for c, k in s1b.items() if k != "string"]
-    still_text = [c for c in text_cols if c not in kinds]
+    still_text = [c for c in text_cols if c not in kinds] if numeric else []
     if prefix is None and still_text and mode != "full":
         prefix = file_prefix(df, infer_rows)
     if mode == "full":

@@ -69,7 +69,7 @@ def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: s
               .option("mode", "PERMISSIVE").option("escape", '"')
               .option("multiLine", multiline).option("enforceSchema", True)
               .csv(files))
-        frames.append(with_row_order(df))
+        frames.append(with_row_order(df, from_files=True))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -77,11 +77,13 @@ def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: s
 
 
 def parse_csv(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
-              multiline: bool = True, infer: str = "prefix",
+              multiline: bool = True, infer: str = "prefix", numeric: bool = False,
               keep_order: bool = False) -> tuple[DataFrame, list[TypeDecision]]:
-    """Header, encoding choice, ragged rows, then S1b + N5 typing."""
+    """Header, encoding choice, ragged rows, then S1b typing. The numeric sniff (N5) is part
+    of normalising (:func:`wideloom.plans.ingest.normalise`), as in the original order; pass
+    ``numeric=True`` to apply it here as well."""
     text = read_csv_text(spark, path, encoding=encoding, multiline=multiline)
-    return sniff(text, csv=True, mode=infer, keep_order=keep_order)
+    return sniff(text, csv=True, numeric=numeric, mode=infer, keep_order=keep_order)
 
 
 def is_excel(url: str) -> bool:
