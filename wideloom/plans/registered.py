@@ -175,16 +175,16 @@ FROM (SELECT c.* FROM cells c JOIN (SELECT DISTINCT majortext, minortext, boroug
                                     WHERE ym >= """ + _CURRENT_CUT + """) k USING (majortext, minortext, boroughname)
       WHERE c.ym >= """ + _CURRENT_CUT + """)""")
 def q19(spark, sf_dir):
-    return A.series_summary(A.full_series(S.crime_wide_historical(spark, sf_dir),
-                                          S.crime_wide_current(spark, sf_dir)))
+    counts = S.CrimeCounts(spark, sf_dir)
+    return A.series_summary(A.full_series(counts.historical(), counts.current()))
 
 
 @register("q20_full_series_monthly", "WITH" + _BASE + """
 SELECT CAST(strptime(ym, '%Y%m') AS DATE) AS month, CAST(SUM(qty) AS BIGINT) AS count
 FROM base GROUP BY ym""")
 def q20(spark, sf_dir):
-    return A.monthly_series(A.full_series(S.crime_wide_historical(spark, sf_dir),
-                                          S.crime_wide_current(spark, sf_dir)))
+    counts = S.CrimeCounts(spark, sf_dir)
+    return A.monthly_series(A.full_series(counts.historical(), counts.current()))
 
 
 @register("q21_distinct_crime_types", "WITH" + _DASH + """

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+
 # Months kept in the "current" file (the rest are "historical").
 CURRENT_MONTHS = 24
 
@@ -36,57 +38,57 @@ def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
 
 
-def ship_months(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Distinct ``YYYYMM`` ship months, sorted. One column is scanned and partially aggregated;
-    the result is bounded by the calendar (12 per year), so collecting it is safe."""
-    li = table(spark, sf_dir, "lineitem")
-    rows = li.select(F.date_format("l_shipdate", "yyyyMM").alias("m")).distinct().collect()
-    return sorted(r.m for r in rows if r.m is not None)
-
-
 def split_months(months: list[str], current: int = CURRENT_MONTHS) -> tuple[list[str], list[str]]:
     """(historical, current): the last ``current`` months are current."""
     return months[:-current] if current else months, months[-current:] if current else []
 
 
-def crime_long_counts(spark: SparkSession, sf_dir: str, months: list[str] | None = None) -> DataFrame:
-    """Per (major, minor, place, month) quantity totals: the long form before pivoting."""
+def crime_long_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (major, minor, place, month) quantity totals: the long form before pivoting (lazy)."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
-    if months:
-        lo = F.to_timestamp_ntz(F.lit(f"{months[0][:4]}-{months[0][4:]}-01 00:00:00"))
-        last = months[-1]
-        hi = F.add_months(F.to_date(F.lit(f"{last[:4]}-{last[4:]}-01")), 1)
-        li = li.filter((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < F.to_timestamp_ntz(hi)))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = (li.join(part, li.l_partkey == part.p_partkey)
                 .join(supp, li.l_suppkey == supp.s_suppkey)
                 .join(_nation(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")))
-    return joined.select(
-        F.col("p_type").alias("majortext"), F.col("p_name").alias("minortext"),
-        F.col("n_name").alias("boroughname"),
-        F.date_format("l_shipdate", "yyyyMM").alias("month"),
-        F.col("l_quantity").cast("bigint").alias("qty"))
+    return (joined.groupBy(F.col("p_type").alias("majortext"), F.col("p_name").alias("minortext"),
+                           F.col("n_name").alias("boroughname"),
+                           F.date_format("l_shipdate", "yyyyMM").alias("month"))
+                  .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("qty")))
 
 
-def crime_wide(spark: SparkSession, sf_dir: str, months: list[str] | None = None) -> DataFrame:
-    """Wide monthly table over ``months`` (default: every ship month in the data).
+class CrimeCounts:
+    """The aggregated long counts, computed once and checkpointed to the shared scratch folder.
 
-    ``pivot`` with an explicit value list avoids Spark's extra distinct job; the aggregation
-    shuffles on the three keys only (at most 25 x 6 x 64 groups), after a map-side partial sum.
+    Its size is bounded by keys x months (at most 25 x 6 x 64 keys here), whatever the size of
+    ``lineitem``, so every wide table (current, historical, all months) and the month list come
+    from this one small table: one pass over the fact table instead of one per use.
     """
-    months = months if months is not None else ship_months(spark, sf_dir)
-    long = crime_long_counts(spark, sf_dir, months)
-    return (long.groupBy("majortext", "minortext", "boroughname")
-                .pivot("month", months).agg(F.sum("qty")))
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        scratch_dir(spark)   # checkpoint() needs the shared folder registered
+        self.counts = crime_long_counts(spark, sf_dir).checkpoint(eager=True)
+        self.months = sorted(r.month for r in self.counts.select("month").distinct().collect()
+                             if r.month is not None)   # bounded by the calendar
+
+    def wide(self, months: list[str] | None = None) -> DataFrame:
+        """Wide table over ``months`` (default all): ``pivot`` with an explicit value list, so
+        Spark runs no extra distinct job; keys with no rows in these months are absent."""
+        months = self.months if months is None else months
+        src = self.counts.filter(F.col("month").isin(months)) if months != self.months else self.counts
+        return (src.groupBy("majortext", "minortext", "boroughname")
+                   .pivot("month", months).agg(F.sum("qty")))
+
+    def current(self) -> DataFrame:
+        return self.wide(split_months(self.months)[1])
 
-def crime_wide_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crime_wide(spark, sf_dir, split_months(ship_months(spark, sf_dir))[1])
+    def historical(self) -> DataFrame:
+        return self.wide(split_months(self.months)[0])
 
 
-def crime_wide_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crime_wide(spark, sf_dir, split_months(ship_months(spark, sf_dir))[0])
+def crime_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide monthly table over every ship month in the data."""
+    return CrimeCounts(spark, sf_dir).wide()
 
 
 def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
