@@ -1,0 +1,3 @@
+"""wideloom: Spark-native ingest and analysis of irregular monthly public statistics."""
+
+__version__ = "0.1.0"

@@ -343,3 +343,31 @@ def m06(spark, sf_dir):
     # newest snapshot is read first, so restore the documented column order
     cols = ["event_id", "ts", "user_id", "event_type", "value", "props", "eventtype", "channel"]
     return out.select(*[c for c in cols if c in out.columns])
+
+
+# ── column labels (F7) and chart payloads (S8) ────────────────────────────────────────────────
+
+@register("f07_month_labels", """
+SELECT ym AS month, strftime(strptime(ym, '%Y%m'), '%b %Y') AS label
+FROM (SELECT DISTINCT strftime(l_shipdate, '%Y%m') AS ym FROM lineitem)""")
+def f07(spark, sf_dir):
+    from ..functions.dates import column_label
+    months = (S.table(spark, sf_dir, "lineitem")
+              .select(F.date_format("l_shipdate", "yyyyMM").alias("month")).distinct())
+    return months.select("month", column_label("month").alias("label"))
+
+
+@register("s08_by_borough_payload", """
+WITH t AS (SELECT boroughname, CAST(SUM(CAST(l.l_quantity AS BIGINT)) AS BIGINT) AS total
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+           JOIN supplier s ON l.l_suppkey = s.s_suppkey
+           JOIN (SELECT n_nationkey, n_name AS boroughname FROM nation) n ON s.s_nationkey = n.n_nationkey
+           GROUP BY boroughname)
+SELECT CAST(to_json({'labels': list(boroughname ORDER BY total DESC, boroughname),
+                     'values': list(total ORDER BY total DESC, boroughname)}) AS VARCHAR) AS json
+FROM t""")
+def s08(spark, sf_dir):
+    from ..sources.sinks import chart_payload
+    from . import analyses as A
+    by = A.by_borough(S.crime_wide(spark, sf_dir))
+    return chart_payload(by, "boroughname", "total", order=[F.desc("total"), F.col("boroughname")])

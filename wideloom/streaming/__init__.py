@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The source project has no streams, watermarks, windows over event time or state: its refresh
+rebuilds whole files on a monthly schedule. Incremental arrival of snapshots is handled by the
+batch refresh in :mod:`wideloom.plans.ingest`.
+"""
