@@ -93,3 +93,13 @@ def test_site_documents(spark, tmp_dir):
         "columns": ["majortext", "minortext", "boroughname", "202512", "202601", "202602"],
         "rows": [["VIOLENCE AGAINST THE PERSON", "HOMICIDE", "Hackney", 0, None, 2]]}
     assert doc("meta.json") == {"updated": "2026-02", "rows": {}}
+
+
+def test_all_snapshots_failing_is_a_skip(spark, tmp_dir):
+    bad = write(os.path.join(tmp_dir, "src", "x.xlsx"), "junk")
+    man = spark.createDataFrame([("emxgp", 0, "only", bad, "xlsx")], MANIFEST_SCHEMA)
+    r = refresh(spark, [source("thorough-searches")], man, os.path.join(tmp_dir, "out")).first()
+    assert r.status == "no-data" and r.rows == 0
+    from wideloom.plans.ingest import REPORT_SCHEMA
+    s = summarise(spark.createDataFrame([tuple(r)], REPORT_SCHEMA)).first()
+    assert s.failed == [] and s.files == 0

@@ -30,3 +30,10 @@ def test_no_sheets(spark):
     grid = spark.createDataFrame([("w", 0, "a", 0, ["k"])], CELL_GRID_SCHEMA)
     with pytest.raises(NoDataSheetsError):
         stack_sheets(grid)
+
+
+def test_duplicate_headers_raise(spark):
+    grid = spark.createDataFrame([("w", 0, "a", 0, ["k", "k"]), ("w", 0, "a", 1, ["1", "2"])],
+                                 CELL_GRID_SCHEMA)
+    with pytest.raises(ValueError):
+        stack_sheets(grid)

@@ -60,7 +60,7 @@ class RefreshReport:
     key: str
     path: str | None = None
     rows: int = 0
-    status: str = "ok"           # ok | no-match | failed
+    status: str = "ok"           # ok | no-match | no-data | failed
     error: str | None = None
     used: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
@@ -104,7 +104,8 @@ def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_r
                 raise
             report.skipped.append(f"{url}: {type(e).__name__}: {str(e)[:200]}")
     if not frames:
-        report.status = "failed"
+        # every snapshot failed: skipped with a warning, like "no match" (not a failure)
+        report.status = "no-data"
         report.error = "all resources failed"
         return report
     data = dedupe(reconcile_union(frames)) if source.get("combine_resources") else frames[0]
@@ -135,6 +136,11 @@ def summarise(report: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("status") == "failed", F.col("key"))).alias("failed"))
 
 
+def list_sources(registry: DataFrame) -> DataFrame:
+    """M4 ``--list``: key and name of every configured dataset."""
+    return registry.select("key", "name").orderBy("key")
+
+
 def sources_for(spark: SparkSession, registry: DataFrame, key: str | None = None) -> list[dict]:
     """M4: registry rows for one key (error if unknown) or all, as plain dicts."""
     return [r.asDict() for r in select_sources(registry, key).collect()]

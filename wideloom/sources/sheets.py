@@ -48,6 +48,10 @@ def stack_sheets(grid: DataFrame, *, file: str | None = None) -> DataFrame:
         if s.n_rows < 2 or s.n_data == 0 or s.header is None:
             continue
         names = _header_names(list(s.header))
+        dup = sorted({n for n in names if names.count(n) > 1})
+        if dup:
+            # a spreadsheet reader would keep only the last of each; refuse instead
+            raise ValueError(f"sheet {s.sheet!r}: duplicate header names {dup}")
         rows = grid.filter((F.col("sheet_pos") == s.sheet_pos) & (F.col("row_idx") > 0) & has_value)
         frames.append(rows.select(*[F.get(F.col("cells"), i).alias(n) for i, n in enumerate(names)],
                                   F.lit(s.sheet).alias("_sheet")))
