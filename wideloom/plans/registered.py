@@ -222,7 +222,7 @@ def q13(spark, sf_dir):
 
 
 @register("q14_seasonality", "WITH" + _MONTHLY + """
-SELECT month(month_year) AS month_num, strftime(min(month_year), '%b') AS month_abbr,
+SELECT CAST(month(month_year) AS INTEGER) AS month_num, strftime(min(month_year), '%b') AS month_abbr,
        round(avg(incidents), 4) AS avg_incidents
 FROM monthly GROUP BY month(month_year)""")
 def q14(spark, sf_dir):
