@@ -1,0 +1,33 @@
+import os
+
+from xlsx_fixture import write_xlsx
+
+from wideloom.plans.ingest import parse_resource
+from wideloom.sources.sheets import stack_sheets
+from wideloom.sources.xlsx import read_xlsx_grid
+
+
+def test_grid_and_sheet_rules(spark, tmp_dir):
+    p = write_xlsx(os.path.join(tmp_dir, "w.xlsx"), [
+        ("Data", [[" A ", None, "C"], [1], [None, None], [2, 3, 4, "past header"], [True, "x y", 2.5]]),
+        ("Empty", [["only header"]]),
+    ])
+    grid = read_xlsx_grid(spark, p)
+    rows = sorted((r.sheet, r.row_idx, list(r.cells)) for r in grid.collect())
+    assert rows[0] == ("Data", 0, [" A ", None, "C", None])
+    df = stack_sheets(grid)
+    assert df.columns == ["A", "col_1", "C", "col_3", "_sheet"]
+    got = sorted((tuple(r) for r in df.collect()), key=str)
+    assert got == sorted([("1", None, None, None, "Data"), ("2", "3", "4", "past header", "Data"),
+                          ("true", "x y", "2.5", None, "Data")], key=str)
+
+
+def test_parse_resource_normalises(spark, tmp_dir):
+    p = write_xlsx(os.path.join(tmp_dir, "n.xlsx"), [
+        ("S1", [["Borough Name", "Count"], ["Camden", 3], ["Hackney", 4]]),
+        ("S2", [["Borough Name", "Count"], ["Brent", 5]]),
+    ])
+    df = parse_resource(spark, p)
+    assert df.dtypes == [("borough_name", "string"), ("count", "bigint"), ("sheet", "string")]
+    assert sorted(tuple(r) for r in df.collect()) == [("Brent", 5, "S2"), ("Camden", 3, "S1"),
+                                                      ("Hackney", 4, "S1")]

@@ -1,0 +1,56 @@
+"""Write minimal XLSX workbooks for tests (shared strings, inline strings, numbers, booleans)."""
+
+import zipfile
+from xml.sax.saxutils import escape
+
+MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+PKG = "http://schemas.openxmlformats.org/package/2006/relationships"
+
+
+def col_letter(i):
+    s = ""
+    i += 1
+    while i:
+        i, r = divmod(i - 1, 26)
+        s = chr(65 + r) + s
+    return s
+
+
+def write_xlsx(path, sheets):
+    """``sheets``: list of (name, rows); a row is a list of None/str/int/float/bool."""
+    shared = []
+    parts = {}
+    for n, (name, rows) in enumerate(sheets, 1):
+        xml_rows = []
+        for r, row in enumerate(rows, 1):
+            cells = []
+            for c, v in enumerate(row):
+                ref = f"{col_letter(c)}{r}"
+                if v is None:
+                    continue
+                if isinstance(v, bool):
+                    cells.append(f'<c r="{ref}" t="b"><v>{int(v)}</v></c>')
+                elif isinstance(v, (int, float)):
+                    cells.append(f'<c r="{ref}"><v>{v}</v></c>')
+                elif r % 2:
+                    shared.append(v)
+                    cells.append(f'<c r="{ref}" t="s"><v>{len(shared) - 1}</v></c>')
+                else:
+                    cells.append(f'<c r="{ref}" t="inlineStr"><is><t>{escape(v)}</t></is></c>')
+            xml_rows.append(f'<row r="{r}">{"".join(cells)}</row>')
+        parts[f"xl/worksheets/sheet{n}.xml"] = (
+            f'<worksheet xmlns="{MAIN}"><sheetData>{"".join(xml_rows)}</sheetData></worksheet>')
+    sheet_tags = "".join(f'<sheet name="{escape(nm)}" sheetId="{i}" r:id="rId{i}"/>'
+                         for i, (nm, _) in enumerate(sheets, 1))
+    parts["xl/workbook.xml"] = (f'<workbook xmlns="{MAIN}" xmlns:r="{REL}"><sheets>{sheet_tags}'
+                                f'</sheets></workbook>')
+    rels = "".join(f'<Relationship Id="rId{i}" Type="{REL}/worksheet" Target="worksheets/sheet{i}.xml"/>'
+                   for i in range(1, len(sheets) + 1))
+    parts["xl/_rels/workbook.xml.rels"] = f'<Relationships xmlns="{PKG}">{rels}</Relationships>'
+    sst = "".join(f"<si><t>{escape(s)}</t></si>" for s in shared)
+    parts["xl/sharedStrings.xml"] = f'<sst xmlns="{MAIN}">{sst}</sst>'
+    with zipfile.ZipFile(path, "w") as z:
+        for name, body in parts.items():
+            z.writestr(name, body)
+    return path

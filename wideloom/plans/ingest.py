@@ -29,6 +29,7 @@ from ..operators.union import dedupe, reconcile_union
 from ..sources.csv import is_excel, parse_csv
 from ..sources.sheets import stack_sheets
 from ..sources.sinks import save_parquet
+from ..sources.xlsx import read_xlsx_grid
 
 GridReader = Callable[[SparkSession, str], DataFrame]
 
@@ -46,9 +47,7 @@ def parse_resource(spark: SparkSession, url: str, *, grid_reader: GridReader | N
                    infer: str = "prefix", multiline: bool = True) -> DataFrame:
     """S3 + S1/S2 + normalise for one resource path."""
     if is_excel(url):
-        if grid_reader is None:
-            raise ValueError(f"{url}: spreadsheet resources need a cell-grid reader")
-        df = stack_sheets(grid_reader(spark, url))
+        df = stack_sheets((grid_reader or read_xlsx_grid)(spark, url))
     else:
         df, _ = parse_csv(spark, url, infer=infer, multiline=multiline, keep_order=True)
     out, _ = normalise(df, infer=infer)

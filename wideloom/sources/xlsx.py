@@ -1,0 +1,141 @@
+"""XLSX workbooks to the cell grid of :mod:`wideloom.sources.sheets`.
+
+Spark has no spreadsheet reader. A workbook is a zip of XML parts, which cannot be split, so each
+file is decoded by one task: ``binaryFile`` rows go through ``mapInPandas`` and come back as one
+grid row per sheet row (``file, sheet_pos, sheet, row_idx, cells``). Many workbooks decode in
+parallel; the table rules (header, blank rows, padding, sheet union) are then Spark operations in
+:func:`~wideloom.sources.sheets.stack_sheets`.
+
+Values come back as text, as the cells read: shared and inline strings, numbers as written in the
+file, booleans as ``true``/``false``, formula results as cached. Numeric date cells stay serial
+numbers. Rows are padded to the sheet's widest row, as a spreadsheet reader presents them. Legacy
+binary ``.xls`` files are not supported (an error names the file).
+"""
+
+from __future__ import annotations
+
+import io
+import posixpath
+import re
+import zipfile
+import xml.etree.ElementTree as ET
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+
+from .sheets import CELL_GRID_SCHEMA
+
+# The spreadsheet XML namespaces.
+NS_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+NS_REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+NS_PKG = "http://schemas.openxmlformats.org/package/2006/relationships"
+
+_REF = re.compile(r"^([A-Z]+)(\d+)$")
+BATCH_ROWS = 5_000
+
+
+def _q(ns: str, tag: str) -> str:
+    return f"{{{ns}}}{tag}"
+
+
+def _col_index(ref: str) -> int:
+    letters = _REF.match(ref).group(1)
+    n = 0
+    for ch in letters:
+        n = n * 26 + (ord(ch) - 64)
+    return n - 1
+
+
+def _text(el) -> str:
+    # concatenated <t> runs of a string item (rich text has several)
+    return "".join(t.text or "" for t in el.iter(_q(NS_MAIN, "t")))
+
+
+def _shared_strings(z: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in z.namelist():
+        return []
+    root = ET.fromstring(z.read("xl/sharedStrings.xml"))
+    return [_text(si) for si in root.iter(_q(NS_MAIN, "si"))]
+
+
+def _sheets(z: zipfile.ZipFile) -> list[tuple[str, str]]:
+    """(name, part path) in workbook order."""
+    wb = ET.fromstring(z.read("xl/workbook.xml"))
+    rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
+    target = {r.get("Id"): r.get("Target") for r in rels.iter(_q(NS_PKG, "Relationship"))}
+    out = []
+    for s in wb.iter(_q(NS_MAIN, "sheet")):
+        t = target[s.get(_q(NS_REL, "id"))]
+        path = t.lstrip("/") if t.startswith("/") else posixpath.normpath(posixpath.join("xl", t))
+        out.append((s.get("name"), path))
+    return out
+
+
+def _cell_value(c, shared: list[str]) -> str | None:
+    t = c.get("t", "n")
+    if t == "inlineStr":
+        is_ = c.find(_q(NS_MAIN, "is"))
+        return _text(is_) if is_ is not None else None
+    v = c.find(_q(NS_MAIN, "v"))
+    if v is None or v.text is None:
+        return None
+    if t == "s":
+        return shared[int(v.text)]
+    if t == "b":
+        return "true" if v.text.strip() == "1" else "false"
+    return v.text
+
+
+def _sheet_rows(z: zipfile.ZipFile, part: str, shared: list[str]) -> list[tuple[int, list]]:
+    rows: list[tuple[int, list]] = []
+    with z.open(part) as fh:
+        for _, el in ET.iterparse(fh, events=("end",)):
+            if el.tag != _q(NS_MAIN, "row"):
+                continue
+            cells: dict[int, str | None] = {}
+            for i, c in enumerate(el.iter(_q(NS_MAIN, "c"))):
+                ref = c.get("r")
+                cells[_col_index(ref) if ref else i] = _cell_value(c, shared)
+            r = int(el.get("r")) if el.get("r") else (rows[-1][0] + 1 if rows else 1)
+            width = max(cells) + 1 if cells else 0
+            rows.append((r, [cells.get(i) for i in range(width)]))
+            el.clear()
+    return rows
+
+
+def workbook_grid(name: str, data: bytes) -> Iterator[tuple]:
+    """Grid rows of one workbook: (file, sheet_pos, sheet, row_idx, cells)."""
+    if name.lower().endswith(".xls"):
+        raise ValueError(f"{name}: legacy binary .xls workbooks are not supported")
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        shared = _shared_strings(z)
+        for pos, (sheet, part) in enumerate(_sheets(z)):
+            rows = _sheet_rows(z, part, shared)
+            if not rows:
+                continue
+            width = max(len(c) for _, c in rows)
+            first = rows[0][0]
+            for r, cells in rows:
+                yield (name, pos, sheet, r - first, cells + [None] * (width - len(cells)))
+
+
+def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cols = ["file", "sheet_pos", "sheet", "row_idx", "cells"]
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            buf = []
+            for row in workbook_grid(path, bytes(content)):
+                buf.append(row)
+                if len(buf) >= BATCH_ROWS:
+                    yield pd.DataFrame(buf, columns=cols)
+                    buf = []
+            if buf:
+                yield pd.DataFrame(buf, columns=cols)
+
+
+def read_xlsx_grid(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Cell grid of one or more workbooks (one decoding task per file)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.mapInPandas(_decode, CELL_GRID_SCHEMA)
