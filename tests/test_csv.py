@@ -42,3 +42,13 @@ def test_types_from_csv(spark, tmp_dir):
     df, dec = parse_csv(spark, p)
     assert df.dtypes == [("i", "bigint"), ("f", "double"), ("b", "boolean"), ("d", "string")]
     assert df.count() == 50
+
+
+def test_multiline_only_where_needed(spark, tmp_dir):
+    from wideloom.sources.csv import file_profiles
+    a = write(tmp_dir, "plain.csv", b'a,b\n"x ""q""",1\n')
+    b = write(tmp_dir, "multi.csv", b'a,b\n"line1\nline2",2\n')
+    prof = {os.path.basename(k): v for k, v in file_profiles(spark, [a, b]).items()}
+    assert prof == {"plain.csv": ("UTF-8", False), "multi.csv": ("UTF-8", True)}
+    df = read_csv_text(spark, [a, b]).drop("_src_file", "_src_block", "_src_row")
+    assert sorted(tuple(r) for r in df.collect()) == [("line1\nline2", "2"), ('x "q"', "1")]

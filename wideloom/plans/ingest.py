@@ -44,7 +44,7 @@ def normalise(df: DataFrame, *, infer: str = "prefix") -> tuple[DataFrame, list[
 
 
 def parse_resource(spark: SparkSession, url: str, *, grid_reader: GridReader | None = None,
-                   infer: str = "prefix", multiline: bool = True) -> DataFrame:
+                   infer: str = "prefix", multiline: bool | None = None) -> DataFrame:
     """S3 + S1/S2 + normalise for one resource path."""
     if is_excel(url):
         df = stack_sheets((grid_reader or read_xlsx_grid)(spark, url))
@@ -71,7 +71,7 @@ REPORT_SCHEMA = ("key string, path string, rows bigint, status string, error str
 
 def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_root: str, *,
                    grid_reader: GridReader | None = None, infer: str = "prefix",
-                   multiline: bool = True) -> RefreshReport:
+                   multiline: bool | None = None) -> RefreshReport:
     """One dataset: pick (or stride-sample) resources, parse, combine, save."""
     reg = spark.createDataFrame([(source["key"], source["short_id"],
                                   source.get("resource_name_contains", ""),

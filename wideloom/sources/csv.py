@@ -10,8 +10,9 @@ the data keeps text).
 * Ragged rows: with the header as an all-text schema and ``PERMISSIVE`` mode, extra fields are
   dropped and short rows padded with nulls.
 * Quotes: ``escape='"'`` keeps doubled quotes; ``multiLine`` keeps quoted line breaks. With
-  ``multiLine`` a file is read by one task, so it can be switched off for files known to have no
-  quoted line breaks; files are still read in parallel with each other.
+  ``multiLine`` a file is read by one task, so it is used only for files that need it: the same
+  pass that checks the encoding finds lines with an odd number of quotes. Other files are split
+  and parsed in parallel.
 """
 
 from __future__ import annotations
@@ -32,13 +33,27 @@ TABULAR_EXTENSIONS = (".csv", ".xlsx", ".xls")
 TABULAR_FORMATS = ("csv", "xlsx", "xls")
 
 
-def file_encodings(spark: SparkSession, paths: Sequence[str] | str) -> dict[str, str]:
-    """Per-file encoding choice."""
+def file_profiles(spark: SparkSession, paths: Sequence[str] | str) -> dict[str, tuple[str, bool]]:
+    """S1a + line-break check, one parallel pass over the raw lines: per file, its encoding and
+    whether a quoted field spans a line break.
+
+    A line break inside quotes leaves that physical line with an odd number of ``"`` (doubled
+    quotes count twice), so a file whose lines all have an even count can be split and parsed
+    line by line in parallel; the others need ``multiLine`` (one task per file).
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    v = F.col("value")
+    quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("f"),
-                                          F.is_valid_utf8("value").alias("ok"))
-    return {r.f: (UTF8 if r.ok else LATIN1)
-            for r in lines.groupBy("f").agg(F.bool_and("ok").alias("ok")).collect()}
+                                          F.is_valid_utf8(v).alias("ok"),
+                                          (quotes % 2 == 0).alias("even"))
+    prof = lines.groupBy("f").agg(F.bool_and("ok").alias("ok"), F.bool_and("even").alias("even"))
+    return {r.f: (UTF8 if r.ok else LATIN1, not r.even) for r in prof.collect()}
+
+
+def file_encodings(spark: SparkSession, paths: Sequence[str] | str) -> dict[str, str]:
+    """Per-file encoding choice."""
+    return {f: enc for f, (enc, _) in file_profiles(spark, paths).items()}
 
 
 def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
@@ -49,25 +64,28 @@ def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
-                  multiline: bool = True) -> DataFrame:
-    """S1 without typing: all-text columns named by the header, plus row-order columns."""
+                  multiline: bool | None = None) -> DataFrame:
+    """S1 without typing: all-text columns named by the header, plus row-order columns.
+
+    ``encoding`` / ``multiline`` default to a per-file decision (:func:`file_profiles`).
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    encs = file_encodings(spark, paths) if encoding is None else None
-    groups: dict[str, list[str]] = {}
-    if encs is None:
-        groups[encoding] = paths
+    groups: dict[tuple[str, bool], list[str]] = {}
+    if encoding is not None and multiline is not None:
+        groups[(encoding, multiline)] = paths
     else:
-        for f, e in sorted(encs.items()):
-            groups.setdefault(e, []).append(f)
+        for f, (enc, multi) in sorted(file_profiles(spark, paths).items()):
+            key = (encoding or enc, multi if multiline is None else multiline)
+            groups.setdefault(key, []).append(f)
     frames = []
     header = None
-    for enc, files in groups.items():
+    for (enc, multi), files in groups.items():
         if header is None:
             header = _header(spark, files[0], enc)
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         df = (spark.read.schema(schema).option("header", True).option("encoding", enc)
               .option("mode", "PERMISSIVE").option("escape", '"')
-              .option("multiLine", multiline).option("enforceSchema", True)
+              .option("multiLine", multi).option("enforceSchema", True)
               .csv(files))
         frames.append(with_row_order(df, from_files=True))
     out = frames[0]
@@ -77,7 +95,7 @@ def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: s
 
 
 def parse_csv(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
-              multiline: bool = True, infer: str = "prefix", numeric: bool = False,
+              multiline: bool | None = None, infer: str = "prefix", numeric: bool = False,
               keep_order: bool = False) -> tuple[DataFrame, list[TypeDecision]]:
     """Header, encoding choice, ragged rows, then S1b typing. The numeric sniff (N5) is part
     of normalising (:func:`wideloom.plans.ingest.normalise`), as in the original order; pass
