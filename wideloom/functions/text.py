@@ -13,18 +13,22 @@ def _c(c: Column | str) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
+# The characters Python's ``str.title`` treats as cased (Unicode Lowercase,
+# Uppercase and Titlecase properties).
+CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
+
+
 def title_case(c: Column | str) -> Column:
     """F8: Python ``str.title()`` semantics.
 
-    Every run of letters starts upper case and continues lower case; anything that is not a
-    letter (space, hyphen, apostrophe, digit) starts a new run. So ``DRUG-OFFENCES`` ->
+    A run of cased letters starts in title case and continues in lower case; any other character
+    (space, hyphen, apostrophe, digit, uncased letter) ends the run. So ``DRUG-OFFENCES`` ->
     ``Drug-Offences``, ``WOMEN'S`` -> ``Women'S``, ``2ND class`` -> ``2Nd Class``. Spark's
-    ``initcap`` only splits on spaces, hence the split into letter / non-letter runs.
+    ``initcap`` only starts words after spaces, so the text is cut into cased / uncased runs and
+    ``initcap`` (full Unicode title-casing: ``ß`` -> ``Ss``) is applied per run.
     """
-    pieces = F.regexp_extract_all(F.lower(_c(c)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    return F.array_join(
-        F.transform(pieces, lambda s: F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))),
-        "")
+    runs = F.regexp_extract_all(_c(c), F.lit(f"([{CASED}]+|[^{CASED}]+)"), 1)
+    return F.array_join(F.transform(runs, lambda s: F.initcap(s)), "")
 
 
 def contains_pattern(c: Column | str, pattern: str, *, ignore_case: bool = False) -> Column:
