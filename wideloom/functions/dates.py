@@ -17,7 +17,7 @@ def parse_month(c: Column | str) -> Column:
 
 def try_parse_month(c: Column | str) -> Column:
     """F1, lenient: unparseable text -> null."""
-    return F.try_to_date(_c(c), F.lit("yyyyMM"))
+    return F.try_to_date(_c(c), "yyyyMM")
 
 
 def month_of_year(c: Column | str) -> Column:

@@ -86,6 +86,6 @@ def coalesce_drifted(df: DataFrame, target: str, *candidates: str,
 
 def coalesce_dates(df: DataFrame, target: str, formats: dict[str, str]) -> DataFrame:
     """N11 for dates: ``{column: pattern}``; each present column parsed leniently, first wins."""
-    parts = [F.try_to_date(F.col(c).cast("string"), F.lit(p)) for c, p in formats.items()
+    parts = [F.try_to_date(F.col(c).cast("string"), p) for c, p in formats.items()
              if c in df.columns]
     return df.withColumn(target, F.coalesce(*parts) if parts else F.lit(None).cast("date"))
