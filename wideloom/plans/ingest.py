@@ -34,12 +34,16 @@ from ..sources.xlsx import read_xlsx_grid
 GridReader = Callable[[SparkSession, str], DataFrame]
 
 
-def normalise(df: DataFrame, *, infer: str = "prefix") -> tuple[DataFrame, list[TypeDecision]]:
-    """N1 + N2 names, then N5 on the columns still text (row order kept from the parse)."""
+def normalise(df: DataFrame, *, infer: str = "prefix",
+              numeric: bool = True) -> tuple[DataFrame, list[TypeDecision]]:
+    """N1 + N2 names, then N5 on the columns still text (row order kept from the parse).
+    ``numeric=False`` renames only (for frames whose text columns were already sniffed)."""
     order = [c for c in ORDER_COLS if c in df.columns]
     data = [c for c in df.columns if c not in ORDER_COLS]
     renamed = normalise_names(df.select(*data)).columns
     df = df.toDF(*(renamed + order))
+    if not numeric:
+        return df.drop(*order), []
     return sniff(df, csv=False, mode=infer)
 
 
@@ -48,10 +52,11 @@ def parse_resource(spark: SparkSession, url: str, *, grid_reader: GridReader | N
     """S3 + S1/S2 + normalise for one resource path."""
     if is_excel(url):
         df = stack_sheets((grid_reader or read_xlsx_grid)(spark, url))
-    else:
-        df, _ = parse_csv(spark, url, infer=infer, multiline=multiline, keep_order=True)
-    out, _ = normalise(df, infer=infer)
-    return out
+        return normalise(df, infer=infer)[0]
+    # CSV: S1b and N5 are decided together over one row-order prefix (N5 looks at values only,
+    # so deciding it before the renaming gives the same types), then the names are normalised.
+    df, _ = parse_csv(spark, url, infer=infer, multiline=multiline, numeric=True)
+    return normalise(df, numeric=False)[0]
 
 
 @dataclass

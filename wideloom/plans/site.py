@@ -60,4 +60,8 @@ def meta_document(meta: DataFrame) -> DataFrame:
 
 
 def build_site(spark: SparkSession, catalog: Catalog, out_dir: str) -> dict[str, str]:
-    return write_documents(spark, build_documents(spark, catalog), out_dir)
+    docs = build_documents(spark, catalog)
+    try:
+        return write_documents(spark, docs, out_dir)
+    finally:
+        catalog.recorded_crime_borough().unpersist()
