@@ -233,34 +233,38 @@ def m08(spark, sf_dir):
 # ── sheets (S2) ───────────────────────────────────────────────────────────────────────────────
 
 # The header rows of the two sheets (a trailing blank header cell on the first).
-NATION_HEADER = ["N Nationkey", "N Name", "N Regionkey", None]
-REGION_HEADER = ["R Regionkey", "R Name"]
-
-
-def nation_region_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A two-sheet workbook as a cell grid: nation rows then region rows, each under a header."""
-    heads = spark.createDataFrame([("wb", 0, "nation", 0, NATION_HEADER),
-                                   ("wb", 1, "region", 0, REGION_HEADER)], CELL_GRID_SCHEMA)
-    n = S.table(spark, sf_dir, "nation").select(
-        F.lit("wb").alias("file"), F.lit(0).alias("sheet_pos"), F.lit("nation").alias("sheet"),
-        (F.col("n_nationkey") + 1).cast("int").alias("row_idx"),
-        F.array(F.col("n_nationkey").cast("string"), "n_name",
-                F.col("n_regionkey").cast("string")).alias("cells"))
-    r = S.table(spark, sf_dir, "region").select(
-        F.lit("wb").alias("file"), F.lit(1).alias("sheet_pos"), F.lit("region").alias("sheet"),
-        (F.col("r_regionkey") + 1).cast("int").alias("row_idx"),
-        F.array(F.col("r_regionkey").cast("string"), "r_name").alias("cells"))
-    return heads.unionByName(n).unionByName(r)
+CUSTOMER_HEADER = ["C Custkey", "C Name", "C Acctbal", "C Mktsegment", None]
+SUPPLIER_HEADER = ["S Suppkey", "S Name", "S Nationkey", "S Acctbal"]
+
+
+def customer_supplier_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A two-sheet workbook as a cell grid: customers then suppliers, each under a header row;
+    sheet row = key + 1 (row 0 is the header)."""
+    heads = spark.createDataFrame([("wb", 0, "customer", 0, CUSTOMER_HEADER),
+                                   ("wb", 1, "supplier", 0, SUPPLIER_HEADER)], CELL_GRID_SCHEMA)
+    c = S.table(spark, sf_dir, "customer").select(
+        F.lit("wb").alias("file"), F.lit(0).alias("sheet_pos"), F.lit("customer").alias("sheet"),
+        (F.col("c_custkey") + 1).cast("int").alias("row_idx"),
+        F.array(F.col("c_custkey").cast("string"), "c_name", F.col("c_acctbal").cast("string"),
+                "c_mktsegment").alias("cells"))
+    su = S.table(spark, sf_dir, "supplier").select(
+        F.lit("wb").alias("file"), F.lit(1).alias("sheet_pos"), F.lit("supplier").alias("sheet"),
+        (F.col("s_suppkey") + 1).cast("int").alias("row_idx"),
+        F.array(F.col("s_suppkey").cast("string"), "s_name", F.col("s_nationkey").cast("string"),
+                F.col("s_acctbal").cast("string")).alias("cells"))
+    return heads.unionByName(c).unionByName(su)
 
 
 @register("s02_sheets_workbook", """
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey,
-       NULL::VARCHAR AS col_3, 'nation' AS sheet, NULL::BIGINT AS r_regionkey, NULL::VARCHAR AS r_name
-FROM nation
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, c_acctbal, c_mktsegment, NULL::VARCHAR AS col_4,
+       'customer' AS sheet, NULL::BIGINT AS s_suppkey, NULL::VARCHAR AS s_name,
+       NULL::BIGINT AS s_nationkey, NULL::DOUBLE AS s_acctbal
+FROM customer
 UNION ALL
-SELECT NULL, NULL, NULL, NULL, 'region', CAST(r_regionkey AS BIGINT), r_name FROM region""")
+SELECT NULL, NULL, NULL, NULL, NULL, 'supplier', CAST(s_suppkey AS BIGINT), s_name,
+       CAST(s_nationkey AS BIGINT), s_acctbal FROM supplier""")
 def s02(spark, sf_dir):
-    return I.normalise(stack_sheets(nation_region_grid(spark, sf_dir)))[0]
+    return I.normalise(stack_sheets(customer_supplier_grid(spark, sf_dir)))[0]
 
 
 # ── scalars (F8, F12, F13) ────────────────────────────────────────────────────────────────────
