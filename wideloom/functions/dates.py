@@ -63,8 +63,3 @@ def as_date(c: Column | str) -> Column:
     c = _c(c)
     return F.coalesce(F.try_to_date(c.cast("string")),
                       F.to_date(F.try_to_timestamp(c.cast("string"))))
-
-
-def label_to_python_month(label: str) -> str:
-    """F5 on the driver for metadata (column names): ``202403`` -> ``2024-03``."""
-    return f"{label[:4]}-{label[4:]}"

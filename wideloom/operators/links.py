@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import url_join
+from ..functions.text import find_all, ordered_distinct, url_join
 
 # The file extensions searched for and the URL body grammar.
 LINK_EXTENSIONS = (".csv", ".xlsx", ".xls", ".zip")
@@ -38,7 +38,7 @@ def extract_links(df: DataFrame, html: str, *, keep: Sequence[str] = (),
                   base: str | Column = "") -> DataFrame:
     """M7: rows ``(*keep, pos, href, url)``; ``extensions=None`` takes every href."""
     exts = list(extensions) if extensions else [None]
-    per_ext = [F.regexp_extract_all(F.col(html), F.lit(href_pattern(e)), 1) for e in exts]
+    per_ext = [find_all(html, href_pattern(e), 1) for e in exts]
     found = F.flatten(F.array(*per_ext)) if len(per_ext) > 1 else per_ext[0]
     base_col = base if isinstance(base, Column) else F.lit(base)
     out = df.select(*keep, base_col.alias("_base"), F.posexplode(found).alias("pos", "href"))
@@ -49,6 +49,6 @@ def extract_urls(df: DataFrame, text: Column | str, *, keep: Sequence[str] = (),
                  extensions: Sequence[str] = LINK_EXTENSIONS) -> DataFrame:
     """M8: rows ``(*keep, pos, url)``, duplicates within a text removed, first seen kept."""
     t = text if isinstance(text, Column) else F.col(text)
-    per_ext = [F.regexp_extract_all(t, F.lit(URL_BODY + re.escape(e)), 0) for e in extensions]
-    found = F.array_distinct(F.flatten(F.array(*per_ext)) if len(per_ext) > 1 else per_ext[0])
+    per_ext = [find_all(t, URL_BODY + re.escape(e), 0) for e in extensions]
+    found = ordered_distinct(F.flatten(F.array(*per_ext)) if len(per_ext) > 1 else per_ext[0])
     return df.select(*keep, F.posexplode(found).alias("pos", "url"))

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import parse_month
+
 # A month column is six digits (the site's rule); the builders accept any all-digit
 # name (``str.isdigit``) when asked.
 MONTH_PATTERN = r"^\d{6}$"
@@ -77,18 +79,13 @@ def melt_months(df: DataFrame, ids: Sequence[str], *, start: str | None = None,
     return melt(df, ids, months, variable, value)
 
 
-def month_date(c: Column | str) -> Column:
-    """``YYYYMM`` text to the first day of that month. Strict: a bad name raises (ANSI)."""
-    return F.to_date(c if isinstance(c, Column) else F.col(c), "yyyyMM")
-
-
 def long_with_dates(df: DataFrame, ids: Sequence[str], *, start: str | None = None,
                     end: str | None = None, pattern: str = MONTH_PATTERN,
                     variable: str = "month", value: str = "count") -> DataFrame:
     """R2: wide table to (ids..., month DATE, count) with nulls kept."""
     long = melt_months(df, ids, start=start, end=end, pattern=pattern,
                        variable=variable, value=value)
-    return long.withColumn(variable, month_date(variable))
+    return long.withColumn(variable, parse_month(variable))
 
 
 def concat_same_schema(*dfs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from ..functions.dates import as_date, days_in_month, iso_month_label, month_abb
     yyyymm_to_label
 from ..functions.text import contains_pattern, title_case
 from ..operators.columns import find_column
-from ..operators.reshape import column_sums, concat_same_schema, horizontal_sum, \
+from ..operators.reshape import column_sums, concat_same_schema, horizontal_sum, last_months, \
     long_with_dates, month_columns, null_safe_sum
 
 WIDE_IDS = ("majortext", "minortext", "boroughname")
@@ -78,7 +78,7 @@ def sample_rows(wide: DataFrame, *, major_pattern: str, place_pattern: str,
                 ids: Sequence[str] = WIDE_IDS, major: str = "majortext",
                 place: str = "boroughname", n_months: int = 3, n: int = 8) -> DataFrame:
     """Q6: ids + the last ``n_months`` month columns for matching rows; first ``n`` in id order."""
-    recent = month_columns(wide)[-n_months:] if n_months else []
+    recent = last_months(wide, n_months)
     return (wide.select(*ids, *recent)
                 .filter(contains_pattern(major, major_pattern) & contains_pattern(place, place_pattern))
                 .orderBy(*[F.asc_nulls_first(c) for c in ids])
