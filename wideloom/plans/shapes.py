@@ -44,21 +44,27 @@ def split_months(months: list[str], current: int = CURRENT_MONTHS) -> tuple[list
 
 
 def crime_long_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per (major, minor, place, month) quantity totals: the long form before pivoting (lazy)."""
+    """Per (major, minor, place, month) quantity totals: the long form before pivoting (lazy).
+
+    Join order is chosen for scale (Spark keeps the DataFrame order without CBO): ``supplier``
+    first, which adds only an integer nation key; then ``part``, whose type and name feed the
+    partial aggregation in the same stage, so the text keys never ride a fact-sized shuffle when
+    either dimension is too large to broadcast; nation names are attached to aggregated rows only.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joined = (li.join(part, li.l_partkey == part.p_partkey)
-                .join(supp, li.l_suppkey == supp.s_suppkey)
-                .join(_nation(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
+    joined = (li.join(supp, li.l_suppkey == supp.s_suppkey)
+                .join(part, li.l_partkey == part.p_partkey))
     # Month as an integer yyyymm key: cheaper to compute and hash per row than formatted text;
     # it becomes the ``YYYYMM`` column name only on the aggregated rows.
     ym = F.year("l_shipdate") * 100 + F.month("l_shipdate")
-    agg = (joined.groupBy(F.col("p_type").alias("majortext"), F.col("p_name").alias("minortext"),
-                          F.col("n_name").alias("boroughname"), ym.alias("ym"))
+    agg = (joined.groupBy("p_type", "p_name", "s_nationkey", ym.alias("ym"))
                  .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("qty")))
-    return agg.select("majortext", "minortext", "boroughname",
-                      F.lpad(F.col("ym").cast("string"), 6, "0").alias("month"), "qty")
+    named = agg.join(_nation(spark, sf_dir), agg.s_nationkey == F.col("n_nationkey"))
+    return named.select(F.col("p_type").alias("majortext"), F.col("p_name").alias("minortext"),
+                        F.col("n_name").alias("boroughname"),
+                        F.lpad(F.col("ym").cast("string"), 6, "0").alias("month"), "qty")
 
 
 class CrimeCounts:

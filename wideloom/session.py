@@ -52,12 +52,11 @@ def scratch_dir(spark: SparkSession) -> str:
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared filesystem). Only when
     it is unset, as in local tests, a private folder is created and registered.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir.rstrip("/")
-    local = tempfile.mkdtemp(prefix="wideloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir:
+        conf_dir = tempfile.mkdtemp(prefix="wideloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(conf_dir)
+    return conf_dir.rstrip("/")
