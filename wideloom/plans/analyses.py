@@ -203,9 +203,11 @@ def daily_rate(monthly: DataFrame, *, month: str = "month_year", value: str = "i
 # ── Record-table analyses (Q5, Q16-Q18) ───────────────────────────────────────────────────────
 
 def count_by(records: DataFrame, col: str, *, exclude: Sequence[str] = (), k: int | None = None,
-             out: str = "stops") -> DataFrame:
-    """A2 + P7/P8 + O2/O3: rows per non-null value of ``col`` (minus ``exclude``), descending."""
-    cond = F.col(col).isNotNull()
+             out: str = "stops", keep_null: bool = False) -> DataFrame:
+    """A2 + P7/P8 + O2/O3: rows per value of ``col`` (minus ``exclude``), descending.
+    Nulls are dropped unless ``keep_null`` (then null is a group of its own, as a plain
+    ``group_by`` keeps it)."""
+    cond = F.lit(True) if keep_null else F.col(col).isNotNull()
     for v in exclude:
         cond = cond & (F.col(col) != F.lit(v))
     agg = records.filter(cond).groupBy(col).agg(F.count(F.lit(1)).alias(out))

@@ -164,6 +164,16 @@ def q11(spark, sf_dir):
                         pattern=WEAPON_PATTERN, key="boroughname")
 
 
+@register("q11b_pattern_top10_case_sensitive", "WITH" + _BASE + f"""
+SELECT boroughname, CAST(SUM(qty) AS BIGINT) AS count FROM base
+WHERE regexp_matches(minortext, '{WEAPON_PATTERN}') GROUP BY boroughname
+ORDER BY count DESC, boroughname LIMIT 10""")
+def q11b(spark, sf_dir):
+    """The README variant of Q11: case-sensitive pattern, top 10."""
+    return A.pattern_by(A.wide_to_long(S.crime_wide(spark, sf_dir)), text="minortext",
+                        pattern=WEAPON_PATTERN, key="boroughname", ignore_case=False, k=10)
+
+
 @register("q19_full_series", "WITH" + _CELLS + """
 SELECT CAST(strptime(min(ym), '%Y%m') AS DATE) AS first_month,
        CAST(strptime(max(ym), '%Y%m') AS DATE) AS last_month, COUNT(*) AS n_rows
@@ -248,6 +258,13 @@ def q05(spark, sf_dir):
     return A.stops_by_ethnicity(S.stop_records(spark, sf_dir))
 
 
+@register("q05b_stops_all_ethnicities", "WITH" + _RECORDS + """
+SELECT ethnicappearance, COUNT(*) AS stops FROM rec GROUP BY ethnicappearance""")
+def q05b(spark, sf_dir):
+    """The README variant of Q5: no filter, the null group and "Unknown" kept."""
+    return A.count_by(S.stop_records(spark, sf_dir), "ethnicappearance", keep_null=True)
+
+
 @register("q16_top_legislation", "WITH" + _RECORDS + """
 SELECT legislation, COUNT(*) AS stops FROM rec WHERE legislation IS NOT NULL
 GROUP BY legislation ORDER BY stops DESC, legislation LIMIT 10""")
