@@ -201,10 +201,14 @@ def apply_types(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
 def sniff(df: DataFrame, *, csv: bool = False, numeric: bool = True,
           infer_rows: int = INFER_ROWS, sample: int = SAMPLE_VALUES, mode: str = "prefix",
-          keep_order: bool = False) -> tuple[DataFrame, list[TypeDecision]]:
+          keep_order: bool = False,
+          prefix: DataFrame | None = None) -> tuple[DataFrame, list[TypeDecision]]:
     """S1b (when ``csv``) then N5 (when ``numeric``). ``mode='full'`` decides over all rows instead of prefixes
     (never loses late text; not the original's behaviour).
 
+    ``prefix`` may supply the first ``infer_rows`` rows (with the ordering columns) when the
+    caller can read them more cheaply than :func:`file_prefix` (the CSV reader does).
+
     Returns the typed frame and the decisions. Ordering columns are added if missing and dropped
     unless ``keep_order``.
     """
@@ -213,9 +217,11 @@ def sniff(df: DataFrame, *, csv: bool = False, numeric: bool = True,
     text_cols = _string_cols(df)
     decisions: list[TypeDecision] = []
     kinds: dict[str, str] = {}
-    prefix = None
+    if mode == "full":
+        prefix = df
     if csv and text_cols:
-        prefix = df if mode == "full" else file_prefix(df, infer_rows)
+        if prefix is None:
+            prefix = file_prefix(df, infer_rows)
         s1b = decide_csv_types(prefix, text_cols)
         kinds.update({c: k for c, k in s1b.items() if k != "string"})
         decisions += [TypeDecision(c, k, "S1b") for c, k in s1b.items() if k != "string"]

@@ -13,17 +13,19 @@ the data keeps text).
   ``multiLine`` a file is read by one task, so it is used only for files that need it: the same
   pass that checks the encoding finds lines with an odd number of quotes. Other files are split
   and parsed in parallel.
+* Typing prefix (S1b): the first 10,000 rows are taken file by file with Spark's incremental
+  limit, which reads a file's first split and stops early; the snapshot is not scanned for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.sniff import TypeDecision, sniff, with_row_order
+from ..operators.sniff import INFER_ROWS, TypeDecision, sniff, with_row_order
 
 # The encodings tried, in order, and the spreadsheet extensions.
 UTF8 = "UTF-8"
@@ -32,8 +34,10 @@ EXCEL_EXTENSIONS = (".xlsx", ".xls")
 TABULAR_EXTENSIONS = (".csv", ".xlsx", ".xls")
 TABULAR_FORMATS = ("csv", "xlsx", "xls")
 
+Profiles = dict[str, tuple[str, bool]]
 
-def file_profiles(spark: SparkSession, paths: Sequence[str] | str) -> dict[str, tuple[str, bool]]:
+
+def file_profiles(spark: SparkSession, paths: Sequence[str] | str) -> Profiles:
     """S1a + line-break check, one parallel pass over the raw lines: per file, its encoding and
     whether a quoted field spans a line break.
 
@@ -56,6 +60,14 @@ def file_encodings(spark: SparkSession, paths: Sequence[str] | str) -> dict[str,
     return {f: enc for f, (enc, _) in file_profiles(spark, paths).items()}
 
 
+def _profiles(spark: SparkSession, paths: list[str], encoding: str | None,
+              multiline: bool | None) -> Profiles:
+    if encoding is not None and multiline is not None:
+        return {p: (encoding, multiline) for p in paths}
+    return {f: (encoding or enc, multi if multiline is None else multiline)
+            for f, (enc, multi) in file_profiles(spark, paths).items()}
+
+
 def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
     df = (spark.read.option("header", True).option("encoding", encoding)
           .option("escape", '"').option("multiLine", True).option("enforceSchema", False)
@@ -63,6 +75,27 @@ def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
     return df.columns
 
 
+def _reader(spark: SparkSession, header: list[str], enc: str, multi: bool) -> DataFrameReader:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return (spark.read.schema(schema).option("header", True).option("encoding", enc)
+            .option("mode", "PERMISSIVE").option("escape", '"')
+            .option("multiLine", multi).option("enforceSchema", True))
+
+
+def _read(spark: SparkSession, profiles: Profiles) -> tuple[DataFrame, list[str]]:
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for f, key in sorted(profiles.items()):
+        groups.setdefault(key, []).append(f)
+    first = sorted(profiles)[0]
+    header = _header(spark, first, profiles[first][0])
+    frames = [with_row_order(_reader(spark, header, enc, multi).csv(files), from_files=True)
+              for (enc, multi), files in groups.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out, header
+
+
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
                   multiline: bool | None = None) -> DataFrame:
     """S1 without typing: all-text columns named by the header, plus row-order columns.
@@ -70,38 +103,43 @@ def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: s
     ``encoding`` / ``multiline`` default to a per-file decision (:func:`file_profiles`).
     """
     paths = [path] if isinstance(path, str) else list(path)
-    groups: dict[tuple[str, bool], list[str]] = {}
-    if encoding is not None and multiline is not None:
-        groups[(encoding, multiline)] = paths
-    else:
-        for f, (enc, multi) in sorted(file_profiles(spark, paths).items()):
-            key = (encoding or enc, multi if multiline is None else multiline)
-            groups.setdefault(key, []).append(f)
-    frames = []
-    header = None
-    for (enc, multi), files in groups.items():
-        if header is None:
-            header = _header(spark, files[0], enc)
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        df = (spark.read.schema(schema).option("header", True).option("encoding", enc)
-              .option("mode", "PERMISSIVE").option("escape", '"')
-              .option("multiLine", multi).option("enforceSchema", True)
-              .csv(files))
-        frames.append(with_row_order(df, from_files=True))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return _read(spark, _profiles(spark, paths, encoding, multiline))[0]
+
+
+def csv_prefix(spark: SparkSession, profiles: Profiles, header: list[str],
+               n: int = INFER_ROWS) -> DataFrame:
+    """The first ``n`` rows in file order, reading only what they need.
+
+    Files are taken in path order; ``take`` on one file runs Spark's incremental limit, which
+    starts with the file's first split and stops the parser once enough rows are found. So the
+    cost is about ``n`` rows per snapshot, not a scan of it. The rows (at most ``n``) come back
+    as a small DataFrame for the same Spark-side decisions as any prefix.
+    """
+    rows: list = []
+    schema = None
+    for f in sorted(profiles):
+        enc, multi = profiles[f]
+        one = with_row_order(_reader(spark, header, enc, multi).csv(f), from_files=True)
+        schema = one.schema
+        rows += one.take(n - len(rows))
+        if len(rows) >= n:
+            break
+    return spark.createDataFrame(rows, schema)
 
 
 def parse_csv(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
               multiline: bool | None = None, infer: str = "prefix", numeric: bool = False,
               keep_order: bool = False) -> tuple[DataFrame, list[TypeDecision]]:
-    """Header, encoding choice, ragged rows, then S1b typing. The numeric sniff (N5) is part
-    of normalising (:func:`wideloom.plans.ingest.normalise`), as in the original order; pass
-    ``numeric=True`` to apply it here as well."""
-    text = read_csv_text(spark, path, encoding=encoding, multiline=multiline)
-    return sniff(text, csv=True, numeric=numeric, mode=infer, keep_order=keep_order)
+    """Header, encoding choice, ragged rows, then S1b typing over the first
+    :data:`~wideloom.operators.sniff.INFER_ROWS` rows. The numeric sniff (N5) is part of
+    normalising (:func:`wideloom.plans.ingest.normalise`), as in the original order; pass
+    ``numeric=True`` to decide it here from the same prefix."""
+    paths = [path] if isinstance(path, str) else list(path)
+    profiles = _profiles(spark, paths, encoding, multiline)
+    text, header = _read(spark, profiles)
+    prefix = csv_prefix(spark, profiles, header) if infer == "prefix" else None
+    return sniff(text, csv=True, numeric=numeric, mode=infer, keep_order=keep_order,
+                 prefix=prefix)
 
 
 def is_excel(url: str) -> bool:
