@@ -31,3 +31,20 @@ def test_parse_resource_normalises(spark, tmp_dir):
     assert df.dtypes == [("borough_name", "string"), ("count", "bigint"), ("sheet", "string")]
     assert sorted(tuple(r) for r in df.collect()) == [("Brent", 5, "S2"), ("Camden", 3, "S1"),
                                                       ("Hackney", 4, "S1")]
+
+
+def test_dimension_width_used(spark, tmp_dir):
+    import zipfile
+    from xlsx_fixture import MAIN
+    from wideloom.sources.xlsx import workbook_grid
+    p = write_xlsx(os.path.join(tmp_dir, "d.xlsx"), [("S", [["a", "b"], [1]])])
+    # add a dimension wider than the data: rows are padded to it, as a spreadsheet reader does
+    with zipfile.ZipFile(p) as z:
+        parts = {n: z.read(n) for n in z.namelist()}
+    parts["xl/worksheets/sheet1.xml"] = parts["xl/worksheets/sheet1.xml"].replace(
+        f'<worksheet xmlns="{MAIN}">'.encode(), f'<worksheet xmlns="{MAIN}"><dimension ref="A1:C2"/>'.encode())
+    with zipfile.ZipFile(p, "w") as z:
+        for n, b in parts.items():
+            z.writestr(n, b)
+    rows = list(workbook_grid(p, open(p, "rb").read()))
+    assert [r[4] for r in rows] == [["a", "b", None], ["1", None, None]]

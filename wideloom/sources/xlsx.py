@@ -87,37 +87,58 @@ def _cell_value(c, shared: list[str]) -> str | None:
     return v.text
 
 
-def _sheet_rows(z: zipfile.ZipFile, part: str, shared: list[str]) -> list[tuple[int, list]]:
-    rows: list[tuple[int, list]] = []
+def _row_cells(el, shared: list[str]) -> dict[int, str | None]:
+    cells: dict[int, str | None] = {}
+    for i, c in enumerate(el.iter(_q(NS_MAIN, "c"))):
+        ref = c.get("r")
+        cells[_col_index(ref) if ref else i] = _cell_value(c, shared)
+    return cells
+
+
+def _iter_rows(z: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[tuple[int, dict]]:
+    """(1-based row number, {column index: value}) in file order, streaming."""
+    last = 0
     with z.open(part) as fh:
         for _, el in ET.iterparse(fh, events=("end",)):
             if el.tag != _q(NS_MAIN, "row"):
                 continue
-            cells: dict[int, str | None] = {}
-            for i, c in enumerate(el.iter(_q(NS_MAIN, "c"))):
-                ref = c.get("r")
-                cells[_col_index(ref) if ref else i] = _cell_value(c, shared)
-            r = int(el.get("r")) if el.get("r") else (rows[-1][0] + 1 if rows else 1)
-            width = max(cells) + 1 if cells else 0
-            rows.append((r, [cells.get(i) for i in range(width)]))
+            r = int(el.get("r")) if el.get("r") else last + 1
+            last = r
+            yield r, _row_cells(el, shared)
             el.clear()
-    return rows
+
+
+def _sheet_width(z: zipfile.ZipFile, part: str) -> int | None:
+    """Width from the sheet's ``<dimension ref="A1:K99">`` (written before the data)."""
+    with z.open(part) as fh:
+        for _, el in ET.iterparse(fh, events=("start",)):
+            if el.tag == _q(NS_MAIN, "dimension"):
+                ref = el.get("ref", "").split(":")[-1]
+                return _col_index(ref) + 1 if _REF.match(ref) else None
+            if el.tag == _q(NS_MAIN, "sheetData"):
+                return None
+    return None
 
 
 def workbook_grid(name: str, data: bytes) -> Iterator[tuple]:
-    """Grid rows of one workbook: (file, sheet_pos, sheet, row_idx, cells)."""
+    """Grid rows of one workbook: (file, sheet_pos, sheet, row_idx, cells), streamed.
+
+    Rows are padded to the sheet width (the ``dimension`` element, or one counting pass when a
+    writer left it out), so memory stays at one row, not one sheet."""
     if name.lower().endswith(".xls"):
         raise ValueError(f"{name}: legacy binary .xls workbooks are not supported")
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         shared = _shared_strings(z)
         for pos, (sheet, part) in enumerate(_sheets(z)):
-            rows = _sheet_rows(z, part, shared)
-            if not rows:
-                continue
-            width = max(len(c) for _, c in rows)
-            first = rows[0][0]
-            for r, cells in rows:
-                yield (name, pos, sheet, r - first, cells + [None] * (width - len(cells)))
+            width = _sheet_width(z, part)
+            if width is None:
+                width = max((max(c) + 1 for _, c in _iter_rows(z, part, shared) if c), default=0)
+            first = None
+            for r, cells in _iter_rows(z, part, shared):
+                if first is None:
+                    first = r
+                w = max(width, max(cells) + 1 if cells else 0)
+                yield (name, pos, sheet, r - first, [cells.get(i) for i in range(w)])
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
