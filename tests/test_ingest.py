@@ -44,7 +44,7 @@ def test_refresh_isolation_and_combine(spark, tmp_dir):
     out = os.path.join(tmp_dir, "out")
     sources = [source("stop-search"), source("thorough-searches"), source("homicide"),
                source("custody")]
-    report = {r.key: r for r in refresh(spark, sources, man, out).collect()}
+    report = {r.key: r for r in refresh(spark, sources, man, out, parallel=2).collect()}
     # stride 22 over three snapshots reads the first and the last only
     assert report["stop-search"].status == "ok" and report["stop-search"].used == [s0, s2]
     # stride 1 reads all three; the broken workbook is skipped and reported, the rest saved
