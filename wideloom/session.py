@@ -26,13 +26,20 @@ BASE_CONF = {
 }
 
 
+# Context-level settings for sessions built here (ignored when a session already exists):
+# checkpoint files of collected DataFrames are removed from the shared folder.
+CONTEXT_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def get_spark(master: str | None = None, app: str = "wideloom",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Return the active session or build one with :data:`BASE_CONF` applied."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(BASE_CONF)
+    conf = {**BASE_CONF, **CONTEXT_CONF}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
