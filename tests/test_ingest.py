@@ -103,3 +103,19 @@ def test_all_snapshots_failing_is_a_skip(spark, tmp_dir):
     from wideloom.plans.ingest import REPORT_SCHEMA
     s = summarise(spark.createDataFrame([tuple(r)], REPORT_SCHEMA)).first()
     assert s.failed == [] and s.files == 0
+
+
+def test_views_and_source_listing(spark, tmp_dir):
+    from wideloom.plans.ingest import list_sources, sources_for
+    from wideloom.operators.manifest import UnknownSourceError
+    reg = registry_frame(spark)
+    assert [r.key for r in list_sources(reg).collect()][:2] == ["business-crime-offences",
+                                                                "business-crime-outcomes"]
+    assert [s["key"] for s in sources_for(spark, reg, "homicide")] == ["homicide"]
+    with pytest.raises(UnknownSourceError):
+        sources_for(spark, reg, "nope")
+    root = os.path.join(tmp_dir, "data")
+    spark.createDataFrame([("a", 1), ("b", 2)], "method string, age bigint") \
+        .write.parquet(f"{root}/homicide.parquet")
+    assert Catalog(spark, root).register_views() == ["homicide"]
+    assert spark.sql("SELECT sum(age) AS s FROM homicide").first().s == 3

@@ -45,3 +45,34 @@ def test_dedupe_of_self_union_is_idempotent(spark):
     once = dedupe(reconcile_union(snaps))
     twice = dedupe(reconcile_union(snaps + snaps))
     assert once.count() == twice.count() and once.exceptAll(twice).count() == 0
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "c", "d", "e"]), min_size=1, max_size=4,
+                         unique=True), min_size=1, max_size=4),
+       st.lists(st.sampled_from(["bigint", "double", "string"]), min_size=20, max_size=20))
+def test_union_schema_rule(frames, types):
+    """N6 target schema: first-seen order; a name with two different types becomes string."""
+    from pyspark.sql import types as T
+    from wideloom.operators.union import target_schema
+
+    class Fake:  # only .schema is read
+        def __init__(self, schema):
+            self.schema = schema
+
+    names = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+    it = iter(types)
+    fakes, seen_types = [], {}
+    for cols in frames:
+        fields = []
+        for c in cols:
+            t = next(it)
+            fields.append(T.StructField(c, names[t]))
+            seen_types.setdefault(c, set()).add(t)
+        fakes.append(Fake(T.StructType(fields)))
+    got = target_schema(fakes)
+    order = list(dict.fromkeys(c for cols in frames for c in cols))
+    assert [n for n, _ in got] == order
+    for n, t in got:
+        kinds = seen_types[n]
+        assert t == (names[kinds.pop()] if len(kinds) == 1 else T.StringType())
