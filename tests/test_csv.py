@@ -52,3 +52,9 @@ def test_multiline_only_where_needed(spark, tmp_dir):
     assert prof == {"plain.csv": ("UTF-8", False), "multi.csv": ("UTF-8", True)}
     df = read_csv_text(spark, [a, b]).drop("_src_file", "_src_block", "_src_row")
     assert sorted(tuple(r) for r in df.collect()) == [("line1\nline2", "2"), ('x "q"', "1")]
+
+
+def test_quoted_empty_is_text_absent_is_null(spark, tmp_dir):
+    p = write(tmp_dir, "e.csv", b'a,b\n"",x\n,y\n"z",w\n')
+    df, _ = parse_csv(spark, p)
+    assert [tuple(r) for r in df.collect()] == [("", "x"), (None, "y"), ("z", "w")]

@@ -34,6 +34,11 @@ EXCEL_EXTENSIONS = (".xlsx", ".xls")
 TABULAR_EXTENSIONS = (".csv", ".xlsx", ".xls")
 TABULAR_FORMATS = ("csv", "xlsx", "xls")
 
+# Spark reads a quoted empty field ("") as null like an absent one; the published
+# files distinguish them (quoted "" is an empty string, an absent field is null). Quoted empties
+# are read as this private-use marker and turned back into "" right after the read.
+QUOTED_EMPTY = "\ue000\ue001"
+
 Profiles = dict[str, tuple[str, bool]]
 
 
@@ -78,18 +83,25 @@ def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
 def _reader(spark: SparkSession, header: list[str], enc: str, multi: bool) -> DataFrameReader:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     return (spark.read.schema(schema).option("header", True).option("encoding", enc)
-            .option("mode", "PERMISSIVE").option("escape", '"')
+            .option("mode", "PERMISSIVE").option("escape", '"').option("emptyValue", QUOTED_EMPTY)
             .option("multiLine", multi).option("enforceSchema", True))
 
 
+def _read_files(spark: SparkSession, header: list[str], enc: str, multi: bool,
+                files: str | list[str]) -> DataFrame:
+    raw = _reader(spark, header, enc, multi).csv(files)
+    df = raw.select(*[F.when(F.col(c) == QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)).alias(c)
+                      for c in raw.columns], "_metadata")
+    return with_row_order(df, from_files=True).drop("_metadata")
+
+
 def _read(spark: SparkSession, profiles: Profiles) -> tuple[DataFrame, list[str]]:
     groups: dict[tuple[str, bool], list[str]] = {}
     for f, key in sorted(profiles.items()):
         groups.setdefault(key, []).append(f)
     first = sorted(profiles)[0]
     header = _header(spark, first, profiles[first][0])
-    frames = [with_row_order(_reader(spark, header, enc, multi).csv(files), from_files=True)
-              for (enc, multi), files in groups.items()]
+    frames = [_read_files(spark, header, enc, multi, files) for (enc, multi), files in groups.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -119,7 +131,7 @@ def csv_prefix(spark: SparkSession, profiles: Profiles, header: list[str],
     schema = None
     for f in sorted(profiles):
         enc, multi = profiles[f]
-        one = with_row_order(_reader(spark, header, enc, multi).csv(f), from_files=True)
+        one = _read_files(spark, header, enc, multi, f)
         schema = one.schema
         rows += one.take(n - len(rows))
         if len(rows) >= n:
