@@ -58,3 +58,13 @@ def test_quoted_empty_is_text_absent_is_null(spark, tmp_dir):
     p = write(tmp_dir, "e.csv", b'a,b\n"",x\n,y\n"z",w\n')
     df, _ = parse_csv(spark, p)
     assert [tuple(r) for r in df.collect()] == [("", "x"), (None, "y"), ("z", "w")]
+
+
+def test_duplicate_header_refused(spark, tmp_dir):
+    import pytest
+    p = write(tmp_dir, "d.csv", b"a,a,\n1,2,3\n")
+    with pytest.raises(ValueError):
+        parse_csv(spark, p)
+    q = write(tmp_dir, "blank.csv", b"a,,c\n1,2,3\n")
+    df, _ = parse_csv(spark, q)
+    assert df.columns == ["a", "_c1", "c"]

@@ -74,10 +74,18 @@ def _profiles(spark: SparkSession, paths: list[str], encoding: str | None,
 
 
 def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
-    df = (spark.read.option("header", True).option("encoding", encoding)
-          .option("escape", '"').option("multiLine", True).option("enforceSchema", False)
-          .csv(path))
-    return df.columns
+    """Column names from the first record. A blank name becomes ``_c<i>`` (Spark's convention);
+    repeated names are refused rather than renamed, since a later column would shadow or be
+    confused with an earlier one."""
+    first = (spark.read.option("header", False).option("encoding", encoding)
+             .option("escape", '"').option("multiLine", True).csv(path).take(1))
+    if not first:
+        raise ValueError(f"{path}: empty CSV file")
+    names = [c if c not in (None, "") else f"_c{i}" for i, c in enumerate(first[0])]
+    dup = sorted({n for n in names if names.count(n) > 1})
+    if dup:
+        raise ValueError(f"{path}: duplicate header names {dup}")
+    return names
 
 
 def _reader(spark: SparkSession, header: list[str], enc: str, multi: bool) -> DataFrameReader:
