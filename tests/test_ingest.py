@@ -119,3 +119,34 @@ def test_views_and_source_listing(spark, tmp_dir):
         .write.parquet(f"{root}/homicide.parquet")
     assert Catalog(spark, root).register_views() == ["homicide"]
     assert spark.sql("SELECT sum(age) AS s FROM homicide").first().s == 3
+
+
+def test_explore_tables(spark, tmp_dir):
+    import datetime as dt
+    from wideloom.plans.explore import explore
+    root = os.path.join(tmp_dir, "data")
+    cols = ("majortext string, minortext string, boroughname string, `202401` bigint, "
+            "`202402` bigint")
+    spark.createDataFrame([("VIOLENCE", "KNIFE CRIME", "Camden", 1, 2),
+                           ("THEFT", "BIKE", "Brent", 3, None)], cols) \
+        .write.parquet(f"{root}/recorded-crime-borough.parquet")
+    spark.createDataFrame([("VIOLENCE", "KNIFE CRIME", "Camden", 5)],
+                          "majortext string, minortext string, boroughname string, `202312` bigint") \
+        .write.parquet(f"{root}/recorded-crime-borough-historical.parquet")
+    spark.createDataFrame([("Borough", "Knife Crime", dt.date(2024, 1, 1), 10),
+                           ("Borough", "Knife Crime", dt.date(2024, 2, 1), 7),
+                           ("SNT", "Knife Crime", dt.date(2024, 2, 1), 99)],
+                          "area_type string, crime_type string, month_year date, "
+                          "count_of_incidents bigint") \
+        .write.parquet(f"{root}/monthly-crime-dashboard.parquet")
+    spark.createDataFrame([("s1 PACE", "Arrest", "Black"), (None, "NFA", "Unknown")],
+                          "legislation string, outcome string, ethnicappearance string") \
+        .write.parquet(f"{root}/stop-search.parquet")
+    t = explore(Catalog(spark, root))
+    assert {r.boroughname: r["count"] for r in t["knife_by_borough"].collect()} == {"Camden": 3}
+    assert {r.majortext: r["count"] for r in t["by_category"].collect()} == {"VIOLENCE": 3, "THEFT": 3}
+    assert [tuple(r) for r in t["full_series"].collect()] == [(dt.date(2023, 12, 1), dt.date(2024, 2, 1), 5)]
+    assert {r.kind: r.incidents for r in t["peak_and_lowest"].collect()} == {"peak": 10, "lowest": 7}
+    assert [tuple(r) for r in t["legislation"].collect()] == [("s1 PACE", 1)]
+    assert [tuple(r) for r in t["ethnicity"].collect()] == [("Black", 1)]
+    assert "vawg_by_type" not in t and "outcomes" in t
