@@ -212,8 +212,15 @@ def sniff(df: DataFrame, *, csv: bool = False, numeric: bool = True,
     Returns the typed frame and the decisions. Ordering columns are added if missing and dropped
     unless ``keep_order``.
     """
-    if not set(ORDER_COLS) <= set(df.columns):
+    from_files = set(ORDER_COLS) <= set(df.columns)
+    if not from_files:
         df = with_row_order(df)
+
+    def first_rows() -> DataFrame:
+        # Not a file scan: row order is partition order, so the prefix is one bounded top-k.
+        return file_prefix(df, infer_rows) if from_files else \
+            df.orderBy("_src_row").limit(infer_rows)
+
     text_cols = _string_cols(df)
     decisions: list[TypeDecision] = []
     kinds: dict[str, str] = {}
@@ -221,13 +228,13 @@ def sniff(df: DataFrame, *, csv: bool = False, numeric: bool = True,
         prefix = df
     if csv and text_cols:
         if prefix is None:
-            prefix = file_prefix(df, infer_rows)
+            prefix = first_rows()
         s1b = decide_csv_types(prefix, text_cols)
         kinds.update({c: k for c, k in s1b.items() if k != "string"})
         decisions += [TypeDecision(c, k, "S1b") for c, k in s1b.items() if k != "string"]
     still_text = [c for c in text_cols if c not in kinds] if numeric else []
     if prefix is None and still_text and mode != "full":
-        prefix = file_prefix(df, infer_rows)
+        prefix = first_rows()
     if mode == "full":
         n5 = _decide_full(df, still_text)
     else:
