@@ -150,3 +150,11 @@ def test_explore_tables(spark, tmp_dir):
     assert [tuple(r) for r in t["legislation"].collect()] == [("s1 PACE", 1)]
     assert [tuple(r) for r in t["ethnicity"].collect()] == [("Black", 1)]
     assert "vawg_by_type" not in t and "outcomes" in t
+
+
+def test_meta_document_key_order(spark):
+    from wideloom.plans.site import meta_document
+    m = spark.createDataFrame([("thorough_searches", "3"), ("updated", "2026-02"),
+                               ("stop_search", "1"), ("homicide", "2")], "item string, value string")
+    assert meta_document(m).first().json == \
+        '{"updated":"2026-02","rows":{"stop_search":1,"homicide":2,"thorough_searches":3}}'

@@ -51,10 +51,13 @@ def build_documents(spark: SparkSession, catalog: Catalog) -> dict[str, DataFram
     return docs
 
 
-def meta_document(meta: DataFrame) -> DataFrame:
-    """``{"updated": "...", "rows": {name: n, ...}}`` from the (item, value) rows of Q7."""
-    rows = F.map_from_entries(F.collect_list(F.when(
-        F.col("item") != "updated", F.struct("item", F.col("value").cast("bigint")))))
+def meta_document(meta: DataFrame, order: tuple[str, ...] = tuple(n for n, _ in META_DATASETS)) -> DataFrame:
+    """``{"updated": "...", "rows": {name: n, ...}}`` from the (item, value) rows of Q7, with the
+    row counts in ``order`` (the published key order)."""
+    pos = F.array_position(F.array(*[F.lit(n) for n in order]), F.col("item"))
+    entries = F.array_sort(F.collect_list(F.when(
+        F.col("item") != "updated", F.struct(pos.alias("p"), "item", F.col("value").cast("bigint").alias("v")))))
+    rows = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["item"], e["v"])))
     updated = F.max(F.when(F.col("item") == "updated", F.col("value")))
     return meta.agg(F.to_json(F.struct(updated.alias("updated"), rows.alias("rows"))).alias("json"))
 
