@@ -58,17 +58,27 @@ def n05(spark, sf_dir):
 
 # ── union and dedupe (N6, N7, N11) ────────────────────────────────────────────────────────────
 
-_WINDOWS = S.SNAPSHOT_WINDOWS
+# Snapshot bounds in SQL: the same integer microsecond arithmetic as shapes.snapshot_bounds.
+_SPANS = S.SNAPSHOT_SPANS
+_BOUNDS = "(SELECT " + ", ".join(
+    f"lo + w * {a} // 100 AS s{i}, lo + w * {b} // 100 AS e{i}" for i, (a, b) in enumerate(_SPANS)
+) + " FROM (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) - epoch_us(min(ts)) + 1 AS w FROM events))"
+
+
+def _in(i: int) -> str:
+    return f"epoch_us(ts) >= (SELECT s{i} FROM {_BOUNDS}) AND epoch_us(ts) < (SELECT e{i} FROM {_BOUNDS})"
+
+
 _SNAP_SQL = f"""
 SELECT event_id, ts, user_id, event_type, CAST(value AS VARCHAR) AS value, props,
        NULL::VARCHAR AS eventtype, NULL::VARCHAR AS channel
-FROM events WHERE ts >= TIMESTAMP '{_WINDOWS[0][0]}' AND ts < TIMESTAMP '{_WINDOWS[0][1]}'
+FROM events WHERE {_in(0)}
 UNION ALL
 SELECT event_id, ts, user_id, event_type, CAST(value AS VARCHAR), props, NULL, NULL
-FROM events WHERE ts >= TIMESTAMP '{_WINDOWS[1][0]}' AND ts < TIMESTAMP '{_WINDOWS[1][1]}'
+FROM events WHERE {_in(1)}
 UNION ALL
 SELECT event_id, ts, user_id, NULL, CAST(value AS VARCHAR), props, event_type, upper(event_type)
-FROM events WHERE ts >= TIMESTAMP '{_WINDOWS[2][0]}' AND ts < TIMESTAMP '{_WINDOWS[2][1]}'"""
+FROM events WHERE {_in(2)}"""
 
 
 @register("n06_snapshot_union", _SNAP_SQL)
@@ -316,14 +326,14 @@ _SNAP_CSV_SQL = f"""
 SELECT DISTINCT * FROM (
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props,
        NULL::VARCHAR AS eventtype, NULL::VARCHAR AS channel
-FROM events WHERE ts >= TIMESTAMP '{_WINDOWS[0][0]}' AND ts < TIMESTAMP '{_WINDOWS[0][1]}'
+FROM events WHERE {_in(0)}
 UNION ALL
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S'), user_id, event_type, value, props, NULL, NULL
-FROM events WHERE ts >= TIMESTAMP '{_WINDOWS[1][0]}' AND ts < TIMESTAMP '{_WINDOWS[1][1]}'
+FROM events WHERE {_in(1)}
 UNION ALL
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S'), user_id, NULL, value, props, event_type,
        upper(event_type)
-FROM events WHERE ts >= TIMESTAMP '{_WINDOWS[2][0]}' AND ts < TIMESTAMP '{_WINDOWS[2][1]}')"""
+FROM events WHERE {_in(2)})"""
 
 
 @register("m06_combined_refresh", _SNAP_CSV_SQL)

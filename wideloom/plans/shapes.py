@@ -139,22 +139,34 @@ def offence_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "p_type", F.col("l_quantity").cast("bigint").alias("offence_count")))
 
 
-# Snapshot windows over the January 2024 events (overlapping on purpose).
-SNAPSHOT_WINDOWS = (
-    ("2024-01-01", "2024-01-20"),  # oldest, old schema
-    ("2024-01-10", "2024-01-25"),  # old schema, overlaps the first
-    ("2024-01-15", "2024-02-01"),  # new schema: renamed, added and re-typed columns
-)
+# The three rolling snapshots as percent spans of the events' time range,
+# overlapping on purpose; the last one has the drifted schema.
+SNAPSHOT_SPANS = ((0, 60), (30, 80), (45, 100))
+
+
+def snapshot_bounds(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
+    """[start, end) of each snapshot in epoch microseconds, from the table's own min/max ``ts``
+    (one aggregate row), so the snapshots always cover the whole table whatever its span."""
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    r = table(spark, sf_dir, "events").agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    lo, width = r.lo, r.hi - r.lo + 1
+    return [(lo + width * a // 100, lo + width * b // 100) for a, b in SNAPSHOT_SPANS]
+
+
+def _ntz(micros: int):
+    from datetime import datetime, timedelta
+    t = datetime(1970, 1, 1) + timedelta(microseconds=micros)
+    return F.to_timestamp_ntz(F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")))
 
 
 def event_snapshots(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Three rolling 'snapshots' of ``events``; the newest drifted: ``event_type`` renamed to
-    ``eventtype``, ``value`` published as text, and a new ``channel`` column."""
+    ``eventtype``, ``value`` published as text, and a new ``channel`` column. Bounds are
+    compared with ``ts`` itself, so they reach the Parquet scan as pushed filters."""
     ev = table(spark, sf_dir, "events")
     out = []
-    for i, (lo, hi) in enumerate(SNAPSHOT_WINDOWS):
-        w = ev.filter((F.col("ts") >= F.to_timestamp_ntz(F.lit(lo + " 00:00:00")))
-                      & (F.col("ts") < F.to_timestamp_ntz(F.lit(hi + " 00:00:00"))))
+    for i, (lo, hi) in enumerate(snapshot_bounds(spark, sf_dir)):
+        w = ev.filter((F.col("ts") >= _ntz(lo)) & (F.col("ts") < _ntz(hi)))
         if i < 2:
             out.append(w.select("event_id", "ts", "user_id", "event_type", "value", "props"))
         else:
