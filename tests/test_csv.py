@@ -68,3 +68,25 @@ def test_duplicate_header_refused(spark, tmp_dir):
     q = write(tmp_dir, "blank.csv", b"a,,c\n1,2,3\n")
     df, _ = parse_csv(spark, q)
     assert df.columns == ["a", "_c1", "c"]
+
+
+def test_prefix_reads_first_split_only(spark, tmp_dir):
+    """The typing prefix of a split file is taken from its first split (one task), not a scan."""
+    from wideloom.sources.csv import _profiles, csv_prefix
+    p = write(tmp_dir, "big.csv", ("a,b\n" + "".join(f"{i},{'x' * 50}\n" for i in range(20000))).encode())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        profiles = _profiles(spark, [p], None, None)
+        assert list(profiles.values()) == [("UTF-8", False)]
+        assert read_csv_text(spark, p).rdd.getNumPartitions() > 10
+        st = spark.sparkContext.statusTracker()
+        before = set(st.getJobIdsForGroup(None))
+        prefix = csv_prefix(spark, profiles, ["a", "b"], n=100)
+        new_jobs = set(st.getJobIdsForGroup(None)) - before
+        tasks = [st.getStageInfo(s).numTasks for j in new_jobs for s in st.getJobInfo(j).stageIds]
+        assert tasks == [1]
+        assert [r.a for r in prefix.orderBy("_src_row").collect()][:3] == ["0", "1", "2"]
+        assert prefix.count() == 100
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
