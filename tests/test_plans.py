@@ -55,3 +55,36 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["month", "total"] and len(rows) > 0
+
+
+def _partial_before_exchange(p: str) -> bool:
+    """A hash exchange with an aggregate right above it (final) and right below it (map-side)."""
+    lines = [ln.strip().lstrip("+-: ").strip() for ln in p.splitlines() if ln.strip()]
+    for i, ln in enumerate(lines):
+        if ln.startswith("Exchange hashpartitioning") and 0 < i < len(lines) - 1:
+            if lines[i - 1].startswith("HashAggregate") and lines[i + 1].startswith("HashAggregate"):
+                return True
+    return False
+
+
+def test_hot_key_and_hot_row_aggregate_map_side(spark):
+    """A key (or a duplicated row) holding a third of the rows is combined in each task before
+    the shuffle, and results stay exact."""
+    from pyspark.sql import functions as F
+    from wideloom.operators.union import dedupe
+    from wideloom.plans.analyses import sum_by
+    n = 30_000
+    rows = [("HOT", 1) if i % 3 == 0 else (str(i % 97), i) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, count bigint").repartition(8)
+    s = sum_by(df, "k")
+    assert _partial_before_exchange(plan(s))
+    assert {r.k: r["count"] for r in s.collect()}["HOT"] == n // 3
+    d = dedupe(df)
+    assert _partial_before_exchange(plan(d))
+    assert d.count() == 1 + (n - n // 3)
+
+
+def test_session_defaults_adaptive(spark):
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
