@@ -65,3 +65,8 @@ def test_peak_lowest_ties_earliest(spark):
         .select(F.to_date("month_year").alias("month_year"), "incidents")
     got = {r.kind: (str(r.month_year), r.incidents) for r in A.peak_and_lowest(m).collect()}
     assert got == {"peak": ("2024-02-01", 9), "lowest": ("2024-01-01", 5)}
+
+
+def test_peak_lowest_empty(spark):
+    m = spark.createDataFrame([], "month_year date, incidents bigint")
+    assert A.peak_and_lowest(m).count() == 0

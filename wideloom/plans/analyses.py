@@ -169,7 +169,8 @@ def dashboard_monthly(dashboard: DataFrame, *, equals: Mapping[str, object],
 
 def peak_and_lowest(monthly: DataFrame, *, month: str = "month_year",
                     value: str = "incidents") -> DataFrame:
-    """Q13 (A9): the highest and the lowest month in one aggregate pass; ties -> earliest month."""
+    """Q13 (A9): the highest and the lowest month in one aggregate pass; ties -> earliest month.
+    An empty series gives no rows (monthly sums are never null, so a null value means empty)."""
     day = F.unix_date(as_date(month))
     row = F.struct(F.col(month).alias("month"), F.col(value).alias("value"))
     one = monthly.agg(
@@ -179,7 +180,7 @@ def peak_and_lowest(monthly: DataFrame, *, month: str = "month_year",
         F.struct(F.lit("peak").alias("kind"), F.col("peak.month").alias(month),
                  F.col("peak.value").alias(value)),
         F.struct(F.lit("lowest").alias("kind"), F.col("lowest.month").alias(month),
-                 F.col("lowest.value").alias(value)))))
+                 F.col("lowest.value").alias(value))))).filter(F.col(value).isNotNull())
 
 
 def seasonality(monthly: DataFrame, *, month: str = "month_year", value: str = "incidents",

@@ -175,3 +175,29 @@ def event_snapshots(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
                                 F.col("value").cast("string").alias("value"), "props",
                                 F.upper("event_type").alias("channel")))
     return out
+
+
+def stage_catalog(spark: SparkSession, sf_dir: str, root: str) -> dict[str, int]:
+    """Write the driver-derived datasets under ``root`` with the registry's output names, so the
+    catalog, the site build and the notebook tables run end to end on them.
+
+    Current and historical borough files come from one checkpointed aggregate; the dashboard also
+    carries the notebook's ``count_of_incidents`` name; thorough searches are the reconciled and
+    de-duplicated event snapshots. Returns rows written per dataset.
+    """
+    from ..operators.union import dedupe, reconcile_union
+    from ..sources.registry import source
+    from ..sources.sinks import save_parquet
+
+    counts = CrimeCounts(spark, sf_dir)
+    dash = dashboard(spark, sf_dir)
+    datasets = {
+        "recorded-crime-borough": counts.current(),
+        "recorded-crime-borough-historical": counts.historical(),
+        "monthly-crime-dashboard": dash.withColumn("count_of_incidents", F.col("count")),
+        "stop-search": stop_records(spark, sf_dir),
+        "vawg-offences": offence_records(spark, sf_dir),
+        "thorough-searches": dedupe(reconcile_union(event_snapshots(spark, sf_dir))),
+    }
+    return {key: save_parquet(df, f"{root.rstrip('/')}/{source(key)['output']}").rows
+            for key, df in datasets.items()}
