@@ -158,3 +158,13 @@ def test_meta_document_key_order(spark):
                                ("stop_search", "1"), ("homicide", "2")], "item string, value string")
     assert meta_document(m).first().json == \
         '{"updated":"2026-02","rows":{"stop_search":1,"homicide":2,"thorough_searches":3}}'
+
+
+def test_partitioned_save_prunes(spark, tmp_dir):
+    from wideloom.sources.sinks import save_parquet
+    df = spark.createDataFrame([(2023, "a"), (2024, "b"), (2024, "c")], "year int, v string")
+    res = save_parquet(df, f"{tmp_dir}/p.parquet", partition_by=["year"])
+    assert res.rows == 3
+    q = spark.read.parquet(f"{tmp_dir}/p.parquet").filter("year = 2024")
+    assert "PartitionFilters: [isnotnull(year" in q._jdf.queryExecution().executedPlan().toString()
+    assert q.count() == 2

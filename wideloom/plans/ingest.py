@@ -76,7 +76,8 @@ REPORT_SCHEMA = ("key string, path string, rows bigint, status string, error str
 
 def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_root: str, *,
                    grid_reader: GridReader | None = None, infer: str = "prefix",
-                   multiline: bool | None = None) -> RefreshReport:
+                   multiline: bool | None = None,
+                   partition_by: list[str] | None = None) -> RefreshReport:
     """One dataset: pick (or stride-sample) resources, parse, combine, save."""
     reg = spark.createDataFrame([(source["key"], source["short_id"],
                                   source.get("resource_name_contains", ""),
@@ -113,7 +114,8 @@ def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_r
         report.error = "all resources failed"
         return report
     data = dedupe(reconcile_union(frames)) if source.get("combine_resources") else frames[0]
-    res = save_parquet(data, f"{out_root.rstrip('/')}/{source['output']}")
+    res = save_parquet(data, f"{out_root.rstrip('/')}/{source['output']}",
+                       partition_by=[c for c in (partition_by or []) if c in data.columns])
     report.path, report.rows = res.path, res.rows
     return report
 
