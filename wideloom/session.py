@@ -57,13 +57,20 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged files.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared filesystem). Only when
-    it is unset, as in local tests, a private folder is created and registered.
+    it is unset, as in local tests, a private folder is created and registered. Under Spark
+    Connect there is no local SparkContext; the server's own setting is used as is.
     """
-    sc = spark.sparkContext
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect session
+        sc = None
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
+        (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None)
     if not conf_dir:
+        if sc is None:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
         conf_dir = tempfile.mkdtemp(prefix="wideloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(conf_dir)
     return conf_dir.rstrip("/")
