@@ -16,7 +16,7 @@ Only per-sheet metadata (header row, row counts: one small row per sheet) reache
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.union import reconcile_union
@@ -28,8 +28,11 @@ class NoDataSheetsError(ValueError):
     pass
 
 
-def _header_names(cells: list) -> list[str]:
-    return [str(c).strip() if c is not None else f"col_{i}" for i, c in enumerate(cells)]
+def header_names(cells: Column) -> Column:
+    """Column names from a header row: each cell without surrounding white space; an empty
+    (null) cell is named by its position, ``col_<i>``."""
+    return F.transform(cells, lambda c, i: F.coalesce(
+        F.regexp_replace(c, r"^\s+|\s+$", ""), F.concat(F.lit("col_"), i.cast("string"))))
 
 
 def stack_sheets(grid: DataFrame, *, file: str | None = None) -> DataFrame:
@@ -40,14 +43,14 @@ def stack_sheets(grid: DataFrame, *, file: str | None = None) -> DataFrame:
     stats = (grid.groupBy("sheet_pos", "sheet")
              .agg(F.count(F.lit(1)).alias("n_rows"),
                   F.count(F.when((F.col("row_idx") > 0) & has_value, 1)).alias("n_data"),
-                  F.max_by(F.when(F.col("row_idx") == 0, F.col("cells")), F.col("row_idx") == 0)
-                   .alias("header"))
+                  F.max_by(F.when(F.col("row_idx") == 0, header_names(F.col("cells"))),
+                           F.col("row_idx") == 0).alias("header"))
              .orderBy("sheet_pos"))
     frames = []
     for s in stats.collect():  # one row per sheet
         if s.n_rows < 2 or s.n_data == 0 or s.header is None:
             continue
-        names = _header_names(list(s.header))
+        names = list(s.header)
         dup = sorted({n for n in names if names.count(n) > 1})
         if dup:
             # a spreadsheet reader would keep only the last of each; refuse instead
