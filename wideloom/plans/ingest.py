@@ -76,8 +76,8 @@ REPORT_SCHEMA = ("key string, path string, rows bigint, status string, error str
 
 def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_root: str, *,
                    grid_reader: GridReader | None = None, infer: str = "prefix",
-                   multiline: bool | None = None,
-                   partition_by: list[str] | None = None) -> RefreshReport:
+                   multiline: bool | None = None, partition_by: list[str] | None = None,
+                   snapshot_workers: int = 4) -> RefreshReport:
     """One dataset: pick (or stride-sample) resources, parse, combine, save."""
     reg = spark.createDataFrame([(source["key"], source["short_id"],
                                   source.get("resource_name_contains", ""),
@@ -97,17 +97,30 @@ def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_r
     if not urls:
         report.status = "no-match"
         return report
-    frames = []
-    for url in urls:
+    def parse(url: str):
         try:
-            df = parse_resource(spark, url, grid_reader=grid_reader, infer=infer,
-                                multiline=multiline)
+            return url, parse_resource(spark, url, grid_reader=grid_reader, infer=infer,
+                                       multiline=multiline), None
+        except Exception as e:  # noqa: BLE001 - a bad snapshot is skipped and reported
+            return url, None, e
+
+    # Snapshots are independent: their (small, bounded) typing jobs run from a few driver
+    # threads; results keep manifest order, so the union's first-seen column order is unchanged.
+    if snapshot_workers > 1 and len(urls) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=min(snapshot_workers, len(urls))) as pool:
+            parsed = list(pool.map(parse, urls))
+    else:
+        parsed = [parse(u) for u in urls]
+    frames = []
+    for url, df, err in parsed:
+        if err is None:
             frames.append(df)
             report.used.append(url)
-        except Exception as e:  # noqa: BLE001 - a bad snapshot is skipped and reported
-            if not source.get("combine_resources"):
-                raise
-            report.skipped.append(f"{url}: {type(e).__name__}: {str(e)[:200]}")
+        elif not source.get("combine_resources"):
+            raise err
+        else:
+            report.skipped.append(f"{url}: {type(err).__name__}: {str(err)[:200]}")
     if not frames:
         # every snapshot failed: skipped with a warning, like "no match" (not a failure)
         report.status = "no-data"
