@@ -20,7 +20,7 @@ measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise ke
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -77,9 +77,13 @@ class CrimeCounts:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         scratch_dir(spark)   # checkpoint() needs the shared folder registered
-        self.counts = crime_long_counts(spark, sf_dir).checkpoint(eager=True)
-        self.months = sorted(r.month for r in self.counts.select("month").distinct().collect()
-                             if r.month is not None)   # bounded by the calendar
+        # The month list is observed while the checkpoint job runs (a set bounded by the
+        # calendar, merged from the tasks), so no second job reads the counts for it.
+        obs = Observation("months")
+        observed = crime_long_counts(spark, sf_dir).observe(
+            obs, F.array_sort(F.collect_set("month")).alias("months"))
+        self.counts = observed.checkpoint(eager=True)
+        self.months = [m for m in obs.get["months"] if m is not None]
 
     def wide(self, months: list[str] | None = None) -> DataFrame:
         """Wide table over ``months`` (default all): ``pivot`` with an explicit value list, so
