@@ -70,3 +70,10 @@ def test_peak_lowest_ties_earliest(spark):
 def test_peak_lowest_empty(spark):
     m = spark.createDataFrame([], "month_year date, incidents bigint")
     assert A.peak_and_lowest(m).count() == 0
+
+
+def test_count_by_null_group_and_exclusions(spark):
+    df = spark.createDataFrame([("a",), (None,), ("Unknown",), ("a",), (None,)], "e string")
+    assert {r.e: r.stops for r in A.count_by(df, "e", exclude=("Unknown",), keep_null=True).collect()} \
+        == {"a": 2, None: 2}
+    assert {r.e: r.stops for r in A.count_by(df, "e", exclude=("Unknown",)).collect()} == {"a": 2}

@@ -210,7 +210,7 @@ def count_by(records: DataFrame, col: str, *, exclude: Sequence[str] = (), k: in
     ``group_by`` keeps it)."""
     cond = F.lit(True) if keep_null else F.col(col).isNotNull()
     for v in exclude:
-        cond = cond & (F.col(col) != F.lit(v))
+        cond = cond & ~F.col(col).eqNullSafe(F.lit(v))   # a kept null group is not excluded
     agg = records.filter(cond).groupBy(col).agg(F.count(F.lit(1)).alias(out))
     agg = agg.orderBy(*_desc_then_label(out, col))
     return agg.limit(k) if k else agg
