@@ -22,7 +22,9 @@ def test_every_query_has_oracle(queries):
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_no_python_or_cartesian(spark, queries, name):
-    p = plan(queries[name](spark, SF["0.001"]))
+    df = queries[name](spark, SF["0.001"])
+    assert len(set(df.columns)) == len(df.columns), f"{name}: duplicate column names"
+    p = plan(df)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in p, f"{name}: {bad}"
