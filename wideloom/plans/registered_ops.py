@@ -385,3 +385,36 @@ def s08(spark, sf_dir):
     from . import analyses as A
     by = A.by_borough(S.crime_wide(spark, sf_dir))
     return chart_payload(by, "boroughname", "total", order=[F.desc("total"), F.col("boroughname")])
+
+
+# ── text and number defaults (F19, F20) and notebook tick labels (F14) ────────────────────────
+
+@register("f19_text_and_number_defaults", "WITH" + """
+rec AS (
+  SELECT event_id,
+         CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'view' THEN 'Unknown'
+              ELSE event_type END AS ethnicappearance,
+         CASE WHEN event_type <> 'signup' THEN json_extract_string(props, '$.k') END AS legislation
+  FROM events)
+SELECT event_id, coalesce(ethnicappearance, '') AS ethnicity_text,
+       coalesce(nullif(legislation, ''), '--') AS legislation_label,
+       CAST(coalesce(length(legislation), 0) AS INTEGER) AS legislation_len
+FROM rec""")
+def f19(spark, sf_dir):
+    from ..functions.numbers import zero_if_null
+    from ..functions.text import default_if_blank, empty_if_null
+    rec = S.stop_records(spark, sf_dir)
+    return rec.select("event_id", empty_if_null("ethnicappearance").alias("ethnicity_text"),
+                      default_if_blank("legislation", "--").alias("legislation_label"),
+                      zero_if_null(F.length("legislation")).alias("legislation_len"))
+
+
+@register("f14_tick_labels", """
+SELECT l_partkey, CAST(CAST(round(SUM(CAST(l_quantity AS BIGINT)) / 1e3) AS BIGINT) AS VARCHAR) || 'K'
+       AS tick
+FROM lineitem GROUP BY l_partkey""")
+def f14(spark, sf_dir):
+    from ..functions.numbers import thousands_label
+    t = (S.table(spark, sf_dir, "lineitem").groupBy("l_partkey")
+         .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("total")))
+    return t.select("l_partkey", thousands_label("total").alias("tick"))
