@@ -90,3 +90,13 @@ def test_prefix_reads_first_split_only(spark, tmp_dir):
         assert prefix.count() == 100
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_header_only_and_empty_files(spark, tmp_dir):
+    import pytest
+    h = write(tmp_dir, "h.csv", b"a,b\n")
+    df, _ = parse_csv(spark, h)
+    assert df.dtypes == [("a", "string"), ("b", "string")] and df.count() == 0
+    e = write(tmp_dir, "e0.csv", b"")
+    with pytest.raises(Exception):
+        parse_csv(spark, e)
