@@ -107,18 +107,19 @@ def crime_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly-dashboard-shaped long counts: area type = order status, area = customer nation,
-    measure = market segment, crime type = order priority, ``month_year`` = first of the month."""
+    measure = market segment, crime type = order priority, ``month_year`` = first of the month.
+    Grouped on the integer nation key; names are attached to the aggregated rows only."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority",
                                               "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = (o.join(c, o.o_custkey == c.c_custkey)
-          .join(_nation(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")))
-    return (j.groupBy(F.col("o_orderstatus").alias("area_type"),
-                      F.col("n_name").alias("area_name"),
-                      F.col("c_mktsegment").alias("measure"),
-                      F.col("o_orderpriority").alias("crime_type"),
-                      F.trunc(F.to_date("o_orderdate"), "month").alias("month_year"))
-             .agg(F.count(F.lit(1)).alias("count")))
+    agg = (o.join(c, o.o_custkey == c.c_custkey)
+            .groupBy("o_orderstatus", "c_nationkey", "c_mktsegment", "o_orderpriority",
+                     F.trunc(F.to_date("o_orderdate"), "month").alias("month_year"))
+            .agg(F.count(F.lit(1)).alias("count")))
+    named = agg.join(_nation(spark, sf_dir), agg.c_nationkey == F.col("n_nationkey"))
+    return named.select(F.col("o_orderstatus").alias("area_type"), F.col("n_name").alias("area_name"),
+                        F.col("c_mktsegment").alias("measure"),
+                        F.col("o_orderpriority").alias("crime_type"), "month_year", "count")
 
 
 def stop_records(spark: SparkSession, sf_dir: str) -> DataFrame:
