@@ -9,9 +9,11 @@ rules to it with DataFrame operations:
 * header cells are trimmed text; a blank header cell becomes ``col_<i>``;
 * a data row whose cells are all null is dropped; short rows are padded with nulls and cells past
   the header are ignored;
-* a ``_sheet`` column names the sheet; several sheets are combined by the reconciling union.
+* a ``_sheet`` column names the sheet; several sheets are combined as the reconciling union
+  would (first-seen column order, missing columns null), in one projection over the grid.
 
-Only per-sheet metadata (header row, row counts: one small row per sheet) reaches the driver.
+Only per-sheet metadata (header row, row counts: one small row per sheet) reaches the driver;
+the grid is read twice (that metadata, then the rows), whatever the number of sheets.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.union import reconcile_union
 
 CELL_GRID_SCHEMA = "file string, sheet_pos int, sheet string, row_idx int, cells array<string>"
 
@@ -46,7 +47,7 @@ def stack_sheets(grid: DataFrame, *, file: str | None = None) -> DataFrame:
                   F.max_by(F.when(F.col("row_idx") == 0, header_names(F.col("cells"))),
                            F.col("row_idx") == 0).alias("header"))
              .orderBy("sheet_pos"))
-    frames = []
+    sheets = []
     for s in stats.collect():  # one row per sheet
         if s.n_rows < 2 or s.n_data == 0 or s.header is None:
             continue
@@ -55,9 +56,26 @@ def stack_sheets(grid: DataFrame, *, file: str | None = None) -> DataFrame:
         if dup:
             # a spreadsheet reader would keep only the last of each; refuse instead
             raise ValueError(f"sheet {s.sheet!r}: duplicate header names {dup}")
-        rows = grid.filter((F.col("sheet_pos") == s.sheet_pos) & (F.col("row_idx") > 0) & has_value)
-        frames.append(rows.select(*[F.get(F.col("cells"), i).alias(n) for i, n in enumerate(names)],
-                                  F.lit(s.sheet).alias("_sheet")))
-    if not frames:
+        sheets.append((s.sheet_pos, s.sheet, names))
+    if not sheets:
         raise NoDataSheetsError("no data sheets found in workbook")
-    return reconcile_union(frames)
+    # Every cell is text, so the reconciling union of the sheets (first-seen column order, a
+    # column a sheet lacks is null there) is one projection: each output column takes its cell
+    # by the row's sheet. One pass over the grid instead of one per sheet.
+    order: dict[str, None] = {}
+    for _, _, names in sheets:
+        order.update(dict.fromkeys(names + ["_sheet"]))
+    pos = F.col("sheet_pos")
+    cols = []
+    for name in order:
+        if name == "_sheet":
+            cols.append(F.col("sheet").alias("_sheet"))
+            continue
+        expr = None
+        for p, _, names in sheets:
+            if name in names:
+                cell = F.get(F.col("cells"), names.index(name))
+                expr = F.when(pos == p, cell) if expr is None else expr.when(pos == p, cell)
+        cols.append(expr.alias(name))
+    kept = [p for p, _, _ in sheets]
+    return grid.filter(pos.isin(kept) & (F.col("row_idx") > 0) & has_value).select(*cols)
