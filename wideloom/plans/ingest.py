@@ -30,6 +30,7 @@ from ..sources.csv import is_excel, parse_csv
 from ..sources.sheets import stack_sheets
 from ..sources.sinks import save_parquet
 from ..sources.xlsx import read_xlsx_grid
+from ..session import scratch_dir
 
 GridReader = Callable[[SparkSession, str], DataFrame]
 
@@ -51,7 +52,11 @@ def parse_resource(spark: SparkSession, url: str, *, grid_reader: GridReader | N
                    infer: str = "prefix", multiline: bool | None = None) -> DataFrame:
     """S3 + S1/S2 + normalise for one resource path."""
     if is_excel(url):
-        df = stack_sheets((grid_reader or read_xlsx_grid)(spark, url))
+        # Decode once: the sheet metadata, the rows, the typing sample and the final write all
+        # read the checkpointed grid instead of re-running the workbook decoder.
+        scratch_dir(spark)
+        grid = (grid_reader or read_xlsx_grid)(spark, url).checkpoint(eager=True)
+        df = stack_sheets(grid)
         return normalise(df, infer=infer)[0]
     # CSV: S1b and N5 are decided together over one row-order prefix (N5 looks at values only,
     # so deciding it before the renaming gives the same types), then the names are normalised.
