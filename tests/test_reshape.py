@@ -77,3 +77,25 @@ def test_count_by_null_group_and_exclusions(spark):
     assert {r.e: r.stops for r in A.count_by(df, "e", exclude=("Unknown",), keep_null=True).collect()} \
         == {"a": 2, None: 2}
     assert {r.e: r.stops for r in A.count_by(df, "e", exclude=("Unknown",)).collect()} == {"a": 2}
+
+
+def test_melt_mixed_types_share_one_type(spark):
+    from wideloom.operators.reshape import melt
+    df = spark.createDataFrame([("k", 1, 2.5, "x")], "id string, a bigint, b double, c string")
+    assert melt(df, ["id"], ["a", "b"]).schema["count"].dataType.simpleString() == "double"
+    assert melt(df, ["id"], ["a", "c"]).schema["count"].dataType.simpleString() == "string"
+
+
+def test_melt_months_prunes_columns_at_the_scan(spark, tmp_path):
+    p = str(tmp_path / "wide.parquet")
+    months = ["202401", "202402", "202403", "202404", "202405", "202406"]
+    spark.createDataFrame([("V", "a", "P1", *range(6))],
+                          "majortext string, minortext string, boroughname string, " +
+                          ", ".join(f"`{m}` bigint" for m in months)).write.parquet(p)
+    long = melt_months(spark.read.parquet(p), ["majortext", "minortext", "boroughname"],
+                       start="202403", end="202404")
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema:"):].split("\n")[0]
+    assert "202403" in schema and "202404" in schema
+    assert "202401" not in schema and "202406" not in schema
+    assert sorted(r["count"] for r in long.collect()) == [2, 3]
