@@ -119,6 +119,7 @@ def test_views_and_source_listing(spark, tmp_dir):
         .write.parquet(f"{root}/homicide.parquet")
     assert Catalog(spark, root).register_views() == ["homicide"]
     assert spark.sql("SELECT sum(age) AS s FROM homicide").first().s == 3
+    assert Catalog(spark, root).row_count("homicide") == 2
 
 
 def test_explore_tables(spark, tmp_dir):
