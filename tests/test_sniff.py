@@ -52,3 +52,20 @@ def test_non_text_columns_untouched(spark):
     df = spark.createDataFrame([(1, "2")], "a bigint, b string")
     out, dec = sniff(df)
     assert out.dtypes == [("a", "bigint"), ("b", "bigint")]
+
+
+def test_file_scan_prefix_in_file_order(spark, tmp_path):
+    """file_prefix on a multi-file scan: the first rows in (file, split, position) order; the
+    numeric sniff then decides from them and later text becomes null."""
+    from wideloom.operators.sniff import file_prefix, with_row_order
+    a, b = str(tmp_path / "a.parquet"), str(tmp_path / "b.parquet")
+    spark.createDataFrame([(str(i),) for i in range(300)] + [("x",)], "v string") \
+        .coalesce(1).write.parquet(a)
+    spark.createDataFrame([("y",)], "v string").write.parquet(b)
+    df = with_row_order(spark.read.parquet(a, b), from_files=True)
+    pre = file_prefix(df, 250)
+    assert [r.v for r in pre.orderBy("_src_file", "_src_block", "_src_row").collect()] == \
+        [str(i) for i in range(250)]
+    out, dec = sniff(df)
+    assert out.schema["v"].dataType.simpleString() == "bigint"
+    assert out.filter("v IS NULL").count() == 2
