@@ -93,3 +93,10 @@ def test_as_date_accepts_date_timestamp_text(spark):
         "concat(s, 'T10:11:12') AS iso")
     r = df.select(*[as_date(c).alias(c) for c in df.columns], month_of_year("t").alias("m")).first()
     assert {str(r.s), str(r.d), str(r.t), str(r.iso)} == {"2024-03-05"} and r.m == 3
+
+
+def test_label_edges(spark):
+    # a six-digit name that is not a month stays as it is; small, negative and fractional
+    # numbers print as themselves, like the site's String(n)
+    assert one(spark, column_label("v"), ["202413", "2024"]) == ["202413", "2024"]
+    assert one(spark, humanise("v"), [-1500.0, 12.5, 0.0], "v double") == ["-1500", "12.5", "0"]
