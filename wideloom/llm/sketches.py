@@ -66,29 +66,24 @@ def next_documents(scratch: Scratch, docs: DataFrame, id_col: Column, text_col:
     The order is made over ids alone; a text is shuffled once by its key, a quarter of it once more.
     """
     src = docs.select(id_col.alias("doc_id"), text_or_empty(text_col).alias("text"))
-    src = src.withColumn("n", F.char_length("text")).withColumn("hash", F.xxhash64("text"))
-    keys = src.select("doc_id", "hash", "n").distinct()
-    order = [F.col("doc_id").asc_nulls_last(), F.col("hash"), F.col("n")]
+    src = src.withColumn("n", F.char_length("text"))
+    src = src.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("hash"), "n"))
+    keys = src.select("key").distinct()
+    order = [F.col("key.doc_id").asc_nulls_last(), F.col("key.hash"), F.col("key.n")]
     line = scratch.table(global_order(scratch, keys, order, "sorted"), "order")
     count = line.count()
-    # as seen from each document: who comes before it, and how long is that one
-    before = line.select(((F.col("at") + 1) % F.lit(max(count, 1))).alias("at"),
-                         F.col("at").alias("prev_at"), F.col("n").alias("prev_n"))
-    seat = line.join(before, "at")
+    # as seen from each document: who comes before it (its length says how much is handed over)
+    seat = line.select("key", ((F.col("at") - 1 + F.lit(count)) % F.lit(max(count, 1))).alias("at")) \
+        .join(line.select(F.col("key").alias("prev"), "at"), "at").drop("at")
+    # partitioned by key here and in both joins below, so the text moves once
     full = with_sketch(src, "text", "sketch", **sketch)
-    same = (F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("hash") == F.col("s_hash"))
-            & (F.col("n") == F.col("s_n")))
-    seated = full.join(seat.select(F.col("doc_id").alias("s_id"), F.col("hash").alias("s_hash"),
-                                   F.col("n").alias("s_n"), "at", "prev_at", "prev_n"), same)
-    # repeated rows: one of them hands its start to the document before
-    start = F.expr("substring(text, 1, cast(floor(prev_n / 4) as int))")
-    hand = seated.groupBy("prev_at").agg(F.first(F.struct(start.alias("next_start"),
-                                                          F.col("sketch").alias("next_sketch"))).alias("next")) \
-        if _repeats(src, count) else seated.select("prev_at", F.struct(
-            start.alias("next_start"), F.col("sketch").alias("next_sketch")).alias("next"))
-    return seated.select("doc_id", "text", "n", "sketch", "at").join(
-        hand.select(F.col("prev_at").alias("at"), "next"), "at") \
-        .select("doc_id", "text", "n", "sketch", "next.next_start", "next.next_sketch")
+    start = F.expr("substring(text, 1, cast(floor(prev.n / 4) as int))")
+    hand = full.join(seat, "key").select(F.col("prev").alias("key"), F.struct(
+        start.alias("next_start"), F.col("sketch").alias("next_sketch")).alias("next"))
+    if _repeats(src, count):   # of repeated rows one hands over its start
+        hand = hand.groupBy("key").agg(F.first("next").alias("next"))
+    return full.join(hand, "key").select("doc_id", "text", "n", "sketch", "next.next_start",
+                                         "next.next_sketch")
 
 
 def _repeats(src: DataFrame, distinct: int) -> bool:
