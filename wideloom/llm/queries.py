@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pii, sketches
+from . import exact_dedup, mixing, packing, pii, simhash, sketches
 from .common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,23 @@ def op10_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
                       sketches.as_text(F.col("sketch")).alias("fingerprint"),
                       sketches.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
                       "near_edited", "near_next")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@register("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    parts = packing.pieces(_documents(spark, sf_dir), F.col("doc_id"), F.col("text"), tokenizer_path())
+    return packing.pack(Scratch(spark, "op7"), parts)
+
+
+@register("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text and the smallest document reachable by links."""
+    found = simhash.near_duplicates(Scratch(spark, "op8"), _documents(spark, sf_dir), F.col("doc_id"),
+                                    F.col("text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
