@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, pii, simhash, sketches
+from . import exact_dedup, mixing, packing, pii, quality, simhash, sketches, toxicity
 from .common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,28 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(Scratch(spark, "op8"), _documents(spark, sf_dir), F.col("doc_id"),
                                     F.col("text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _held_out() -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+
+
+def _judged(scores: DataFrame, least: float) -> DataFrame:
+    return scores.select("doc_id", _held_out().alias("held_out"), "score",
+                         (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+@register("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text."""
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(docs, F.col("doc_id"), F.col("text"), labels, F.col("quality"))
+    return _judged(quality.scored(docs, F.col("doc_id"), F.col("text"), model), 0.5)
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every restored text."""
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, F.col("doc_id"), F.col("text"), labels, F.col("toxic"))
+    return _judged(quality.scored(docs, F.col("doc_id"), F.col("text"), model), 0.7)
