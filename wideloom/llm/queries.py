@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, pii, quality, simhash, sketches, toxicity
+from . import exact_dedup, mixing, packing, pii, quality, simhash, sketches, toxicity, url_rules, warc
 from .common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,28 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, F.col("doc_id"), F.col("text"), labels, F.col("toxic"))
     return _judged(quality.scored(docs, F.col("doc_id"), F.col("text"), model), 0.7)
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+@register("op3_url_rules")
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every URL: of the longest written rule, else of the mined rules."""
+    return url_rules.judge(Scratch(spark, "op3"), _pages(spark, sf_dir), F.col("page_id"), F.col("url")).drop("mined")
+
+
+@register("op6_warc", """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+""")
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the archives written from all pages, as read back."""
+    return warc.archive(Scratch(spark, "op6"), _pages(spark, sf_dir), F.col("page_id"), F.col("url"), F.col("html"))
