@@ -142,7 +142,7 @@ def judge(scratch: Scratch, pages: DataFrame, id_col: Column, url_col: Column, r
         .withColumn("tokens", tokens(F.col("host"), F.col("path")))
     known = scratch.table(written(kinds, rules), "written")
     found = mine(scratch, known.filter("verdict IS NOT NULL AND size(tokens) > 0"), min_support, min_confidence)
-    extra = match(scratch, known.filter("verdict IS NULL"), found)
+    extra = match(scratch, known.filter("verdict IS NULL").select("host", "path", "tokens"), found)
     verdicts = known.select("host", "path", "rule", "verdict").join(
         extra.select("host", "path", F.col("verdict").alias("method"), F.col("antecedent").alias("mined")),
         ["host", "path"], "left") \
