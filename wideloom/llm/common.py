@@ -33,7 +33,7 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return it read back (its schema is kept, also when it has no row)."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.parquet(self.path(name))          # a name is used once; a second use is an error
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
@@ -55,7 +55,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage_rows(scratch: Scratch, docs: DataFrame, name: str = "rows") -> DataFrame:
+def stage_rows(scratch: Scratch, docs: DataFrame, name: str = "staged") -> DataFrame:
     """``docs`` stored once as (row long, rec struct of all its columns): a key that is unique also
     for repeated or null ids, and a record that cannot clash with the columns of an operator."""
     rec = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
