@@ -1,7 +1,7 @@
 import pytest
 
 from wideloom.operators.manifest import UnknownSourceError, match_resources, pick_resources, \
-    plan_refresh, select_sources, stride_positions, stride_sample
+    plan_refresh, select_sources, stride_sample
 
 REG = "key string, short_id string, resource_name_contains string, prefer_historical boolean, " \
       "combine_resources boolean, combine_stride int"
@@ -28,7 +28,6 @@ def test_pick_newest_match(spark):
     (45, 22, [0, 22, 44]), (24, 4, [0, 4, 8, 12, 16, 20, 23]), (1, 4, [0]),
     (40, 1, list(range(40))), (5, 2, [0, 2, 4])])
 def test_stride(spark, n, s, expected):
-    assert stride_positions(n, s) == expected
     man = spark.createDataFrame([("x", i, f"r{i}", f"r{i}.csv", "csv") for i in range(n)], MAN)
     reg = spark.createDataFrame([("k", "x", "", False, True, s)], REG)
     got = sorted(r.pos for r in stride_sample(match_resources(man, reg)).collect())

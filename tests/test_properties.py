@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF
 from wideloom.functions.text import title_case
-from wideloom.operators.manifest import stride_positions
 
 TEXT = st.text(alphabet=st.sampled_from("abcXYZ éÉßǆﬁİ中ⓐª-' 12\t."), max_size=14)
 
@@ -20,13 +19,6 @@ def test_title_case_matches_python(spark, words):
     assert got == [w.title() for w in words]
 
 
-@given(st.integers(min_value=1, max_value=200), st.integers(min_value=1, max_value=50))
-def test_stride_keeps_first_and_last(n, s):
-    idx = stride_positions(n, s)
-    assert idx[0] == 0 and idx[-1] == n - 1 and idx == sorted(set(idx))
-    assert all(i % s == 0 for i in idx[:-1])
-
-
 def test_totals_agree_across_shapes(spark):
     q = E.queries()
     d = SF["0.001"]

@@ -80,23 +80,27 @@ def pick_resources(matches: DataFrame, registry: DataFrame | None = None) -> Dat
     return registry.select("key").join(picked, "key", "left")
 
 
+RUN_ROWS = 4096            # positions that are ranked together
+
+
 def stride_sample(matches: DataFrame) -> DataFrame:
     """M3: positions 0, s, 2s, ... of each key's matches, plus the last one."""
-    w = Window.partitionBy("key").orderBy("pos")
-    ranked = (matches.withColumn("rn", F.row_number().over(w) - 1)
-                     .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))))
+    # ranks in two levels: runs of positions first (one row each), rows inside a run second
+    run = F.floor(F.col("pos") / RUN_ROWS)
+    runs = matches.groupBy("key", run.alias("run")).agg(F.count(F.lit(1)).alias("rows"))
+    whole = Window.partitionBy("key")
+    before = whole.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("key", "run", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("ahead"),
+                       F.sum("rows").over(whole).alias("n"))
+    inside = Window.partitionBy("key", "run").orderBy("pos")
+    ranked = (matches.withColumn("run", run)
+              .withColumn("rn", F.row_number().over(inside) - 1)
+              .join(runs, ["key", "run"])
+              .withColumn("rn", F.col("rn") + F.col("ahead")).select(*matches.columns, "rn", "n"))
     keep = ((F.col("rn") % F.col("combine_stride")) == 0) | (F.col("rn") == F.col("n") - 1)
     return ranked.filter(keep).drop("n")
 
 
-def stride_positions(n: int, stride: int) -> list[int]:
-    """M3 on the driver, for plans and tests: the chosen indices of ``n`` ordered resources."""
-    idx = list(range(0, n, max(stride, 1)))
-    if n and idx[-1] != n - 1:
-        idx.append(n - 1)
-    return idx
-
-
 def select_sources(registry: DataFrame, key: str | None = None) -> DataFrame:
     """M4 ``--source``: one exact key, or all. An unknown key is an error."""
     if key is None:

@@ -17,15 +17,12 @@ from pyspark.sql import types as T
 
 
 def target_schema(frames: Sequence[DataFrame]) -> list[tuple[str, T.DataType]]:
-    """N6 rule: first-seen order, any type disagreement -> string (sticky)."""
-    out: dict[str, T.DataType] = {}
-    for df in frames:
-        for f in df.schema.fields:
-            if f.name not in out:
-                out[f.name] = f.dataType
-            elif out[f.name] != f.dataType:
-                out[f.name] = T.StringType()
-    return list(out.items())
+    """N6 rule: columns in order of first occurrence; a name with more than one type is text."""
+    fields = [f for df in frames for f in df.schema.fields]
+    kinds = {name: {f.dataType for f in fields if f.name == name}
+             for name in dict.fromkeys(f.name for f in fields)}
+    return [(name, min(types, key=str) if len(types) == 1 else T.StringType())
+            for name, types in kinds.items()]
 
 
 def align(df: DataFrame, schema: Sequence[tuple[str, T.DataType]]) -> DataFrame:

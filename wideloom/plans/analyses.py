@@ -77,11 +77,12 @@ def by_borough(wide: DataFrame, key: str = "boroughname", *, value: str = "total
 def sample_rows(wide: DataFrame, *, major_pattern: str, place_pattern: str,
                 ids: Sequence[str] = WIDE_IDS, major: str = "majortext",
                 place: str = "boroughname", n_months: int = 3, n: int = 8) -> DataFrame:
-    """Q6: ids + the last ``n_months`` month columns for matching rows; first ``n`` in id order."""
+    """Q6: ids + the last ``n_months`` month columns for matching rows; first ``n`` in the order
+    of the published file: place, then category, then the other ids."""
     recent = last_months(wide, n_months)
     return (wide.select(*ids, *recent)
                 .filter(contains_pattern(major, major_pattern) & contains_pattern(place, place_pattern))
-                .orderBy(*[F.asc_nulls_first(c) for c in ids])
+                .orderBy(*[F.asc_nulls_first(c) for c in (place, major, *(i for i in ids if i not in (place, major)))])
                 .limit(n))
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import analyses as A
 from . import shapes as S
@@ -108,19 +109,24 @@ def q04(spark, sf_dir):
 
 
 @register("q06_sample_rows", "WITH" + _BASE + f""",
-keys AS (SELECT DISTINCT majortext, minortext, boroughname FROM base),
-piv AS (PIVOT (SELECT * FROM (""" + _BASE_SELECT + f""") b
-               WHERE ym IN (SELECT ym FROM (SELECT DISTINCT strftime(l_shipdate, '%Y%m') AS ym FROM lineitem)
-                            ORDER BY ym DESC LIMIT 3))
-        ON ym USING CAST(SUM(qty) AS BIGINT) GROUP BY majortext, minortext, boroughname)
-SELECT k.majortext, k.minortext, k.boroughname, piv.* EXCLUDE (majortext, minortext, boroughname)
-FROM keys k LEFT JOIN piv ON piv.majortext = k.majortext AND piv.minortext = k.minortext
-                        AND piv.boroughname = k.boroughname
-WHERE regexp_matches(k.majortext, '{SAMPLE_MAJOR}') AND regexp_matches(k.boroughname, '{SAMPLE_PLACES}')
-ORDER BY 1, 2, 3 LIMIT 8""")
+months AS (SELECT ym, row_number() OVER (ORDER BY ym DESC) AS r FROM (SELECT DISTINCT ym FROM base)),
+m AS (SELECT max(CASE WHEN r = 3 THEN ym END) AS m1, max(CASE WHEN r = 2 THEN ym END) AS m2,
+             max(CASE WHEN r = 1 THEN ym END) AS m3 FROM months)
+SELECT majortext, minortext, boroughname,
+       m1 AS month_1, CAST(SUM(CASE WHEN ym = m1 THEN qty END) AS BIGINT) AS count_1,
+       m2 AS month_2, CAST(SUM(CASE WHEN ym = m2 THEN qty END) AS BIGINT) AS count_2,
+       m3 AS month_3, CAST(SUM(CASE WHEN ym = m3 THEN qty END) AS BIGINT) AS count_3
+FROM base, m
+WHERE regexp_matches(majortext, '{SAMPLE_MAJOR}') AND regexp_matches(boroughname, '{SAMPLE_PLACES}')
+GROUP BY majortext, minortext, boroughname, m1, m2, m3
+ORDER BY boroughname, majortext, minortext LIMIT 8""")
 def q06(spark, sf_dir):
-    return A.sample_rows(S.crime_wide(spark, sf_dir), major_pattern=SAMPLE_MAJOR,
+    rows = A.sample_rows(S.crime_wide(spark, sf_dir), major_pattern=SAMPLE_MAJOR,
                          place_pattern=SAMPLE_PLACES)
+    ids, recent = rows.columns[:-3], rows.columns[-3:]
+    months = [c for k, name in enumerate(recent, 1)
+              for c in (F.lit(name).alias(f"month_{k}"), F.col(name).alias(f"count_{k}"))]
+    return rows.select(*ids, *months)
 
 
 @register("q07_meta", "WITH" + _BASE + "," + _DASH + """

@@ -44,7 +44,7 @@ def build_documents(spark: SparkSession, catalog: Catalog) -> dict[str, DataFram
             order=[F.desc("stops"), F.col("ethnicappearance")], note=ETHNICITY_NOTE)
     sample = A.sample_rows(borough, major_pattern=SAMPLE_MAJOR, place_pattern=SAMPLE_PLACES)
     docs["sample_rows.json"] = table_payload(
-        sample, order=[F.col(c) for c in ("majortext", "minortext", "boroughname")])
+        sample, order=[F.col(c) for c in ("boroughname", "majortext", "minortext")])
     present = {name: catalog.load(key) for name, key in META_DATASETS if catalog.exists(key)}
     docs["meta.json"] = meta_document(A.meta(present, borough) if present else
                                       A.meta({}, borough))

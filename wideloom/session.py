@@ -67,8 +67,9 @@ def scratch_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None)
     if not conf_dir:
-        if sc is None:
-            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        master = sc.master if sc is not None else "connect"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master {master})")
         conf_dir = tempfile.mkdtemp(prefix="wideloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is not None and sc.getCheckpointDir() is None:

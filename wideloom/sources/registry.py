@@ -37,7 +37,7 @@ SOURCES: list[tuple] = [
      "LSOA Level Crime (Historical)", True, False, 1, "recorded-crime-lsoa-historical.parquet",
      "wide", "Monthly counts per lower super output area, historical file."),
     ("stop-search", "MPS Stop and Search Dashboard", "e6yjz",
-     "LDS_Extract", False, True, 22, "stop-search.parquet", "long",
+     "LDS_Extract", False, True, 1, "stop-search.parquet", "long",
      "Stop and search records combined from rolling snapshots."),
     ("monthly-crime-dashboard", "MPS Monthly Crime Dashboard", "e5n6w",
      "KnifeCrimeData", False, False, 1, "monthly-crime-dashboard.parquet", "long",
@@ -52,10 +52,10 @@ SOURCES: list[tuple] = [
      "Victim", False, False, 1, "vawg-victims.parquet", "long",
      "VAWG victim counts by offence type and area."),
     ("business-crime-offences", "MPS Business Crime: Offences", "2zpjy",
-     "OffencesData", False, True, 4, "business-crime-offences.parquet", "long",
+     "OffencesData", False, True, 1, "business-crime-offences.parquet", "long",
      "Business crime offence counts combined from sampled snapshots."),
     ("business-crime-outcomes", "MPS Business Crime: Outcomes", "2zpjy",
-     "OutcomesData", False, True, 4, "business-crime-outcomes.parquet", "long",
+     "OutcomesData", False, True, 1, "business-crime-outcomes.parquet", "long",
      "Business crime outcome counts combined from sampled snapshots."),
     ("homicide", "MPS Homicide Dashboard", "2l1w8",
      "", False, False, 1, "homicide.parquet", "long",
