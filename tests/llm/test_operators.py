@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wideloom.llm import (exact_dedup, golay, mixing, packing, pii, quality, queries, simhash, sketches,
                           stages, toxicity, url_rules, warc)
-from wideloom.llm.common import Scratch
+from wideloom.llm.common import Scratch, keyed_rows
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, size string, row int"
 LONG = " ".join(f"word{i % 977} x{i}" for i in range(9000))
@@ -266,3 +266,33 @@ def test_stages_keep_the_columns(spark, docs):
         assert out.dtypes == docs.dtypes
     left = stages.exact_dedup(spark, docs, "").count()
     assert left == len({squeeze(t) for _, t, _ in ROWS})
+
+
+def test_stages_on_files(spark, docs, tmp_path):
+    path = str(tmp_path / "docs")
+    docs.repartition(3).write.parquet(path)
+    table = spark.read.parquet(path)
+    for stage in (stages.exact_dedup, stages.near_dedup, stages.mixing):
+        assert stage(spark, table, "").dtypes == docs.dtypes
+    left = stages.exact_dedup(spark, table, "")
+    assert left.count() == len({squeeze(t) for _, t, _ in ROWS})
+    assert stages.near_dedup(spark, table, "").count() == stages.near_dedup(spark, docs, "").count()
+
+
+def test_row_keys(spark, scratch, docs, tmp_path):
+    path = str(tmp_path / "docs")
+    docs.repartition(3).write.parquet(path)
+    table = spark.read.parquet(path)
+    assert keyed_rows(scratch, table).schema["row"].dataType.simpleString() == "struct<file:bigint,at:bigint>"
+    twice = table.withColumn("n_chars", F.explode(F.array(F.lit(1), F.lit(2))))
+    for i, df in enumerate((table, docs, twice, table.filter("doc_id > 5"), table.limit(0))):
+        rows = keyed_rows(scratch, df, f"rows{i}")
+        assert rows.select("row").distinct().count() == rows.count() == df.count()
+        assert rows.select("rec.*").dtypes == df.dtypes
+
+
+def test_quality_stage_keeps_whole_rows(spark, docs, tmp_path):
+    labels = [(i, i % 2, 0) for i in range(14)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = stages.quality(spark, docs, str(tmp_path))
+    assert out.dtypes == docs.dtypes and out.exceptAll(docs).count() == 0

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,12 +56,35 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage_rows(scratch: Scratch, docs: DataFrame, name: str = "staged") -> DataFrame:
-    """``docs`` stored once as (row long, rec struct of all its columns): a key that is unique also
-    for repeated or null ids, and a record that cannot clash with the columns of an operator."""
-    rec = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return scratch.table(docs.select(F.monotonically_increasing_id().alias("row"), rec.alias("rec")),
-                         name)
+def keyed_rows(scratch: Scratch, docs: DataFrame, name: str = "staged") -> DataFrame:
+    """``docs`` as (row, rec struct of all its columns): a key that is unique also for repeated or
+    null ids, and a record that cannot clash with the columns of an operator.
+
+    A whole table read from Parquet files is keyed by the scan (hash of the file's path, row in the
+    file), so no copy of its texts is stored. Any other frame is stored once and keyed by a number.
+    """
+    rec = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rec")
+    row = _scan_row(docs)
+    if row is not None:
+        return docs.select(row.alias("row"), rec)
+    return scratch.table(docs.select(F.monotonically_increasing_id().alias("row"), rec), name)
+
+
+def _scan_row(docs: DataFrame) -> Column | None:
+    """Key of a row by its place in its file, or None unless ``docs`` is each row of its files once
+    (one small row per file: its indexes must be 0, 1, ..., and path hashes must not repeat)."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        row = F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("at"))
+        at = docs.select(meta["file_path"].alias("path"), row["at"].cast("decimal(19,0)").alias("at"))
+    except AnalysisException:                        # not a scan of Parquet files
+        return None
+    n = F.count("*").cast("decimal(19,0)")
+    files = at.groupBy("path").agg(
+        (F.max("at") + 1 == n) & (F.sum("at") * 2 == n * (n - 1)) & (F.count("at") == F.count("*")))
+    files = files.toDF("path", "whole")
+    ok = files.agg(F.count("*"), F.count_distinct(F.xxhash64("path")), F.bool_and("whole")).first()
+    return row if ok[0] == ok[1] and ok[2] is not False else None
 
 
 def global_order(scratch: Scratch, df: DataFrame, order: list, name: str) -> DataFrame:

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import textarrays as T
 
@@ -202,7 +203,7 @@ def train(docs: DataFrame, id_col: Column, text_col: Column, labels: DataFrame,
 def scored(docs: DataFrame, id_col: Column, text_col: Column, model, keep: Column | None = None) -> DataFrame:
     """doc_id (or the column ``keep``) and score of every whole text."""
     src = docs.select((id_col if keep is None else keep).alias("doc_id"), text_col.alias("text"))
-    kind = src.schema["doc_id"].dataType.simpleString()
+    schema = StructType([src.schema["doc_id"], StructField("score", DoubleType())])
 
     def run(batches):
         for b in batches:
@@ -211,4 +212,4 @@ def scored(docs: DataFrame, id_col: Column, text_col: Column, model, keep: Colum
                 texts = [t.as_py() or b"" for t in part.column("text").cast(pa.binary())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(model.score(texts), pa.float64())], ["doc_id", "score"])
-    return src.mapInArrow(run, f"doc_id {kind}, score double")
+    return src.mapInArrow(run, schema)
