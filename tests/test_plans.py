@@ -43,16 +43,6 @@ def test_topk_is_take_ordered(spark, queries):
     assert "TakeOrderedAndProject" in plan(queries["q16_top_legislation"](spark, SF["0.001"]))
 
 
-def test_sniff_sample_is_partially_limited(spark):
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-    df = spark.range(1000).select((F.col("id") % 3).cast("string").alias("_col"),
-                                  F.col("id").cast("string").alias("v"))
-    w = Window.partitionBy("_col").orderBy("v")
-    p = plan(df.withColumn("rn", F.row_number().over(w)).filter("rn <= 100"))
-    assert "WindowGroupLimit" in p and "Partial" in p
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()

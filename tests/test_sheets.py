@@ -32,8 +32,11 @@ def test_no_sheets(spark):
         stack_sheets(grid)
 
 
-def test_duplicate_headers_raise(spark):
-    grid = spark.createDataFrame([("w", 0, "a", 0, ["k", "k"]), ("w", 0, "a", 1, ["1", "2"])],
+def test_repeated_and_dotted_headers(spark):
+    from wideloom.plans.ingest import normalise
+    grid = spark.createDataFrame([("w", 0, "a", 0, ["No. of k", "k", "k"]), ("w", 0, "a", 1, ["1", "2", "x"])],
                                  CELL_GRID_SCHEMA)
-    with pytest.raises(ValueError):
-        stack_sheets(grid)
+    df = stack_sheets(grid)
+    assert df.columns == ["No. of k", "k", "k_3", "_sheet"]
+    assert normalise(df)[0].dtypes == [("no_of_k", "bigint"), ("k", "bigint"), ("k_3", "string"),
+                                       ("sheet", "string")]

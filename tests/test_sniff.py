@@ -1,9 +1,9 @@
 from wideloom.operators.sniff import sniff
 
 
-def typed(spark, values, *, csv=False, mode="prefix", schema="v string"):
+def typed(spark, values, *, csv=False, schema="v string"):
     df = spark.createDataFrame([(v,) for v in values], schema).coalesce(1)
-    out, _ = sniff(df, csv=csv, mode=mode)
+    out, _ = sniff(df, csv=csv)
     return out.schema["v"].dataType.simpleString(), [r[0] for r in out.collect()]
 
 
@@ -19,11 +19,11 @@ def test_all_blank_stays_text(spark):
     assert typed(spark, ["", "", None]) == ("string", ["", "", None])
 
 
-def test_late_text_lost_in_prefix_mode(spark):
+def test_late_text_is_kept(spark):
     kind, vals = typed(spark, ["1"] * 100 + ["x"])
-    assert kind == "bigint" and vals[-1] is None
-    kind, vals = typed(spark, ["1"] * 100 + ["x"], mode="full")
     assert kind == "string" and vals[-1] == "x"
+    kind, vals = typed(spark, ["1"] * 10_050 + ["abc"], csv=True)
+    assert kind == "string" and vals[-1] == "abc"
 
 
 def test_spark_lenient_number_forms_rejected(spark):
@@ -36,14 +36,9 @@ def test_overflow_not_bigint(spark):
 
 
 def test_csv_rules(spark):
-    # S1b sees the decimal within its prefix -> double
     assert typed(spark, ["1"] * 499 + ["2.5"], csv=True)[0] == "double"
-    # S1b says text, N5 then sees 100 integers -> bigint, the letter row becomes null
-    kind, vals = typed(spark, ["1"] * 499 + ["x"], csv=True)
-    assert kind == "bigint" and vals[-1] is None
-    # beyond the 10,000-row prefix: bigint, late decimal lost
     kind, vals = typed(spark, ["1"] * 10_000 + ["2.5"], csv=True)
-    assert kind == "bigint" and vals[-1] is None
+    assert kind == "double" and vals[-1] == 2.5
     assert typed(spark, ["true", "false"], csv=True) == ("boolean", [True, False])
     assert typed(spark, ["2024-03-05"], csv=True) == ("string", ["2024-03-05"])
 
@@ -54,18 +49,8 @@ def test_non_text_columns_untouched(spark):
     assert out.dtypes == [("a", "bigint"), ("b", "bigint")]
 
 
-def test_file_scan_prefix_in_file_order(spark, tmp_path):
-    """file_prefix on a multi-file scan: the first rows in (file, split, position) order; the
-    numeric sniff then decides from them and later text becomes null."""
-    from wideloom.operators.sniff import file_prefix, with_row_order
-    a, b = str(tmp_path / "a.parquet"), str(tmp_path / "b.parquet")
-    spark.createDataFrame([(str(i),) for i in range(300)] + [("x",)], "v string") \
-        .coalesce(1).write.parquet(a)
-    spark.createDataFrame([("y",)], "v string").write.parquet(b)
-    df = with_row_order(spark.read.parquet(a, b), from_files=True)
-    pre = file_prefix(df, 250)
-    assert [r.v for r in pre.orderBy("_src_file", "_src_block", "_src_row").collect()] == \
-        [str(i) for i in range(250)]
+def test_any_column_name(spark):
+    df = spark.createDataFrame([("1", "x", "2.5")], "a string, b string, c string").toDF("No. of `x`", "a", "A")
     out, dec = sniff(df)
-    assert out.schema["v"].dataType.simpleString() == "bigint"
-    assert out.filter("v IS NULL").count() == 2
+    assert out.dtypes == [("No. of `x`", "bigint"), ("a", "string"), ("A", "double")]
+    assert [d.rule for d in dec] == ["N5", "none", "N5"]

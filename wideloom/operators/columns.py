@@ -35,6 +35,22 @@ def normalise_name(name: str) -> str:
     return out.strip("_")
 
 
+def unique_names(names: Sequence[str]) -> list[str]:
+    """Header names with repeats (case aside) marked by their position: ``a, A`` -> ``a, A_2``."""
+    taken, out = {n.casefold() for n in names}, []
+    seen: set[str] = set()
+    for i, name in enumerate(names, 1):
+        new = name
+        if name.casefold() in seen:
+            new = f"{name}_{i}"
+            while new.casefold() in taken:
+                new += "_"
+            taken.add(new.casefold())
+        seen.add(new.casefold())
+        out.append(new)
+    return out
+
+
 def normalise_names(df: DataFrame) -> DataFrame:
     """N1 + N2: rename every column; refuse collisions and empty results instead of
     silently dropping or suffixing a column."""

@@ -1,22 +1,18 @@
-"""Type decisions for text columns: CSV prefix inference (S1b) and the numeric sniff.
+"""Type decisions for text columns: CSV inference (S1b) and the numeric sniff.
 
-Both rules look at a *prefix* of the data in row order, decide one type per column, then cast
-the whole column leniently (a value that does not fit becomes null):
+Both rules decide one type per column from *every* value of the column, in one aggregate pass over
+the rows (one row of flags reaches the driver), and cast the column in one projection:
 
-* S1b (CSV only): the first ``infer_rows`` rows. All integers -> bigint; integers and decimals ->
-  double; all ``true``/``false`` -> boolean; anything else -> string. Empty values are ignored.
-* N5 (every column still text): the first ``sample`` non-null values; ``""`` dropped; none left ->
-  unchanged; all integers -> bigint; else all numbers -> double; else unchanged.
+* S1b (CSV only): all integers -> bigint; integers and decimals -> double; all ``true``/``false``
+  -> boolean; anything else -> text;
+* N5 (every column still text): all integers -> bigint; all numbers -> double; else unchanged.
 
-Row order is given by ordering columns (for files: path, split start, position). Deciding needs
-only bounded data: the S1b prefix is a per-file ``row_number() <= n`` (Catalyst plans a partial
-``WindowGroupLimit`` before the shuffle), tried on each file's first split before the whole file;
-the N5 sample is an unpivot + ``row_number() <= sample`` per column, taken from the S1b prefix
-first and from the whole input only for columns that are still short. Casting stays one
-projection of built-in expressions.
+Nulls and ``""`` say nothing about the type; a column without any other value stays text. Since all
+values are seen, a cast turns no value into null but ``""``.
 
 Spark's own casts accept more than a strict number grammar (``' 12 '``, ``'1d'``, ``'inf'``), so
-every decision and cast goes through the guards below.
+every decision and cast goes through the guards below. Columns are addressed by position, so names
+may hold dots, backticks or differ in case only.
 """
 
 from __future__ import annotations
@@ -24,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +28,6 @@ from pyspark.sql import types as T
 INT_RX = r"^[+-]?[0-9]+$"
 FLOAT_RX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 BOOL_RX = r"^(?i)(true|false)$"
-INFER_ROWS = 10_000
-SAMPLE_VALUES = 100
-
-ORDER_COLS = ("_src_file", "_src_block", "_src_row")
 
 
 def is_int(v: Column) -> Column:
@@ -68,195 +60,27 @@ class TypeDecision:
     rule: str          # S1b | N5 | none
 
 
-def with_row_order(df: DataFrame, *, from_files: bool = False) -> DataFrame:
-    """Attach the ordering columns. For a file scan (``from_files``) these are the file path, the
-    split start and a per-partition increasing id, which reproduces file order; otherwise the id
-    alone (partition order)."""
-    if from_files:
-        return df.select("*", F.col("_metadata.file_path").alias("_src_file"),
-                         F.col("_metadata.file_block_start").alias("_src_block"),
-                         F.monotonically_increasing_id().alias("_src_row"))
-    return df.select("*", F.lit("").alias("_src_file"), F.lit(0).cast("bigint").alias("_src_block"),
-                     F.monotonically_increasing_id().alias("_src_row"))
-
-
-def _order(df: DataFrame) -> list[str]:
-    return [c for c in ORDER_COLS if c in df.columns]
-
-
-def _data_cols(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in ORDER_COLS]
-
-
-def _string_cols(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
-    names = cols if cols is not None else _data_cols(df)
-    return [c for c in names if isinstance(df.schema[c].dataType, T.StringType)]
-
-
-def file_prefix(df: DataFrame, n: int = INFER_ROWS) -> DataFrame:
-    """The first ``n`` rows in row order, exactly, without an unbounded shuffle.
-
-    The global prefix lies inside the union of every file's own first ``n`` rows, so those are
-    taken first (``row_number`` per file, partially limited in each task before the shuffle) and
-    then cut to ``n`` with a top-k. Each file's first split alone is tried before the whole file;
-    files whose first split holds fewer than ``n`` rows fall back to the whole file.
-    """
-    order = _order(df)
-    w = Window.partitionBy("_src_file").orderBy("_src_block", "_src_row")
-
-    def take(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-
-    first = take(df.filter(F.col("_src_block") == 0))
-    short = (first.groupBy("_src_file").agg(F.count(F.lit(1)).alias("_n"))
-                  .filter(F.col("_n") < n).select("_src_file"))
-    short_files = [r[0] for r in short.collect()]   # bounded by the number of files
-    per_file = first
-    if short_files:
-        rest = take(df.filter(F.col("_src_file").isin(short_files)))
-        per_file = first.filter(~F.col("_src_file").isin(short_files)).unionByName(rest)
-    return per_file.orderBy(*order).limit(n)
-
-
-def decide_csv_types(prefix: DataFrame, cols: Sequence[str]) -> dict[str, str]:
-    """S1b over a prefix: one aggregate row of guard results per column."""
+def decide_types(df: DataFrame, cols: Sequence[str], *, booleans: bool) -> dict[str, str]:
+    """Type of each text column from all its values: one aggregate, one row of flags."""
     if not cols:
         return {}
     aggs = []
-    for i, c in enumerate(cols):
-        v = F.col(c)
-        present = v.isNotNull() & (v != "")
-        aggs += [F.bool_or(present).alias(f"p{i}"),
-                 F.bool_and(F.when(present, is_int(v)).otherwise(True)).alias(f"i{i}"),
-                 F.bool_and(F.when(present, is_int(v) | is_float(v)).otherwise(True)).alias(f"f{i}"),
-                 F.bool_and(F.when(present, is_bool(v)).otherwise(True)).alias(f"b{i}")]
-    row = prefix.agg(*aggs).collect()[0]
-    out = {}
-    for i, c in enumerate(cols):
-        if not row[f"p{i}"]:
-            out[c] = "string"
-        elif row[f"i{i}"]:
-            out[c] = "bigint"
-        elif row[f"f{i}"]:
-            out[c] = "double"
-        elif row[f"b{i}"]:
-            out[c] = "boolean"
-        else:
-            out[c] = "string"
-    return out
-
-
-def _sample_flags(df: DataFrame, cols: Sequence[str], sample: int) -> dict[str, tuple[int, int, bool, bool]]:
-    """Per column: (values seen, values kept, all int, all number) over its first ``sample`` non-null values."""
-    if not cols:
-        return {}
-    order = _order(df)
-    long = (df.select(*order, *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
-              .unpivot(order, [f"v{i}" for i in range(len(cols))], "_col", "_val")
-              .filter(F.col("_val").isNotNull()))
-    w = Window.partitionBy("_col").orderBy(*order)
-    first = long.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= sample)
-    v = F.col("_val")
-    kept = v != ""
-    flags = first.groupBy("_col").agg(
-        F.count(F.lit(1)).alias("n_seen"),
-        F.count(F.when(kept, 1)).alias("n_kept"),
-        F.bool_and(F.when(kept, is_int(v)).otherwise(True)).alias("all_int"),
-        F.bool_and(F.when(kept, is_int(v) | is_float(v)).otherwise(True)).alias("all_num"))
-    res = {}
-    for r in flags.collect():  # at most one row per column
-        res[cols[int(r["_col"][1:])]] = (int(r["n_seen"]), int(r["n_kept"]),
-                                         bool(r["all_int"]), bool(r["all_num"]))
-    return res
-
-
-def decide_numeric(df: DataFrame, cols: Sequence[str], *, sample: int = SAMPLE_VALUES,
-                   prefix: DataFrame | None = None) -> dict[str, str]:
-    """N5 decisions. Looks in ``prefix`` first; columns with fewer than ``sample`` non-null values
-    there are decided over the whole ``df``."""
-    cols = list(cols)
-    flags: dict[str, tuple] = {}
-    if prefix is not None and cols:
-        flags = {c: f for c, f in _sample_flags(prefix, cols, sample).items() if f[0] >= sample}
-    rest = [c for c in cols if c not in flags]
-    flags.update(_sample_flags(df, rest, sample))
-    out = {}
     for c in cols:
-        n_seen, n_kept, all_int, all_num = flags.get(c, (0, 0, False, False))
-        if n_kept == 0:
-            out[c] = "string"
-        elif all_int:
-            out[c] = "bigint"
-        elif all_num:
-            out[c] = "double"
-        else:
-            out[c] = "string"
-    return out
-
-
-def apply_types(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    return df.select(*[lenient_cast(F.col(c), kinds[c]).alias(c) if kinds.get(c, "string") != "string"
-                       else F.col(c) for c in df.columns])
-
-
-def sniff(df: DataFrame, *, csv: bool = False, numeric: bool = True,
-          infer_rows: int = INFER_ROWS, sample: int = SAMPLE_VALUES, mode: str = "prefix",
-          keep_order: bool = False,
-          prefix: DataFrame | None = None) -> tuple[DataFrame, list[TypeDecision]]:
-    """S1b (when ``csv``) then N5 (when ``numeric``). ``mode='full'`` decides over all rows instead of prefixes
-    (never loses late text; not the original's behaviour).
-
-    ``prefix`` may supply the first ``infer_rows`` rows (with the ordering columns) when the
-    caller can read them more cheaply than :func:`file_prefix` (the CSV reader does).
-
-    Returns the typed frame and the decisions. Ordering columns are added if missing and dropped
-    unless ``keep_order``.
-    """
-    from_files = set(ORDER_COLS) <= set(df.columns)
-    if not from_files:
-        df = with_row_order(df)
-
-    def first_rows() -> DataFrame:
-        # Not a file scan: row order is partition order, so the prefix is one bounded top-k.
-        return file_prefix(df, infer_rows) if from_files else \
-            df.orderBy("_src_row").limit(infer_rows)
-
-    text_cols = _string_cols(df)
-    decisions: list[TypeDecision] = []
-    kinds: dict[str, str] = {}
-    if mode == "full":
-        prefix = df
-    if csv and text_cols:
-        if prefix is None:
-            prefix = first_rows()
-        s1b = decide_csv_types(prefix, text_cols)
-        kinds.update({c: k for c, k in s1b.items() if k != "string"})
-        decisions += [TypeDecision(c, k, "S1b") for c, k in s1b.items() if k != "string"]
-    still_text = [c for c in text_cols if c not in kinds] if numeric else []
-    if prefix is None and still_text and mode != "full":
-        prefix = first_rows()
-    if mode == "full":
-        n5 = _decide_full(df, still_text)
-    else:
-        n5 = decide_numeric(df, still_text, sample=sample, prefix=prefix)
-    kinds.update({c: k for c, k in n5.items() if k != "string"})
-    decisions += [TypeDecision(c, k, "N5" if k != "string" else "none") for c, k in n5.items()]
-    out = apply_types(df, kinds)
-    if not keep_order:
-        out = out.drop(*ORDER_COLS)
-    return out, decisions
-
-
-def _decide_full(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
-    if not cols:
-        return {}
-    aggs = []
-    for i, c in enumerate(cols):
         v = F.col(c)
-        present = v.isNotNull() & (v != "")
-        aggs += [F.bool_or(present).alias(f"p{i}"),
-                 F.bool_and(F.when(present, is_int(v)).otherwise(True)).alias(f"i{i}"),
-                 F.bool_and(F.when(present, is_int(v) | is_float(v)).otherwise(True)).alias(f"f{i}")]
-    row = df.agg(*aggs).collect()[0]
-    return {c: ("string" if not row[f"p{i}"] else "bigint" if row[f"i{i}"]
-                else "double" if row[f"f{i}"] else "string") for i, c in enumerate(cols)}
+        for name, fits in (("int", is_int(v)), ("num", is_int(v) | is_float(v)), ("bool", is_bool(v))):
+            aggs.append(F.bool_and(F.when(v != "", fits)).alias(f"{c}_{name}"))
+    flags = df.agg(*aggs).first()          # a flag is null when the column has no value
+    return {c: "bigint" if flags[f"{c}_int"] else "double" if flags[f"{c}_num"]
+            else "boolean" if booleans and flags[f"{c}_bool"] else "string" for c in cols}
+
+
+def sniff(df: DataFrame, *, csv: bool = False) -> tuple[DataFrame, list[TypeDecision]]:
+    """N5, with ``csv`` S1b before it; the typed frame and one decision per text column."""
+    places = [f"_{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*places)
+    text = {p: f.name for p, f in zip(places, df.schema.fields) if isinstance(f.dataType, T.StringType)}
+    kinds = decide_types(rows, list(text), booleans=csv)
+    decisions = [TypeDecision(name, kinds[p], "none" if kinds[p] == "string" else "S1b" if csv else "N5")
+                 for p, name in text.items()]
+    typed = [lenient_cast(F.col(p), kinds.get(p, "string")).alias(p) for p in places]
+    return rows.select(*typed).toDF(*df.columns), decisions

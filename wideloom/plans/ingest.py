@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.columns import normalise_names
 from ..operators.manifest import match_resources, pick_resources, select_sources, stride_sample
-from ..operators.sniff import ORDER_COLS, TypeDecision, sniff
+from ..operators.sniff import TypeDecision, sniff
 from ..operators.union import dedupe, reconcile_union
 from ..sources.csv import is_excel, parse_csv
 from ..sources.sheets import stack_sheets
@@ -35,33 +35,24 @@ from ..session import scratch_dir
 GridReader = Callable[[SparkSession, str], DataFrame]
 
 
-def normalise(df: DataFrame, *, infer: str = "prefix",
-              numeric: bool = True) -> tuple[DataFrame, list[TypeDecision]]:
-    """N1 + N2 names, then N5 on the columns still text (row order kept from the parse).
-    ``numeric=False`` renames only (for frames whose text columns were already sniffed)."""
-    order = [c for c in ORDER_COLS if c in df.columns]
-    data = [c for c in df.columns if c not in ORDER_COLS]
-    renamed = normalise_names(df.select(*data)).columns
-    df = df.toDF(*(renamed + order))
-    if not numeric:
-        return df.drop(*order), []
-    return sniff(df, csv=False, mode=infer)
+def normalise(df: DataFrame, *, numeric: bool = True) -> tuple[DataFrame, list[TypeDecision]]:
+    """N1 + N2 names, then N5 on the columns still text. ``numeric=False`` renames only (for frames
+    whose text columns were already sniffed)."""
+    df = normalise_names(df)
+    return sniff(df) if numeric else (df, [])
 
 
 def parse_resource(spark: SparkSession, url: str, *, grid_reader: GridReader | None = None,
-                   infer: str = "prefix", multiline: bool | None = None) -> DataFrame:
+                   multiline: bool | None = None) -> DataFrame:
     """S3 + S1/S2 + normalise for one resource path."""
     if is_excel(url):
-        # Decode once: the sheet metadata, the rows, the typing sample and the final write all
+        # Decode once: the sheet metadata, the rows, the typing pass and the final write all
         # read the checkpointed grid instead of re-running the workbook decoder.
         scratch_dir(spark)
         grid = (grid_reader or read_xlsx_grid)(spark, url).checkpoint(eager=True)
-        df = stack_sheets(grid)
-        return normalise(df, infer=infer)[0]
-    # CSV: S1b and N5 are decided together over one row-order prefix (N5 looks at values only,
-    # so deciding it before the renaming gives the same types), then the names are normalised.
-    df, _ = parse_csv(spark, url, infer=infer, multiline=multiline, numeric=True)
-    return normalise(df, numeric=False)[0]
+        return normalise(stack_sheets(grid))[0]
+    # S1b has seen every value already, so N5 has nothing to add
+    return normalise(parse_csv(spark, url, multiline=multiline)[0], numeric=False)[0]
 
 
 @dataclass
@@ -80,8 +71,8 @@ REPORT_SCHEMA = ("key string, path string, rows bigint, status string, error str
 
 
 def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_root: str, *,
-                   grid_reader: GridReader | None = None, infer: str = "prefix",
-                   multiline: bool | None = None, partition_by: list[str] | None = None,
+                   grid_reader: GridReader | None = None, multiline: bool | None = None,
+                   partition_by: list[str] | None = None,
                    snapshot_workers: int = 4) -> RefreshReport:
     """One dataset: pick (or stride-sample) resources, parse, combine, save."""
     reg = spark.createDataFrame([(source["key"], source["short_id"],
@@ -104,8 +95,7 @@ def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_r
         return report
     def parse(url: str):
         try:
-            return url, parse_resource(spark, url, grid_reader=grid_reader, infer=infer,
-                                       multiline=multiline), None
+            return url, parse_resource(spark, url, grid_reader=grid_reader, multiline=multiline), None
         except Exception as e:  # noqa: BLE001 - a bad snapshot is skipped and reported
             return url, None, e
 

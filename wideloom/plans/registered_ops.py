@@ -318,8 +318,7 @@ def _stage_csv(df: DataFrame, path: str) -> str:
 def s01(spark, sf_dir):
     path = _stage_csv(events_as_text(spark, sf_dir),
                       f"{scratch_dir(spark)}/csv-events-{uuid.uuid4().hex}")
-    df, _ = parse_csv(spark, path, keep_order=True)
-    return I.normalise(df)[0]
+    return I.normalise(parse_csv(spark, path)[0], numeric=False)[0]
 
 
 _SNAP_CSV_SQL = f"""

@@ -5,161 +5,125 @@ is ever silently parsed by Spark's looser inference (Spark would turn ``2024-03-
 the data keeps text).
 
 * Encoding (S1a): UTF-8 unless a file holds bytes that are not valid UTF-8, then Latin-1. Decided
-  per file with one aggregate over ``spark.read.text`` (``is_valid_utf8`` per line, ``bool_and``
-  per file); the result has one row per file.
-* Ragged rows: with the header as an all-text schema and ``PERMISSIVE`` mode, extra fields are
-  dropped and short rows padded with nulls.
+  per file with one aggregate over ``spark.read.text``, one row per file.
+* Headers: files are grouped by their header, so files of one path may order their columns in
+  different ways; the groups are united by name. Fields are read by position, so a name may hold
+  any character. A blank name becomes ``_c<i>``; a repeated name gets its position as a suffix.
+* Ragged rows: with an all-text schema and ``PERMISSIVE`` mode, extra fields are dropped and short
+  rows padded with nulls.
 * Quotes: ``escape='"'`` keeps doubled quotes; ``multiLine`` keeps quoted line breaks. With
   ``multiLine`` a file is read by one task, so it is used only for files that need it: the same
   pass that checks the encoding finds lines with an odd number of quotes. Other files are split
   and parsed in parallel.
-* Typing prefix (S1b): the first 10,000 rows are taken file by file with Spark's incremental
-  limit, which reads a file's first split and stops early; the snapshot is not scanned for it.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.sniff import INFER_ROWS, TypeDecision, sniff, with_row_order
+from ..operators.columns import unique_names
+from ..operators.sniff import TypeDecision, sniff
 
 # The encodings tried, in order, and the spreadsheet extensions.
 UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
 EXCEL_EXTENSIONS = (".xlsx", ".xls")
-TABULAR_EXTENSIONS = (".csv", ".xlsx", ".xls")
-TABULAR_FORMATS = ("csv", "xlsx", "xls")
 
 # Spark reads a quoted empty field ("") as null like an absent one; the published
 # files distinguish them (quoted "" is an empty string, an absent field is null). Quoted empties
 # are read as this private-use marker and turned back into "" right after the read.
 QUOTED_EMPTY = "\ue000\ue001"
 
-Profiles = dict[str, tuple[str, bool]]
+# file -> (encoding, whether a quoted field spans a line break, digest of the header line)
+Profiles = dict[str, tuple[str, bool, str]]
+
+
+def _literal(file_path: str) -> str:
+    """A path as the file system names it, from the percent-encoded form of ``_metadata``;
+    characters that a reader would take for a pattern are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file_path))
 
 
 def file_profiles(spark: SparkSession, paths: Sequence[str] | str) -> Profiles:
-    """S1a + line-break check, one parallel pass over the raw lines: per file, its encoding and
-    whether a quoted field spans a line break.
+    """S1a + line-break check, one parallel pass over the raw lines: per file, its encoding,
+    whether a quoted field spans a line break, and a digest that files with one header share.
 
     A line break inside quotes leaves that physical line with an odd number of ``"`` (doubled
     quotes count twice), so a file whose lines all have an even count can be split and parsed
-    line by line in parallel; the others need ``multiLine`` (one task per file).
+    line by line in parallel; the others need ``multiLine`` (one task per file). A blank first line
+    or one that a quote leaves open does not show the header, so such a file stands alone.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    v = F.col("value")
+    v, f = F.col("value"), F.col("_metadata.file_path")
     quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("f"),
-                                          F.is_valid_utf8(v).alias("ok"),
-                                          (quotes % 2 == 0).alias("even"))
-    prof = lines.groupBy("f").agg(F.bool_and("ok").alias("ok"), F.bool_and("even").alias("even"))
-    return {r.f: (UTF8 if r.ok else LATIN1, not r.even) for r in prof.collect()}
+    shown = (quotes % 2 == 0) & (F.trim(v) != "")
+    lines = spark.read.text(paths).select(
+        f.alias("f"), F.is_valid_utf8(v).alias("ok"), (quotes % 2 == 0).alias("even"),
+        F.md5(F.when(shown, v.cast("binary")).otherwise(f.cast("binary"))).alias("head"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    prof = lines.groupBy("f").agg(F.bool_and("ok").alias("ok"), F.bool_and("even").alias("even"),
+                                  F.min_by("head", "at").alias("head"))
+    return {_literal(r.f): (UTF8 if r.ok else LATIN1, not r.even, r.head) for r in prof.collect()}
 
 
 def file_encodings(spark: SparkSession, paths: Sequence[str] | str) -> dict[str, str]:
     """Per-file encoding choice."""
-    return {f: enc for f, (enc, _) in file_profiles(spark, paths).items()}
-
-
-def _profiles(spark: SparkSession, paths: list[str], encoding: str | None,
-              multiline: bool | None) -> Profiles:
-    if encoding is not None and multiline is not None:
-        return {p: (encoding, multiline) for p in paths}
-    return {f: (encoding or enc, multi if multiline is None else multiline)
-            for f, (enc, multi) in file_profiles(spark, paths).items()}
+    return {f: p[0] for f, p in file_profiles(spark, paths).items()}
 
 
-def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
-    """Column names from the first record. A blank name becomes ``_c<i>`` (Spark's convention);
-    repeated names are refused rather than renamed, since a later column would shadow or be
-    confused with an earlier one."""
+def _header(spark: SparkSession, path: str, encoding: str, multi: bool) -> list[str]:
+    """Column names from the first record (see the module's notes on blank and repeated names).
+    Spark cannot infer the width of a ``multiLine`` file whose path holds square brackets."""
     first = (spark.read.option("header", False).option("encoding", encoding)
-             .option("escape", '"').option("multiLine", True).csv(path).take(1))
+             .option("escape", '"').option("multiLine", multi).csv(path).take(1))
     if not first:
         raise ValueError(f"{path}: empty CSV file")
-    names = [c if c not in (None, "") else f"_c{i}" for i, c in enumerate(first[0])]
-    dup = sorted({n for n in names if names.count(n) > 1})
-    if dup:
-        raise ValueError(f"{path}: duplicate header names {dup}")
-    return names
+    return unique_names([c if c not in (None, "") else f"_c{i}" for i, c in enumerate(first[0])])
 
 
-def _reader(spark: SparkSession, header: list[str], enc: str, multi: bool) -> DataFrameReader:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+def _read_files(spark: SparkSession, width: int, enc: str, multi: bool, files: list[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(width)])
     return (spark.read.schema(schema).option("header", True).option("encoding", enc)
             .option("mode", "PERMISSIVE").option("escape", '"').option("emptyValue", QUOTED_EMPTY)
-            .option("multiLine", multi).option("enforceSchema", True))
-
-
-def _read_files(spark: SparkSession, header: list[str], enc: str, multi: bool,
-                files: str | list[str]) -> DataFrame:
-    raw = _reader(spark, header, enc, multi).csv(files)
-    df = raw.select(*[F.when(F.col(c) == QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)).alias(c)
-                      for c in raw.columns], "_metadata")
-    return with_row_order(df, from_files=True).drop("_metadata")
-
-
-def _read(spark: SparkSession, profiles: Profiles) -> tuple[DataFrame, list[str]]:
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for f, key in sorted(profiles.items()):
-        groups.setdefault(key, []).append(f)
-    first = sorted(profiles)[0]
-    header = _header(spark, first, profiles[first][0])
-    frames = [_read_files(spark, header, enc, multi, files) for (enc, multi), files in groups.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out, header
+            .option("multiLine", multi).option("enforceSchema", True).csv(files))
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
                   multiline: bool | None = None) -> DataFrame:
-    """S1 without typing: all-text columns named by the header, plus row-order columns.
+    """S1 without typing: all-text columns in order of first occurrence (files in path order); a
+    column that a file lacks is null there.
 
     ``encoding`` / ``multiline`` default to a per-file decision (:func:`file_profiles`).
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    return _read(spark, _profiles(spark, paths, encoding, multiline))[0]
-
-
-def csv_prefix(spark: SparkSession, profiles: Profiles, header: list[str],
-               n: int = INFER_ROWS) -> DataFrame:
-    """The first ``n`` rows in file order, reading only what they need.
-
-    Files are taken in path order; ``take`` on one file runs Spark's incremental limit, which
-    starts with the file's first split and stops the parser once enough rows are found. So the
-    cost is about ``n`` rows per snapshot, not a scan of it. The rows (at most ``n``) come back
-    as a small DataFrame for the same Spark-side decisions as any prefix.
-    """
-    rows: list = []
-    schema = None
-    for f in sorted(profiles):
-        enc, multi = profiles[f]
-        one = _read_files(spark, header, enc, multi, f)
-        schema = one.schema
-        rows += one.take(n - len(rows))
-        if len(rows) >= n:
-            break
-    return spark.createDataFrame(rows, schema)
+    groups: dict[tuple[str, bool, str], list[str]] = {}
+    for f, (enc, multi, head) in sorted(file_profiles(spark, path).items()):
+        key = (encoding or enc, multi if multiline is None else multiline, head)
+        groups.setdefault(key, []).append(f)
+    if not groups:
+        raise ValueError(f"{path}: empty CSV file")
+    headers = [_header(spark, files[0], enc, multi) for (enc, multi, _), files in groups.items()]
+    order = list(dict.fromkeys(name for names in headers for name in names))
+    out = None
+    for names, ((enc, multi, _), files) in zip(headers, groups.items()):
+        raw = _read_files(spark, len(names), enc, multi, files)
+        cells = {n: F.when(F.col(f"_{i}") == QUOTED_EMPTY, F.lit("")).otherwise(F.col(f"_{i}"))
+                 for i, n in enumerate(names)}
+        part = raw.select(*[cells.get(n, F.lit(None).cast("string")).alias(f"c{i}")
+                            for i, n in enumerate(order)])
+        out = part if out is None else out.union(part)
+    return out.toDF(*order)
 
 
 def parse_csv(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
-              multiline: bool | None = None, infer: str = "prefix", numeric: bool = False,
-              keep_order: bool = False) -> tuple[DataFrame, list[TypeDecision]]:
-    """Header, encoding choice, ragged rows, then S1b typing over the first
-    :data:`~wideloom.operators.sniff.INFER_ROWS` rows. The numeric sniff (N5) is part of
-    normalising (:func:`wideloom.plans.ingest.normalise`), as in the original order; pass
-    ``numeric=True`` to decide it here from the same prefix."""
-    paths = [path] if isinstance(path, str) else list(path)
-    profiles = _profiles(spark, paths, encoding, multiline)
-    text, header = _read(spark, profiles)
-    prefix = csv_prefix(spark, profiles, header) if infer == "prefix" else None
-    return sniff(text, csv=True, numeric=numeric, mode=infer, keep_order=keep_order,
-                 prefix=prefix)
+              multiline: bool | None = None) -> tuple[DataFrame, list[TypeDecision]]:
+    """Header, encoding choice, ragged rows, then S1b typing over all rows."""
+    return sniff(read_csv_text(spark, path, encoding=encoding, multiline=multiline), csv=True)
 
 
 def is_excel(url: str) -> bool:

@@ -7,6 +7,7 @@ rules to it with DataFrame operations:
 
 * a sheet with fewer than two rows, or with no data row left, is skipped;
 * header cells are trimmed text; a blank header cell becomes ``col_<i>``;
+  a repeated one gets its position as a suffix;
 * a data row whose cells are all null is dropped; short rows are padded with nulls and cells past
   the header are ignored;
 * a ``_sheet`` column names the sheet; several sheets are combined as the reconciling union
@@ -21,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.columns import unique_names
+
 
 CELL_GRID_SCHEMA = "file string, sheet_pos int, sheet string, row_idx int, cells array<string>"
 
@@ -51,11 +54,7 @@ def stack_sheets(grid: DataFrame, *, file: str | None = None) -> DataFrame:
     for s in stats.collect():  # one row per sheet
         if s.n_rows < 2 or s.n_data == 0 or s.header is None:
             continue
-        names = list(s.header)
-        dup = sorted({n for n in names if names.count(n) > 1})
-        if dup:
-            # a spreadsheet reader would keep only the last of each; refuse instead
-            raise ValueError(f"sheet {s.sheet!r}: duplicate header names {dup}")
+        names = unique_names(s.header)
         sheets.append((s.sheet_pos, s.sheet, names))
     if not sheets:
         raise NoDataSheetsError("no data sheets found in workbook")
