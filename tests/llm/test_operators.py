@@ -220,6 +220,19 @@ def test_restoration():
     assert restore("plain words stay, 2024 too") == "plain words stay, 2024 too"
 
 
+def restorer(words):
+    n = toxicity.trigrams([(words + " ").encode() * 50]).reshape(64, 64, 64)
+    return toxicity.Restorer(np.log((n + 0.01) / (n.sum(2, keepdims=True) + 0.64)))
+
+
+def test_restoration_of_every_token_with_signs():
+    restore = restorer("asshole hate dumbass idiot stupid wow b2b so now")
+    for disguised, word in (("@$$hole", "asshole"), ("h473", "hate"), ("dumba$$", "dumbass"), ("id107", "idiot"),
+                            ("57up1d", "stupid"), ("455h0l3", "asshole"), ("s 7 u p i d", "stupid"),
+                            ("1 d i o t", "idiot"), ("w o w", "wow"), ("b2b", "b2b")):
+        assert restore(f"so {disguised} now") == f"so {word} now"
+
+
 def test_scores_are_defined_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for op, label, score in ((quality, "quality", 0.5), (toxicity, "toxic", 0.0)):

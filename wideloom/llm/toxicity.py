@@ -1,9 +1,9 @@
 """Toxicity of texts restored by noisy-channel decoding (operator 9).
 
-A character trigram model is counted over all documents. Stretches that may be disguised (signs and
-digits between letters, letters drawn out, letters set apart) become lattices: each sign may stand
-for some letters, a run of one letter for one or two, separators between single letters for nothing.
-Viterbi search finds the likeliest letters under the model; a stretch without a choice is its own
+A character trigram model is counted over all documents. Stretches that may be disguised (every token of
+letters and signs or digits, letters drawn out, letters or signs set apart) become lattices: each sign may
+stand for some letters or for itself, a run of one letter for one or two, separators between single letters
+for themselves or for nothing. Viterbi search finds the likeliest letters under the model; a stretch without a choice is its own
 decoding, so only the others are searched. The restored words are then scored: smoothed log-odds of
 word and word-start hashes, learned from one half of the sample, are summed up for each text and
 calibrated by a logistic regression on the other half.
@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +33,20 @@ SAMPLE = 12_000                               # labelled texts that the fit may
 SAMPLE_CHARS = 20_000                         # the longest of them; scoring has no such bound
 BITS = 20                                     # buckets of word hashes
 MIN_TEXTS = 3                                 # labelled texts that a bucket needs
-LONGEST = 64                                  # characters of a stretch that are searched together
+LONGEST = 64
+REMEMBERED = 64                               # characters of the longest stretch whose decoding is kept
+LITERAL = -12.0                               # log cost of a sign that stands for itself
 
 # Letters that a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "il", "|": "li", "+": "t", "(": "c", "€": "e", "£": "l"}
 SIGNS = "".join(LEET)
 _S = re.escape(SIGNS).replace("-", r"\-")
-_APART = r"(?<![^\W\d_])[^\W\d_" + _S + r"](?:(?P<sep>[ .*_\-])[^\W\d_" + _S + r"])(?:(?P=sep)[^\W\d_" + _S + r"]){2,30}(?![^\W_])"
-_MIXED = r"[^\W\d_" + _S + r"]*[^\W_" + _S + r"][" + _S + r"]+[^\W\d_][^\W_]*|(?<![^\s])[" + _S + r"][^\W\d_][^\s]*"
-_DRAWN = r"[^\W\d_]*([^\W\d_])\2\2[^\W\d_]*"
+_L, _D = r"[^\W\d_]", rf"[\d{_S}]"            # a letter; a digit or other sign
+_X = rf"(?:{_L}|{_D})"
+_APART = rf"(?<![^\W_]){_X}(?P<sep>[ .*_\-]){_X}(?:(?P=sep){_X})+(?![^\W_])"
+_MIXED = rf"(?<!{_L})(?<!{_D})(?:{_L}++{_D}|{_D}++{_L}){_X}*+"
+_DRAWN = rf"(?<!{_L}){_L}*({_L})\2\2{_L}*"
 _SUSPECT = re.compile(rf"(?:{_APART})|(?:{_MIXED})|(?:{_DRAWN})")
 
 # 64 symbols: 0 for no letter, a to z, and 32 classes of bytes above 127.
@@ -82,9 +88,9 @@ def language_model(docs: DataFrame, text_col: Column) -> np.ndarray:
     return np.log((n + 5 * two) / (n.sum(2, keepdims=True) + 5)).astype(np.float32)
 
 
-def _lattice(stretch: str) -> list[list[tuple[str, float]]]:
-    """Per unit of the stretch: its readings (letters, log cost)."""
-    units, i = [], 0
+def _lattice(stretch: str) -> Iterator[list[tuple[str, float]]]:
+    """Per unit of the stretch: its readings (letters, log cost); a sign may also stand for itself."""
+    i = 0
     apart = len(stretch) > 4 and all(not c.isalpha() and c not in SIGNS for c in stretch[1::2])
     while i < len(stretch):
         c = stretch[i]
@@ -92,31 +98,47 @@ def _lattice(stretch: str) -> list[list[tuple[str, float]]]:
         while j < len(stretch) and stretch[j] == c:
             j += 1
         if c in LEET:
-            units += [[(x, -1.0) for x in LEET[c]] + ([("", -4.0)] if c in "!|+(" else [])] * (j - i if j - i < 3 else 1)
+            letters = [(x, -1.0) for x in LEET[c]] + ([("", -4.0)] if c in "!|+(" else [])
+            if j - i < 3:
+                yield from [[*letters, (c, LITERAL)]] * (j - i)
+            else:
+                yield [*letters, *[(x + x, -1.2) for x in LEET[c]], (c * (j - i), LITERAL)]
         elif c.isalpha():
-            units.append([(c * (j - i), 0.0)] if j - i < 3 else [(c, -0.5), (c + c, -0.7)])
-        elif not (apart and i % 2):
-            units.append([(c, 0.0)])
+            yield [(c * (j - i), 0.0)] if j - i < 3 else [(c, -0.5), (c + c, -0.7)]
+        else:
+            yield [("", 0.0), (c, 0.0)] if apart and i % 2 else [(c, 0.0)]
         i = j
-    return units
 
 
 def decode(stretch: str, lm: np.ndarray) -> str:
-    """Likeliest letters of a stretch: Viterbi over the last two symbols."""
-    states = {(0, 0): (0.0, "")}
-    for readings in [*_lattice(stretch[:LONGEST].lower()), [(" ", 0.0)]]:
-        step: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
-            for letters, cost in readings:
+    """Likeliest letters of a stretch: Viterbi over the last two symbols. Paths are linked lists;
+    where one state is left, its path is settled and let go."""
+    done, states = [], {(0, 0): (0.0, None)}
+    for readings in chain(_lattice(stretch[:LONGEST].lower()), [[(" ", 0.0)]]):
+        coded = [(letters, cost, _SYMBOL[list(letters.encode()[:8])].tolist()) for letters, cost in readings]
+        step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, path) in states.items():
+            for letters, cost, symbols in coded:
                 p, q, s = a, b, score + cost
-                for byte in letters.encode():
-                    c = int(_SYMBOL[byte])
+                for c in symbols if symbols[:1] != [0] else symbols[:2]:   # a run of signs counts as two
                     s += float(lm[p, q, c])
                     p, q = q, c
                 if (p, q) not in step or step[p, q][0] < s:
-                    step[p, q] = (s, text + letters)
+                    step[p, q] = (s, (path, letters))
+        if len(step) == 1:
+            (state, (score, path)), = step.items()
+            done.append(_letters(path))
+            step = {state: (score, None)}
         states = step
-    return max(states.values())[1][:-1] + stretch[LONGEST:]
+    return ("".join(done) + _letters(max(states.values(), key=lambda s: s[0])[1]))[:-1] + stretch[LONGEST:]
+
+
+def _letters(path: tuple | None) -> str:
+    out = []
+    while path is not None:
+        path, letters = path
+        out.append(letters)
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -127,6 +149,8 @@ class Restorer:
 
     def _one(self, match) -> str:
         stretch = match.group()
+        if len(stretch) > REMEMBERED:
+            return decode(stretch, self.lm)
         if stretch not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
@@ -146,20 +170,18 @@ _SEPARATOR[list(b" .*_-")] = True
 
 
 def _worth(text: str) -> bool:
-    """Whether any stretch can match: cheap tests on the bytes, all of them necessary conditions."""
+    """Whether any stretch can match: cheap tests on the bytes."""
     b = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-    if len(b) < 3:
+    if len(b) < 2:
         return False
     letter, sign = _LETTER[b], _SIGN[b]
-    if (sign[:-1] & letter[1:]).any():
+    if ((sign[:-1] & letter[1:]) | (letter[:-1] & sign[1:])).any():
         return True
     fold = b | 32
     if (letter[2:] & (fold[2:] == fold[1:-1]) & (fold[1:-1] == fold[:-2])).any():
         return True
-    if len(b) < 7:
-        return False
     some, part = letter | sign, _SEPARATOR[b]
-    return bool((some[:-6] & part[1:-5] & some[2:-4] & part[3:-3] & some[4:-2] & part[5:-1] & some[6:]).any())
+    return bool((some[:-4] & part[1:-3] & some[2:-2] & part[3:-1] & some[4:]).any())
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
