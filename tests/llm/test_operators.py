@@ -233,6 +233,11 @@ def test_restoration_of_every_token_with_signs():
         assert restore(f"so {disguised} now") == f"so {word} now"
 
 
+def test_restoration_without_ascii_signs():
+    restore = restorer("fec сука é")
+    assert [restore(t) for t in ("f€c", "ééé", "сукаааа", "с у к а")] == ["fec", "é", "сука", "сука"]
+
+
 def test_scores_are_defined_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for op, label, score in ((quality, "quality", 0.5), (toxicity, "toxic", 0.0)):

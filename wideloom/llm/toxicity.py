@@ -170,8 +170,10 @@ _SEPARATOR[list(b" .*_-")] = True
 
 
 def _worth(text: str) -> bool:
-    """Whether any stretch can match: cheap tests on the bytes."""
-    b = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+    """Whether any stretch can match: necessary conditions on the bytes of an ASCII text."""
+    if not text.isascii():
+        return True
+    b = np.frombuffer(text.encode(), np.uint8)
     if len(b) < 2:
         return False
     letter, sign = _LETTER[b], _SIGN[b]
