@@ -238,6 +238,13 @@ def test_restoration_without_ascii_signs():
     assert [restore(t) for t in ("f€c", "ééé", "сукаааа", "с у к а")] == ["fec", "é", "сука", "сука"]
 
 
+def test_restoration_of_long_stretches():
+    restore = restorer("fuck asshole")
+    assert restore("f" + "u" * 80 + "ck") == "fuck"
+    assert restore("455h0l3" * 40) == "asshole" * 40
+    assert restore(" ".join("asshole" * 10)) == " ".join(["asshole"] * 10)
+
+
 def test_scores_are_defined_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for op, label, score in ((quality, "quality", 0.5), (toxicity, "toxic", 0.0)):

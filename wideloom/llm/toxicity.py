@@ -3,7 +3,7 @@
 A character trigram model is counted over all documents. Stretches that may be disguised (every token of
 letters and signs or digits, letters drawn out, letters or signs set apart) become lattices: each sign may
 stand for some letters or for itself, a run of one letter for one or two, separators between single letters
-for themselves or for nothing. Viterbi search finds the likeliest letters under the model; a stretch without a choice is its own
+for themselves or for nothing. Viterbi search over the whole stretch finds the likeliest letters under the model; a stretch without a choice is its own
 decoding, so only the others are searched. The restored words are then scored: smoothed log-odds of
 word and word-start hashes, learned from one half of the sample, are summed up for each text and
 calibrated by a logistic regression on the other half.
@@ -33,7 +33,6 @@ SAMPLE = 12_000                               # labelled texts that the fit may
 SAMPLE_CHARS = 20_000                         # the longest of them; scoring has no such bound
 BITS = 20                                     # buckets of word hashes
 MIN_TEXTS = 3                                 # labelled texts that a bucket needs
-LONGEST = 64
 REMEMBERED = 64                               # characters of the longest stretch whose decoding is kept
 LITERAL = -12.0                               # log cost of a sign that stands for itself
 
@@ -111,10 +110,10 @@ def _lattice(stretch: str) -> Iterator[list[tuple[str, float]]]:
 
 
 def decode(stretch: str, lm: np.ndarray) -> str:
-    """Likeliest letters of a stretch: Viterbi over the last two symbols. Paths are linked lists;
+    """Likeliest letters of a whole stretch: Viterbi over the last two symbols. Paths are linked lists;
     where one state is left, its path is settled and let go."""
     done, states = [], {(0, 0): (0.0, None)}
-    for readings in chain(_lattice(stretch[:LONGEST].lower()), [[(" ", 0.0)]]):
+    for readings in chain(_lattice(stretch.lower()), [[(" ", 0.0)]]):
         coded = [(letters, cost, _SYMBOL[list(letters.encode()[:8])].tolist()) for letters, cost in readings]
         step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, path) in states.items():
@@ -130,7 +129,7 @@ def decode(stretch: str, lm: np.ndarray) -> str:
             done.append(_letters(path))
             step = {state: (score, None)}
         states = step
-    return ("".join(done) + _letters(max(states.values(), key=lambda s: s[0])[1]))[:-1] + stretch[LONGEST:]
+    return ("".join(done) + _letters(max(states.values(), key=lambda s: s[0])[1]))[:-1]
 
 
 def _letters(path: tuple | None) -> str:
