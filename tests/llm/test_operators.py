@@ -68,6 +68,17 @@ def test_pii_base_and_added(spark, docs):
     assert [s.kind for s in out[51].added] == ["local_phone"]
 
 
+def test_pii_context_reaches_past_other_matches(spark):
+    far = "é" * 37
+    texts = ["Call 212-555-0187 or 212-555-0188", "SSN 123-45-6789, 987-65-4321", "visa 4222222222222, 4222222222222",
+             "123-45-6789 (SSN)", "visa 4222222222223, 4222222222222", "123-45-6789", f"ssn{far}123-45-6789",
+             f"ssn {far[1:]}123-45-6789", f"ssn {far}123-45-6789", f"123-45-6789{far[1:]} ssn"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.added for r in pii.find_pii(df, F.col("doc_id"), F.col("text")).collect()}
+    assert [len(got[i]) for i in range(len(texts))] == [2, 2, 2, 1, 1, 0, 0, 1, 0, 1]
+    assert all(texts[i][s.start:s.end] == s.value for i in got for s in got[i])
+
+
 def test_pii_random_against_re(spark):
     rng = np.random.default_rng(3)
     texts = ["".join(rng.choice(list("1234567890 .-+@ab%😀()"), 60)) for _ in range(300)]

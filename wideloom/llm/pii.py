@@ -7,8 +7,10 @@ built-in functions. Possessive quantifiers and look-behinds keep a search linear
 whatever it holds (a million digits, a million letters without a space).
 
 The four base kinds are found without a score. The added kinds start from the score of their pattern;
-a valid checksum and a context word within ``WINDOW`` characters before the span raise it; spans that
-reach ``ACCEPT`` are kept.
+a valid checksum and a context word within ``WINDOW`` characters before or after the span raise it,
+whatever other matches lie between; spans that reach ``ACCEPT`` are kept. Before a local phone number
+only, an earlier match ends the context unless nothing but a list (``GLUE``) follows it: "phone
+212-555-0187, part no 212-555-0187x" names one phone.
 
 Defined cases: null text counts as empty and has no span; repeated rows give repeated results.
 """
@@ -45,6 +47,7 @@ class Kind:
     score: float
     check: str | None
     words: str
+    lists: bool = False              # the words before reach past earlier matches in lists only
 
 
 # Added kinds; a checksum is worth 0.4, a context word 0.3.
@@ -56,9 +59,10 @@ ADDED = (
     Kind("national_id", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          0.3, None, "ssn|social|security|passport|identity"),
     Kind("local_phone", r"(?<![0-9+.(-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9.-])",
-         0.3, None, "phone|call|tel|mobile|fax|telefon|handy"),
+         0.3, None, "phone|call|tel|mobile|fax|telefon|handy", lists=True),
 )
 CHECKSUM, CONTEXT = 0.4, 0.3
+GLUE = r"(?:[^\p{L}\p{N}]|\b(?:or|and|o|y|und|oder|et|ou)\b)*+"
 
 
 def digits(value: Column) -> Column:
@@ -89,8 +93,8 @@ def mod97(value: Column) -> Column:
 CHECKS = {"luhn": luhn, "mod97": mod97}
 
 
-def matches(text: str, pattern: str, needs: str | None, before: int = 0) -> Column:
-    """array<struct<start, end, value, context>> of all matches in column ``text``."""
+def matches(text: str, pattern: str, needs: str | None) -> Column:
+    """array<struct<start, end, value>> of all matches in column ``text``."""
     col = F.col(text)
     found = F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
     gaps = F.split(col, pattern, -1)
@@ -100,10 +104,9 @@ def matches(text: str, pattern: str, needs: str | None, before: int = 0) -> Colu
     def step(acc, p):
         start = acc["pos"] + F.char_length(p["gap"])
         end = start + F.char_length(p["value"])
-        context = F.right(p["gap"], F.lit(before)) if before else F.lit("")
-        span = F.struct(start.alias("start"), end.alias("end"), p["value"].alias("value"), context.alias("context"))
+        span = F.struct(start.alias("start"), end.alias("end"), p["value"].alias("value"))
         return F.struct(end.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-    none = F.array().cast("array<struct<start:int,end:int,value:string,context:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     out = F.aggregate(parts, F.struct(F.lit(0).alias("pos"), none.alias("spans")), step)["spans"]
     some = F.col(text).rlike(pattern) if needs is None else F.contains(col, F.lit(needs)) & F.col(text).rlike(pattern)
     return F.when(some, out)
@@ -118,12 +121,21 @@ def _valid(kind: str, value: Column) -> Column:
     return n.between(8, 15) if kind == "phone" else F.lit(True)
 
 
-def _score(kind: Kind, span: Column) -> Column:
+def _near(kind: Kind, text: Column, span: Column, window: int) -> Column:
+    """Whether a context word lies wholly within ``window`` characters before the span or after it."""
+    start, end = span["start"], span["end"]
+    word = rf"\b(?:{kind.words})\b"
+    listed = rf"(?s){word}(?:(?!{kind.pattern}).)*+(?:(?:{kind.pattern}){GLUE})*+$" if kind.lists else word
+    before = F.substring(text, F.greatest(start - window, F.lit(0)) + 1, F.least(start, F.lit(window)))
+    after = F.substring(text, end + 1, F.lit(window))
+    return lower_ascii(before).rlike(listed) | lower_ascii(after).rlike(word)
+
+
+def _score(kind: Kind, text: Column, span: Column, window: int) -> Column:
     score = F.lit(kind.score)
     if kind.check:
         score = score + F.when(CHECKS[kind.check](span["value"]), F.lit(CHECKSUM)).otherwise(F.lit(-1.0))
-    near = lower_ascii(span["context"]).rlike(rf"\b(?:{kind.words})\b")
-    return score + F.when(near, F.lit(CONTEXT)).otherwise(F.lit(0.0))
+    return score + F.when(_near(kind, text, span, window), F.lit(CONTEXT)).otherwise(F.lit(0.0))
 
 
 def find_pii(docs: DataFrame, id_col: Column, text_col: Column, added=ADDED,
@@ -133,7 +145,7 @@ def find_pii(docs: DataFrame, id_col: Column, text_col: Column, added=ADDED,
     for name, pattern in BASE.items():
         df = df.withColumn(name, matches("text", pattern, NEEDS.get(name)))
     for kind in added:
-        df = df.withColumn(kind.name, matches("text", kind.pattern, None, window))
+        df = df.withColumn(kind.name, matches("text", kind.pattern, None))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string,score:double>>")
 
     def rated(name, score):
@@ -145,7 +157,7 @@ def find_pii(docs: DataFrame, id_col: Column, text_col: Column, added=ADDED,
         return F.filter(rated(name, lambda s: F.lit(1.0)), lambda s: _valid(name, s["value"]))
 
     def accepted(kind):
-        return F.filter(rated(kind.name, lambda s: _score(kind, s)), lambda s: s["score"] >= accept)
+        return F.filter(rated(kind.name, lambda s: _score(kind, F.col("text"), s, window)), lambda s: s["score"] >= accept)
     return df.select("doc_id", *[valid(k).alias(k) for k in BASE],
                      F.concat(none, *[accepted(k) for k in added]).alias("added"))
 
