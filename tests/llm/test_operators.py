@@ -264,6 +264,16 @@ def test_scores_are_defined_without_labels(spark, docs):
         assert len(got) == len(ROWS) and {r.score for r in got} == {score}
 
 
+def test_passages_do_not_depend_on_neighbours():
+    text, long = b"Some words, \t and 12 more.  ", b"  \n" + b"one two, three\n" * 200 + b"\t"
+    texts = [b" \n " * 90, text, b"\t" * 500, text, b"", b" \n" * 40 + b"x", long, b" " * 70, long]
+    owner, x = quality.passages(texts)
+    for i, t in enumerate(texts):
+        assert np.array_equal(x[owner == i], quality.passages([t])[1])
+    own = np.bincount(quality._CLASS[np.frombuffer(text, np.uint8)], minlength=quality.CLASSES)
+    assert np.allclose(x[owner == 1][0, :quality.CLASSES] ** 2, own / own.sum())
+
+
 def test_gradient_of_the_bags():
     rng = np.random.default_rng(0)
     x, owner, y = rng.normal(size=(9, quality.FEATURES)), np.array([0, 0, 1, 1, 1, 2, 3, 3, 3]), np.array([1., 0, 1, 0])

@@ -11,7 +11,8 @@ The fit runs over a sample of labelled documents that is bounded by ``SAMPLE`` d
 
 Defined cases: null and empty texts have no passage and get the score of an empty bag; without
 labelled rows (or with one class only) every score is the share of label 1, or 0.5 without any;
-repeated rows get equal scores. Labels, language, source and id are no inputs.
+repeated rows get equal scores. A byte counts only for passages of its own text (a block of 1 MB of a
+text that is white space only has no passage). Labels, language, source and id are no inputs.
 """
 
 from __future__ import annotations
@@ -57,10 +58,18 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         passage = np.cumsum(new) - 1
         first = ws[new]
         n = len(first)
-        place = np.zeros(len(data), np.int64)
-        place[first] = 1
-        place = np.maximum(np.cumsum(place) - 1, 0)
-        hist = np.bincount(place * CLASSES + _CLASS[data], minlength=n * CLASSES).reshape(n, CLASSES)
+        # a passage's bytes: up to the next one of its block; the first and last reach the block's ends
+        part = block[new]
+        head = np.concatenate(([True], part[1:] != part[:-1]))
+        stops = np.append(starts[1:], len(data)) - 1
+        begin = np.where(head, starts[part], first)
+        end = np.append(np.where(head[1:], stops[part[:-1]], begin[1:]), stops[part[-1]])
+        inside = np.zeros(len(data), np.int8)
+        inside[starts[part[head]]] = 1
+        inside[stops[part[head]]] = -1
+        place = np.repeat(np.arange(n), end - begin)
+        kind = _CLASS[data[np.cumsum(inside, dtype=np.int8).view(bool)]]
+        hist = np.bincount(place * CLASSES + kind, minlength=n * CLASSES).reshape(n, CLASSES)
         x = np.zeros((n, FEATURES), np.float32)
         x[:, :CLASSES] = np.sqrt(hist / np.maximum(hist.sum(1, keepdims=True), 1))
         size = (we - ws).astype(np.float64)
