@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, pii, quality, simhash, sketches, toxicity, url_rules, warc
-from .common import Scratch
+from . import exact_dedup, mixing, packing, pii, quality, runs, simhash, sketches, toxicity, url_rules, warc
+from .common import SPACE, Scratch, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,3 +142,37 @@ FROM f
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of the archives written from all pages, as read back."""
     return warc.archive(Scratch(spark, "op6"), _pages(spark, sf_dir), F.col("page_id"), F.col("url"), F.col("html"))
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's texts: where crc32(doc_id) % 10 is 0, the words from a on go round a period."""
+    w = F.filter(F.split(text_or_empty("text"), SPACE + "+"), lambda x: x != "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", h.alias("h")).withColumn("g", F.floor(F.col("h") / 10))
+    w = F.when(F.col("h") % 10 == 0, w)                           # null elsewhere: only these texts are split
+    rows = rows.withColumn("w", w).withColumn("n", F.size("w"))
+    a = F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int")
+    rows = rows.withColumn("a", a).withColumn(
+        "p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    planted = F.concat(F.slice("w", 1, F.col("a")), F.transform(
+        F.sequence(F.lit(0), F.col("n") - F.col("a") - 1),
+        lambda i: F.get("w", F.col("a") + i % F.col("p"))))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " "))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, its longest run, and a digest of the text without what runs repeat."""
+    found = runs.find_runs(Scratch(spark, "op13"), _with_planted_runs(_documents(spark, sf_dir)),
+                           F.col("doc_id"), F.col("text"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                              r["period"].cast("string")), F.lit("\n")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.coalesce(F.size("runs"), F.lit(0)).cast("bigint").alias("n_runs"), "best.start",
+        (-F.col("best.less")).alias("length"), "best.period",
+        F.floor(F.lit(-1000) * F.col("best.less") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.coalesce(F.array_join(line, ""), F.lit("")), 256).alias("runs_sha256"),
+        F.coalesce(F.sha2("collapsed", 256), F.col("words_sha256")).alias("collapsed_sha256"))
