@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, pii, quality, runs, simhash, sketches, toxicity, url_rules, warc
+from . import exact_dedup, mixing, negatives, packing, pii, quality, runs, simhash, sketches, toxicity, url_rules, warc
 from .common import SPACE, Scratch, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,7 +161,45 @@ def _with_planted_runs(docs: DataFrame) -> DataFrame:
                        .otherwise(F.col("text")).alias("text"))
 
 
-@register("op13_periodic_runs")
+@register("op13_periodic_runs", """
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS row, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h
+  FROM documents),
+n AS (SELECT *, len(w)::BIGINT AS n, h // 10 AS g FROM t),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM n),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+words AS (
+  SELECT row, n, i, CASE WHEN i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM p)),
+four AS (
+  SELECT row, n, i, word || ' ' || lead(word) OVER r || ' ' || lead(word, 2) OVER r || ' ' || lead(word, 3) OVER r AS k
+  FROM words WINDOW r AS (PARTITION BY row ORDER BY i)),
+pairs AS (
+  SELECT x.row, x.i, y.i - x.i AS q
+  FROM four x JOIN four y ON x.row = y.row AND x.k = y.k AND y.i > x.i AND (y.i - x.i) * 4 <= x.n),
+islands AS (
+  SELECT row, q, min(i) AS s, max(i) + 4 + q AS e
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS z FROM pairs) GROUP BY row, q, z),
+runs AS (
+  SELECT row, q, s, e - s AS size FROM islands x
+  WHERE e - s >= greatest(6, 4 * q) AND NOT EXISTS (
+    SELECT 1 FROM islands y WHERE y.row = x.row AND y.q < x.q AND x.q % y.q = 0 AND y.s <= x.s AND y.e >= x.e)),
+per AS (
+  SELECT row, count(*) AS n_runs, string_agg(s || ',' || size || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+         min([-size, s, q]) AS best
+  FROM runs GROUP BY row),
+kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM words x
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.row = x.row AND x.i >= r.s + r.q AND x.i < r.s + r.size)
+  GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[2]::BIGINT AS start, (-best[1])::BIGINT AS length, best[3]::BIGINT AS period,
+       (1000 * -best[1] // best[3])::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(text, '')) AS collapsed_sha256
+FROM t LEFT JOIN per USING (row) LEFT JOIN kept USING (row)
+""")
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every text, its longest run, and a digest of the text without what runs repeat."""
     found = runs.find_runs(Scratch(spark, "op13"), _with_planted_runs(_documents(spark, sf_dir)),
@@ -176,3 +214,31 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.lit(-1000) * F.col("best.less") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
         F.sha2(F.coalesce(F.array_join(line, ""), F.lit("")), 256).alias("runs_sha256"),
         F.coalesce(F.sha2("collapsed", 256), F.col("words_sha256")).alias("collapsed_sha256"))
+
+
+@register("op11_hard_negatives", """
+WITH e AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.row AS a, a.vec_id AS anchor_id, c.row AS c, c.vec_id, a.label = c.label AS same,
+         list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM e a JOIN e c ON a.vec_id % 50 = 0 AND a.row <> c.row),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, c) <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.c ORDER BY s.score DESC, s.vec_id, s.c)::INTEGER AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT * FROM n WHERE rank <= 3
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hardest rows of other labels for every anchor and positive."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(Scratch(spark, "op11"), rows, F.col("vec_id"), label, F.transform(
+        "embedding", lambda x: 256 * x.cast("double")), F.col("vec_id") % 50 == 0)
