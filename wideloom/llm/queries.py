@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, negatives, packing, pii, quality, runs, simhash, sketches, toxicity, url_rules, warc
+from . import exact_dedup, language_model, mixing, negatives, packing, pii, quality, runs, simhash, sketches, toxicity, url_rules, warc
 from .common import SPACE, Scratch, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,3 +242,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(Scratch(spark, "op11"), rows, F.col("vec_id"), label, F.transform(
         "embedding", lambda x: 256 * x.cast("double")), F.col("vec_id") % 50 == 0)
+
+
+@register("op12_maxent_lm")
+def op12_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add-one unigram score and maximum-entropy score of every text."""
+    docs, scratch = _documents(spark, sf_dir), Scratch(spark, "op12")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    counts, model = language_model.train(scratch, docs, F.col("text"), ~held_out)
+    found = language_model.scored(scratch, docs, F.col("doc_id"), F.col("text"), counts, model)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
