@@ -1,3 +1,8 @@
+from urllib.parse import urljoin
+
+from pyspark.sql import functions as F
+
+from wideloom.functions.urls import url_join
 from wideloom.operators.links import extract_links, extract_urls
 
 
@@ -21,3 +26,24 @@ def test_urls_in_text_dedup_first_seen(spark):
     assert [r.url for r in extract_urls(df, "t").collect()] == ["https://a.example/x.csv",
                                                                 "http://b.example/y.xlsx",
                                                                 "http://b.example/y.xls"]
+
+
+def test_url_join_against_the_standard_library(spark):
+    bases = ["https://site.example", "https://site.example/", "http://h.example/a/b/c.html?q=1#top", "http://h.example/a/b/"]
+    refs = ["", "x.csv", "./x.csv", "../x.csv", "../../x", "../../../../x.csv", "a/../b.csv", "a/./b/../../c", ".", "..", "./", "../",
+            "a/..", "a/.", "/x", "/x/../y/./z.csv", "/..", "/a/b/..", "?x", "?x=1#y", "#a", "mailto:me@h.example", "javascript:void(0)",
+            "//cdn.example/a/b.csv", "//cdn.example", "https://o.example/p?q#f", "ftp://o.example/a/../b", "x;v=1", "x/../?q", "x//y.csv",
+            "..x", "x..", "...", "a b.csv", "é/ü.csv", "x#y?z", "x?y/../z"]
+    pairs = [(b, r) for b in bases for r in refs]
+    df = spark.createDataFrame(pairs, "b string, r string")
+    got = [r.u for r in df.select(url_join(F.col("b"), F.col("r")).alias("u")).collect()]
+
+    want = [urljoin(b, r) if r else b.split("#")[0] for b, r in pairs]
+    assert list(zip(pairs, got)) == list(zip(pairs, want))
+
+
+def test_url_join_white_space_and_nulls(spark):
+    df = spark.createDataFrame([(" x.csv\n", "https://h.example/a/b"), (None, "https://h.example"), ("//c.example/x", None),
+                                ("https://c.example/x", None)], "r string, b string")
+    assert [r.u for r in df.select(url_join(F.col("b"), F.col("r")).alias("u")).collect()] == [
+        "https://h.example/a/x.csv", None, "//c.example/x", "https://c.example/x"]

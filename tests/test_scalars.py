@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 from wideloom.functions.dates import column_label, days_in_month, iso_month_label, month_abbr, \
     yyyymm_to_label
 from wideloom.functions.numbers import axis_label, humanise
-from wideloom.functions.text import title_case, url_join
+from wideloom.functions.text import title_case
+from wideloom.functions.urls import url_join
 
 
 def one(spark, col, values, schema="v string"):

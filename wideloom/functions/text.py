@@ -1,8 +1,7 @@
-"""Text scalars (F8-F10, F15-F18). ``Column -> Column`` built-ins only."""
+"""Text scalars (F8-F10, F15, F16, F18; F17 is in :mod:`wideloom.functions.urls`). ``Column -> Column`` built-ins only."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -36,11 +35,6 @@ def contains_pattern(c: Column | str, pattern: str, *, ignore_case: bool = False
     return _c(c).rlike(("(?i)" if ignore_case else "") + pattern)
 
 
-def alternation(words: Sequence[str]) -> str:
-    """F16: an escaped ``a|b|c`` pattern from literal words."""
-    return "|".join(re.escape(w) for w in words)
-
-
 def ends_with_any(c: Column | str, suffixes: Sequence[str]) -> Column:
     """case-insensitive ``endswith`` over several suffixes."""
     low = F.lower(_c(c))
@@ -60,25 +54,6 @@ def ordered_distinct(arr: Column) -> Column:
     return F.array_distinct(arr)
 
 
-def url_join(base: str | Column, c: Column | str) -> Column:
-    """resolve a link against a site root: absolute, ``//host``, ``/path`` or relative.
-
-    ``base`` is a scheme + host such as ``https://example.org`` (text or a column). Relative
-    links resolve against the root, which is what joining onto a bare host does.
-    """
-    c = _c(c)
-    if isinstance(base, Column):
-        root = F.regexp_replace(base, "/+$", "")
-        scheme = F.substring_index(root, "://", 1)
-    else:
-        root = F.lit(base.rstrip("/"))
-        scheme = F.lit(base.split("://", 1)[0] if "://" in base else "https")
-    return (F.when(c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), c)
-             .when(c.startswith("//"), F.concat(scheme, F.lit(":"), c))
-             .when(c.startswith("/"), F.concat(root, c))
-             .otherwise(F.concat(root, F.lit("/"), c)))
-
-
 def empty_if_null(c: Column | str) -> Column:
     """null -> ``""`` (the table preview's ``?? ""``)."""
     return F.coalesce(_c(c).cast("string"), F.lit(""))

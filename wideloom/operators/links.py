@@ -2,7 +2,8 @@
 
 * M7: ``href="..."`` / ``href='...'`` links ending in one of the extensions, extension-major
   (all ``.csv`` links of a page before its ``.xlsx`` links), page order inside an extension,
-  then resolved against a base (absolute, ``//host``, ``/path`` or relative).
+  then resolved against a base: the site's root or the page's own URL (see
+  :func:`wideloom.functions.urls.url_join`).
 * M8: ``http(s)://`` URLs ending in one of the extensions inside arbitrary text (the serialised
   API response), extension-major, first-seen duplicates removed.
 """
@@ -15,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import find_all, ordered_distinct, url_join
+from ..functions.text import find_all, ordered_distinct
+from ..functions.urls import url_join
 
 # The file extensions searched for and the URL body grammar.
 LINK_EXTENSIONS = (".csv", ".xlsx", ".xls", ".zip")
@@ -28,15 +30,11 @@ def href_pattern(ext: str | None) -> str:
     return r"""href=["'](""" + HREF_BODY + tail + r""")["']"""
 
 
-def origin(url: Column) -> Column:
-    """Scheme and host of an absolute URL (``https://host``)."""
-    return F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-
-
 def extract_links(df: DataFrame, html: str, *, keep: Sequence[str] = (),
                   extensions: Sequence[str] | None = LINK_EXTENSIONS,
                   base: str | Column = "") -> DataFrame:
-    """M7: rows ``(*keep, pos, href, url)``; ``extensions=None`` takes every href."""
+    """M7: rows ``(*keep, pos, href, url)``; ``extensions=None`` takes every href. ``base`` is one URL
+    for all pages or a column of each page's own URL."""
     exts = list(extensions) if extensions else [None]
     per_ext = [find_all(html, href_pattern(e), 1) for e in exts]
     found = F.flatten(F.array(*per_ext)) if len(per_ext) > 1 else per_ext[0]

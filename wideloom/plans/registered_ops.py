@@ -204,20 +204,68 @@ def m04(spark, sf_dir):
 
 # ── links (M7, M8) ────────────────────────────────────────────────────────────────────────────
 
-@register("m07_page_links", """
-WITH l AS (SELECT page_id, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS base,
-                  regexp_extract_all(html, 'href=["'']([^"'']+)["'']', 1) AS hrefs FROM pages),
-u AS (SELECT page_id, base, unnest(hrefs) AS href, unnest(generate_series(0, len(hrefs) - 1)) AS pos FROM l)
+_RESOLVE_SQL = """
+p AS (SELECT *, regexp_extract(href, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)', 0) AS scheme,
+             regexp_extract(href, '^//[^/?#]*', 0) AS host, regexp_extract(href, '^[^?#]*', 0) AS path,
+             regexp_extract(href, '[?#].*$', 0) AS tail,
+             regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) AS b_scheme,
+             regexp_extract(base, '^[^/]*//[^/?#]*', 0) AS b_root,
+             regexp_extract(base, '^[^/]*//[^/?#]*([^?#]*)', 1) AS b_path,
+             regexp_extract(base, '^[^#]*', 0) AS b_whole FROM u),
+m AS (SELECT *, string_split(CASE WHEN starts_with(path, '/') THEN path ELSE regexp_replace(
+             regexp_replace(CASE WHEN b_path = '' THEN '/' ELSE b_path END, '[^/]*$', '') || path, '/{2,}', '/', 'g') END, '/') AS parts
+      FROM p),
+d AS (SELECT *, list_reduce(list_transform(parts, lambda x: [x]), lambda s, x:
+             CASE WHEN x[1] = '.' THEN s WHEN x[1] = '..' THEN s[1:greatest(len(s) - 1, 1)] ELSE list_concat(s, x) END) AS stack
+      FROM m)
 SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
-       CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
-            WHEN starts_with(href, '//') THEN split_part(base, '://', 1) || ':' || href
-            WHEN starts_with(href, '/') THEN regexp_replace(base, '/+$', '') || href
-            ELSE regexp_replace(base, '/+$', '') || '/' || href END AS url
-FROM u""")
+       CASE WHEN scheme <> '' THEN href WHEN host <> '' THEN b_scheme || href
+            WHEN path <> '' THEN b_root || array_to_string(
+              CASE WHEN parts[-1] IN ('.', '..') OR len(stack) = 1 THEN list_append(stack, '') ELSE stack END, '/') || tail
+            WHEN starts_with(tail, '?') THEN b_root || b_path || tail
+            ELSE b_whole || tail END AS url
+FROM d"""
+
+
+@register("m07_page_links", r"""
+WITH l AS (SELECT page_id, url AS base, regexp_extract_all(html, 'href=["'']([^"'']+)["'']', 1) AS hrefs FROM pages),
+u AS (SELECT page_id, base, unnest(hrefs) AS href, unnest(generate_series(0, len(hrefs) - 1)) AS pos FROM l),""" + _RESOLVE_SQL)
 def m07(spark, sf_dir):
+    """Every link of every page, resolved against the page's own URL."""
     pages = S.table(spark, sf_dir, "pages")
-    return L.extract_links(pages, "html", keep=["page_id"], extensions=None,
-                           base=L.origin(F.col("url")))
+    return L.extract_links(pages, "html", keep=["page_id"], extensions=None, base=F.col("url"))
+
+
+# The kinds of references that the pages' own links are turned into, by page number; the
+# place of the link's own text is marked {}.
+LINK_KINDS = ("/{}.csv", "../{}.csv", "./{}.xlsx", "a/../{}.zip", "{}/../../../b.xls", "?file={}.csv", "#{}.zip",
+              "mailto:{}.xls", "//cdn.example.net/{}/./x.csv", "HTTPS://example.org/d/../{}.zip", "../..//{}.xlsx", "{}.csv")
+
+
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` whose links to ``/text`` are references of all kinds to files."""
+    pages = S.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    kind = F.element_at(F.array(*[F.lit(k.replace("{}", "$1")) for k in LINK_KINDS]),
+                        (F.col("page_id") % len(LINK_KINDS) + 1).cast("int"))
+    html = F.regexp_replace(F.col("html"), F.lit("""href="/([^"'?#:]*)["]"""),
+                            F.concat(F.lit('href="'), kind, F.lit('"')))
+    return pages.withColumn("html", html)
+
+
+_KINDS_SQL = "[" + ", ".join("'" + k.replace("{}", "\\1") + "'" for k in LINK_KINDS) + "]"
+
+
+@register("m07b_file_links", rf"""
+WITH h AS (SELECT page_id, url AS base, regexp_replace(html, 'href="/([^"''?#:]*)["]',
+             'href="' || ({_KINDS_SQL})[CAST(page_id % {len(LINK_KINDS)} AS INTEGER) + 1] || '"', 'g') AS html FROM pages),
+l AS (SELECT page_id, base, list_concat(list_concat(
+        regexp_extract_all(html, 'href=["'']([^"'']+\.csv)["'']', 1), regexp_extract_all(html, 'href=["'']([^"'']+\.xlsx)["'']', 1)),
+        list_concat(regexp_extract_all(html, 'href=["'']([^"'']+\.xls)["'']', 1),
+                    regexp_extract_all(html, 'href=["'']([^"'']+\.zip)["'']', 1))) AS hrefs FROM h),
+u AS (SELECT page_id, base, unnest(hrefs) AS href, unnest(generate_series(0, len(hrefs) - 1)) AS pos FROM l),""" + _RESOLVE_SQL)
+def m07b(spark, sf_dir):
+    """The links to files of the published kinds, kind by kind, resolved against the page's own URL."""
+    return L.extract_links(linked_pages(spark, sf_dir), "html", keep=["page_id"], base=F.col("url"))
 
 
 # The "extensions" searched for in the serialised page records.
