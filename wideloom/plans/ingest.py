@@ -26,7 +26,7 @@ from ..operators.columns import normalise_names
 from ..operators.manifest import match_resources, pick_resources, select_sources, stride_sample
 from ..operators.sniff import TypeDecision, sniff
 from ..operators.union import dedupe, reconcile_union
-from ..sources.csv import is_excel, parse_csv
+from ..sources.csv import is_excel, literal_path, parse_csv
 from ..sources.sheets import stack_sheets
 from ..sources.sinks import save_parquet
 from ..sources.xlsx import read_xlsx_grid
@@ -51,8 +51,8 @@ def parse_resource(spark: SparkSession, url: str, *, grid_reader: GridReader | N
         scratch_dir(spark)
         grid = (grid_reader or read_xlsx_grid)(spark, url).checkpoint(eager=True)
         return normalise(stack_sheets(grid))[0]
-    # S1b has seen every value already, so N5 has nothing to add
-    return normalise(parse_csv(spark, url, multiline=multiline)[0], numeric=False)[0]
+    # S1b has seen every value already, so N5 has nothing to add; a resource's path is no pattern
+    return normalise(parse_csv(spark, literal_path(url), multiline=multiline)[0], numeric=False)[0]
 
 
 @dataclass

@@ -369,6 +369,17 @@ def s01(spark, sf_dir):
     return I.normalise(parse_csv(spark, path)[0], numeric=False)[0]
 
 
+@register("s01b_messy_csv_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def s01b(spark, sf_dir):
+    """Texts with line breaks, quotes and outer spaces written as CSV and read back: records that span
+    lines are put together by many tasks."""
+    path = f"{scratch_dir(spark)}/csv-documents-{uuid.uuid4().hex}"
+    docs = S.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    (docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return I.normalise(parse_csv(spark, path)[0], numeric=False)[0]
+
+
 _SNAP_CSV_SQL = f"""
 SELECT DISTINCT * FROM (
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props,

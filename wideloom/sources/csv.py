@@ -11,10 +11,10 @@ the data keeps text).
   any character. A blank name becomes ``_c<i>``; a repeated name gets its position as a suffix.
 * Ragged rows: with an all-text schema and ``PERMISSIVE`` mode, extra fields are dropped and short
   rows padded with nulls.
-* Quotes: ``escape='"'`` keeps doubled quotes; ``multiLine`` keeps quoted line breaks. With
-  ``multiLine`` a file is read by one task, so it is used only for files that need it: the same
-  pass that checks the encoding finds lines with an odd number of quotes. Other files are split
-  and parsed in parallel.
+* Quotes: ``escape='"'`` keeps doubled quotes. A quoted field may hold line breaks; the same pass that
+  checks the encoding finds files in which a line leaves a quote open. Their lines are put together to
+  records by :mod:`wideloom.sources.records`, so such a file is read by many tasks like any other; a
+  quote inside an unquoted field opens nothing.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from ..operators.columns import unique_names
 from ..operators.sniff import TypeDecision, sniff
+from .records import leaves_open, records
 
 # The encodings tried, in order, and the spreadsheet extensions.
 UTF8 = "UTF-8"
@@ -44,32 +45,29 @@ QUOTED_EMPTY = "\ue000\ue001"
 Profiles = dict[str, tuple[str, bool, str]]
 
 
-def _literal(file_path: str) -> str:
-    """A path as the file system names it, from the percent-encoded form of ``_metadata``;
-    characters that a reader would take for a pattern are escaped."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file_path))
+def literal_path(path: str) -> str:
+    """A path whose characters that a reader would take for a pattern are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def file_profiles(spark: SparkSession, paths: Sequence[str] | str) -> Profiles:
     """S1a + line-break check, one parallel pass over the raw lines: per file, its encoding,
     whether a quoted field spans a line break, and a digest that files with one header share.
 
-    A line break inside quotes leaves that physical line with an odd number of ``"`` (doubled
-    quotes count twice), so a file whose lines all have an even count can be split and parsed
-    line by line in parallel; the others need ``multiLine`` (one task per file). A blank first line
-    or one that a quote leaves open does not show the header, so such a file stands alone.
+    If no line leaves a quote open, each line is a record and the file can be split and parsed line by
+    line; the others need their lines put together. A blank first line or one that a quote leaves open
+    does not show the header, so such a file stands alone. ``paths`` may be folders or patterns.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     v, f = F.col("value"), F.col("_metadata.file_path")
-    quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
-    shown = (quotes % 2 == 0) & (F.trim(v) != "")
     lines = spark.read.text(paths).select(
-        f.alias("f"), F.is_valid_utf8(v).alias("ok"), (quotes % 2 == 0).alias("even"),
-        F.md5(F.when(shown, v.cast("binary")).otherwise(f.cast("binary"))).alias("head"),
+        f.alias("f"), F.is_valid_utf8(v).alias("ok"), leaves_open(v).alias("open"), v,
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
-    prof = lines.groupBy("f").agg(F.bool_and("ok").alias("ok"), F.bool_and("even").alias("even"),
+    shown = ~F.col("open") & (F.trim(v) != "")
+    lines = lines.withColumn("head", F.md5(F.when(shown, v.cast("binary")).otherwise(F.col("f").cast("binary"))))
+    prof = lines.groupBy("f").agg(F.bool_and("ok").alias("ok"), F.bool_or("open").alias("open"),
                                   F.min_by("head", "at").alias("head"))
-    return {_literal(r.f): (UTF8 if r.ok else LATIN1, not r.even, r.head) for r in prof.collect()}
+    return {literal_path(unquote(r.f)): (UTF8 if r.ok else LATIN1, r.open, r.head) for r in prof.collect()}
 
 
 def file_encodings(spark: SparkSession, paths: Sequence[str] | str) -> dict[str, str]:
@@ -89,15 +87,31 @@ def _header(spark: SparkSession, path: str, encoding: str, multi: bool) -> list[
 
 def _read_files(spark: SparkSession, width: int, enc: str, multi: bool, files: list[str]) -> DataFrame:
     schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(width)])
+    if multi:
+        options = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": QUOTED_EMPTY}
+        rows = records(spark, files, enc).select(F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), options).alias("r"))
+        return rows.select("r.*")
     return (spark.read.schema(schema).option("header", True).option("encoding", enc)
             .option("mode", "PERMISSIVE").option("escape", '"').option("emptyValue", QUOTED_EMPTY)
-            .option("multiLine", multi).option("enforceSchema", True).csv(files))
+            .option("enforceSchema", True).csv(files))
+
+
+def _keys(names: list[str]) -> list[tuple[str, int]]:
+    """Names without regard to case and the spaces around them, each with its turn among equal ones."""
+    seen: dict[str, int] = {}
+    out = []
+    for n in names:
+        low = n.strip().casefold()
+        seen[low] = seen.get(low, -1) + 1
+        out.append((low, seen[low]))
+    return out
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
                   multiline: bool | None = None) -> DataFrame:
     """S1 without typing: all-text columns in order of first occurrence (files in path order); a
-    column that a file lacks is null there.
+    column that a file lacks is null there. Headers of two files that differ in case or spaces around
+    them only name one column, spelled as it came first.
 
     ``encoding`` / ``multiline`` default to a per-file decision (:func:`file_profiles`).
     """
@@ -108,16 +122,19 @@ def read_csv_text(spark: SparkSession, path: str | Sequence[str], *, encoding: s
     if not groups:
         raise ValueError(f"{path}: empty CSV file")
     headers = [_header(spark, files[0], enc, multi) for (enc, multi, _), files in groups.items()]
-    order = list(dict.fromkeys(name for names in headers for name in names))
+    order: dict[tuple[str, int], str] = {}
+    for names in headers:
+        for key, name in zip(_keys(names), names):
+            order.setdefault(key, name)
     out = None
     for names, ((enc, multi, _), files) in zip(headers, groups.items()):
         raw = _read_files(spark, len(names), enc, multi, files)
-        cells = {n: F.when(F.col(f"_{i}") == QUOTED_EMPTY, F.lit("")).otherwise(F.col(f"_{i}"))
-                 for i, n in enumerate(names)}
-        part = raw.select(*[cells.get(n, F.lit(None).cast("string")).alias(f"c{i}")
-                            for i, n in enumerate(order)])
+        cells = {k: F.when(F.col(f"_{i}") == QUOTED_EMPTY, F.lit("")).otherwise(F.col(f"_{i}"))
+                 for i, k in enumerate(_keys(names))}
+        part = raw.select(*[cells.get(k, F.lit(None).cast("string")).alias(f"c{i}")
+                            for i, k in enumerate(order)])
         out = part if out is None else out.union(part)
-    return out.toDF(*order)
+    return out.toDF(*order.values())
 
 
 def parse_csv(spark: SparkSession, path: str | Sequence[str], *, encoding: str | None = None,
