@@ -41,7 +41,7 @@ from .common import Scratch
 HEAD, KNOWN, LEAST_COUNT = 8192, 1 << 18, 3
 BUCKETS = 256                                  # of the last word, inside the classes
 CLASSES, ROWS = 32, 1 << 15                    # the last class holds the rare words; hashed feature rows
-ROUNDS, BATCH, RATE, DECAY = 2, 8192, 0.15, 1e-6
+ROUNDS, BATCH, RATE, DECAY = 2, 16384, 0.15, 1e-6
 TASK_TOKENS = 1 << 21                          # training tokens that are worth a set of weights
 MEMO_WORDS = 1 << 20
 CHUNK = 1 << 17                                # tokens handled at once
@@ -196,20 +196,30 @@ class Counts:
     head: dict[bytes, int]
 
     def rare(self) -> DataFrame:
-        """The counts that are not in ``known``."""
-        if len(self.known) == self.words:
-            return self.table.limit(0)
-        word, n = list(self.known.items())[-1]
-        return self.table.filter((F.col("n") < n) | (F.col("n") == n) & (F.col("word") > F.lit(bytearray(word))))
+        """The counts of the words that are not in ``known``."""
+        least = min(self.known.values(), default=None)
+        return self.table if least is None else self.table.filter(F.col("n") < least)
 
 
 def count(scratch: Scratch, texts: DataFrame) -> Counts:
     table = scratch.table(word_counts(texts), "counts")
-    size = table.agg(F.sum("n"), F.count("*")).first()
-    top = table.orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()                       # bounded
-    known = dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist()))
-    head = [w for w, n in known.items() if n >= LEAST_COUNT][:HEAD]
-    return Counts(table, size[0] or 0, size[1], known, {w: i for i, w in enumerate(head)})
+    # the least count that keeps at most KNOWN words, from a histogram of a fixed number of count classes:
+    # nothing is sorted, and no task holds more than its share
+    kind = F.floor(F.lit(64) * F.log2("n"))
+    kinds = table.groupBy(kind.alias("kind")).agg(F.min("n").alias("least"), F.count("*").alias("words"),
+                                                  F.sum("n").alias("tokens")).collect()
+    words, least = 0, None
+    for r in sorted(kinds, key=lambda r: -r["kind"]):
+        words += r["words"]
+        if words > KNOWN:
+            break
+        least = r["least"]
+    known = {}
+    if least is not None:
+        top = table.filter(F.col("n") >= least).toArrow()                                          # bounded
+        known = dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist()))
+    frequent = sorted((w for w, n in known.items() if n >= LEAST_COUNT), key=lambda w: (-known[w], w))
+    return Counts(table, sum(r["tokens"] for r in kinds), sum(r["words"] for r in kinds), known, {w: i for i, w in enumerate(frequent[:HEAD])})
 
 
 # ---------------------------------------------------------------- the model
@@ -226,13 +236,17 @@ class Model:
 
     def log_classes(self, rows: np.ndarray) -> np.ndarray:
         """Log P(class | h), (tokens, classes)."""
-        z = self.weights[rows[:, 0]]
-        for k in range(1, rows.shape[1]):
-            z += self.weights[rows[:, k]]
-        z += self.bias
-        z -= z.max(1, keepdims=True)
-        z -= np.log(np.exp(z).sum(1, keepdims=True))
-        return z
+        out = np.empty((len(rows), len(self.bias)), np.float32)
+        for a in range(0, len(rows), BATCH):                    # small enough for a processor's cache
+            part = rows[a:a + BATCH]
+            z = self.weights.take(part[:, 0], axis=0)
+            for k in range(1, rows.shape[1]):
+                z += self.weights.take(part[:, k], axis=0)
+            z += self.bias
+            z -= z.max(1, keepdims=True)
+            z -= np.log(np.exp(z).sum(1, keepdims=True))
+            out[a:a + BATCH] = z
+        return out
 
 
 def pair_counts(texts: DataFrame, head: dict[bytes, int]) -> np.ndarray:
@@ -344,30 +358,53 @@ def train_classes(scratch: Scratch, texts: DataFrame, model: Model, tokens_: int
 def _update(w, sums, met, rows, y) -> None:
     """One batch: the gradient of the log loss, summed by feature row, with a step size of each weight's own."""
     n, classes = len(y), w.shape[1]
-    z = w[rows[:, 0]]
+    z = w.take(rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
-        z += w[rows[:, k]]
+        z += w.take(rows[:, k], axis=0)
     z += w[-1]
     z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
     z /= z.sum(1, keepdims=True)
     z[np.arange(n), y] -= 1
-    flat = rows.T.ravel()
-    order = np.argsort(flat, kind="stable")                   # radix sort of 16-bit numbers
-    cut = np.flatnonzero(np.diff(flat[order].astype(np.int64), prepend=-1))
-    g = np.add.reduceat(z[order % n], cut, axis=0)
-    at = flat[order[cut]]
-    count = np.diff(np.append(cut, len(flat)))
+    at, count, g = _row_sums(z, rows)
     met[at] += count
     met[-1] += n
-    g += DECAY * count[:, None] * w[at]
-    sums[at] += g * g
-    w[at] -= RATE * g / np.sqrt(sums[at])
+    own = w.take(at, axis=0)
+    g += (DECAY * count[:, None]).astype(g.dtype) * own
+    past = sums.take(at, axis=0)
+    past += g * g
+    sums[at] = past
+    g /= np.sqrt(past, out=past)
+    g *= RATE
+    own -= g
+    w[at] = own
     bias = z.sum(0)
     sums[-1] += bias * bias
     w[-1] -= RATE * bias / np.sqrt(sums[-1])
 
 
+def _row_sums(z, rows, few: int = 6):
+    """(feature rows, how often each is met, sum of its tokens' gradients). Most rows are met once or a few
+    times: these are added turn by turn, the rest segment by segment."""
+    n = len(z)
+    flat = rows.T.ravel()
+    order = np.argsort(flat, kind="stable")                   # radix sort of 16-bit numbers
+    line = flat[order]
+    cut = np.flatnonzero(np.diff(line.astype(np.int32), prepend=-1))
+    count = np.diff(np.append(cut, len(flat)))
+    order %= n
+    g = z.take(order[cut], axis=0)
+    for turn in range(1, few):
+        more = np.flatnonzero((count > turn) & (count <= few))
+        g[more] += z.take(order[cut[more] + turn], axis=0)
+    many = count > few
+    if many.any():
+        inside = np.repeat(many, count)
+        first = np.cumsum(count[many]) - count[many]
+        g[many] = np.add.reduceat(z.take(order[inside], axis=0), first, axis=0)
+    return line[cut], count, g
+
+
 def train(scratch: Scratch, docs: DataFrame, text_col: Column, training: Column, rounds: int = ROUNDS) -> tuple[Counts, Model]:
     """Counts and model of the documents for which ``training`` holds."""
     texts = docs.filter(training).select(text_col.alias("text"))
