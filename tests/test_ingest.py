@@ -168,3 +168,67 @@ def test_partitioned_save_prunes(spark, tmp_dir):
     q = spark.read.parquet(f"{tmp_dir}/p.parquet").filter("year = 2024")
     assert "PartitionFilters: [isnotnull(year" in q._jdf.queryExecution().executedPlan().toString()
     assert q.count() == 2
+
+
+def test_failing_write_leaves_the_old_dataset(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from wideloom.sources.sinks import save_parquet
+    path = f"{tmp_dir}/set.parquet"
+    save_parquet(spark.range(5), path)
+    bad = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("task fails"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="task fails"):
+        save_parquet(bad, path)
+    assert spark.read.parquet(path).count() == 5
+    assert os.listdir(tmp_dir) == ["set.parquet"]                  # nothing staged is left
+    own = spark.read.parquet(path)
+    assert save_parquet(own.union(own), path).rows == 10           # a dataset that reads itself
+    assert spark.read.parquet(path).count() == 10 and os.listdir(tmp_dir) == ["set.parquet"]
+
+
+def test_failing_rename_brings_the_old_dataset_back(spark, tmp_dir, monkeypatch):
+    from wideloom.sources import sinks
+    path = f"{tmp_dir}/set.parquet"
+    sinks.save_parquet(spark.range(5), path)
+    place = sinks._Place(spark, path)
+    with pytest.raises(Exception):
+        place.replace(place.beside("staged"))                      # there is nothing to put in place
+    assert spark.read.parquet(path).count() == 5
+    os.rename(path, f"{tmp_dir}/.set.parquet.before-1")            # as a driver lost between the renames leaves it
+    assert sinks.restore_dataset(spark, path) and not sinks.restore_dataset(spark, path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_documents_have_an_order_and_a_bound(spark):
+    from pyspark.sql import functions as F
+    from wideloom.sources.sinks import chart_payload, table_payload
+    df = spark.createDataFrame([("b", 2), ("a", 2), (None, 5), ("c", None)], "k string, v int")
+    assert chart_payload(df, "k", "v", order=["-v", "k"]).first().json == \
+        '{"labels":["c",null,"a","b"],"values":[null,5,2,2]}'
+    assert table_payload(df, order=["k"]).first().json == \
+        '{"columns":["k","v"],"rows":[[null,5],["a",2],["b",2],["c",null]]}'
+    with pytest.raises(ValueError):
+        chart_payload(df, "k", "v", order=[])
+    with pytest.raises(Exception, match="more than 3 rows"):
+        chart_payload(df, "k", "v", order=["k"], max_rows=3).collect()
+    plan = chart_payload(df.groupBy("k").agg(F.sum("v").alias("v")), "k", "v", order=["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_brackets_in_paths_and_backticks_in_names(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    a = write(f"{src}/Searches [x] (part) 50%.csv", "Kind `a`,n\nx,1\n")
+    b = write(f"{src}/b.csv", "kind `A`,N\ny,z\n")
+    man = spark.createDataFrame([("emxgp", 0, "one", a, "csv"), ("emxgp", 1, "two", b, "csv")], MANIFEST_SCHEMA)
+    r = refresh(spark, [source("thorough-searches")], man, os.path.join(tmp_dir, "out")).first()
+    assert r.status == "ok" and r.skipped == [] and r.rows == 2
+    assert sorted(map(tuple, spark.read.parquet(r.path).collect())) == [("x", "1"), ("y", "z")]
+
+
+def test_one_manifest_job_for_all_datasets(spark, tmp_dir, monkeypatch):
+    from wideloom.plans import ingest
+    calls = []
+    real = ingest.plan_refresh
+    monkeypatch.setattr(ingest, "plan_refresh", lambda *a: calls.append(1) or real(*a))
+    man = spark.createDataFrame([], MANIFEST_SCHEMA)
+    rep = refresh(spark, [source("homicide"), source("stop-search"), source("custody")], man, os.path.join(tmp_dir, "out"))
+    assert len(calls) == 1 and [r.status for r in rep.collect()] == ["no-match"] * 3

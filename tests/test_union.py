@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from wideloom.operators.union import dedupe, reconcile_union
 
 
@@ -40,3 +43,35 @@ def test_dedupe_null_equals_null(spark):
 def test_dedupe_idempotent_on_self_union(spark):
     df = spark.createDataFrame([(i % 7, str(i % 3)) for i in range(100)], "a bigint, b string")
     assert dedupe(reconcile_union([df, df])).count() == dedupe(df).count()
+
+
+def test_numbers_as_plain_text(spark):
+    import random
+    from decimal import Decimal
+    from wideloom.operators.union import plain_text
+    rng = random.Random(1)
+    values = [0.0, -0.0, 5.0, 1.2345678e7, 1e10, 1.5e-7, -2.5e-10, 123.456, 1e22, 1.7976931348623157e308, 0.1, -7.0, 0.001, 100.25,
+              None] + [rng.uniform(-1, 1) * 10 ** rng.randint(-20, 25) for _ in range(200)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for r in df.select("x", F.col("x").cast("string").alias("s"), plain_text(F.col("x"), T.DoubleType()).alias("t")).collect():
+        if r.x is None:
+            assert r.t is None
+            continue
+        want = format(Decimal(r.s), "f")
+        want = want.rstrip("0").rstrip(".") if "." in want else want
+        assert r.t == ("0" if want == "-0" else want)
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),)], "x double")
+    assert [r.t for r in odd.select(plain_text(F.col("x"), T.DoubleType()).alias("t")).collect()] == ["NaN", "Infinity"]
+
+
+def test_one_number_of_two_snapshots_is_one_row(spark):
+    a = spark.createDataFrame([("x", 12345678), ("y", 5)], "k string, n bigint")
+    b = spark.createDataFrame([("x", 1.2345678e7), ("y", 5.5)], "k string, n double")
+    assert sorted(map(tuple, dedupe(reconcile_union([a, b])).collect())) == [("x", "12345678"), ("y", "5"), ("y", "5.5")]
+
+
+def test_names_with_backticks_and_dots(spark):
+    a = spark.createDataFrame([(1, "p")], "`a.b` int, `c``d` string")
+    b = spark.createDataFrame([("q", 2.5)], "`c``d` string, `a.b` double")
+    got = reconcile_union([a, b])
+    assert got.columns == ["a.b", "c`d"] and sorted(map(tuple, got.collect())) == [("1", "p"), ("2.5", "q")]

@@ -7,8 +7,8 @@ order is meaningful), ``name``, ``url``, ``format``. The *registry* lists the wa
 residual predicate; picking the newest match is a ``min_by`` per key; stride sampling is a
 ``row_number``/``count`` window per key.
 
-The registry is configuration (one row per wanted dataset, a few dozen at most) and is broadcast;
-the manifest side is never collected.
+The registry is configuration (one row per wanted dataset, a few dozen as a rule); whether it is broadcast
+is left to Spark, which knows its size. The manifest side is never collected.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ TABULAR_EXTENSIONS = (".csv", ".xlsx", ".xls")
 TABULAR_FORMATS = ("csv", "xlsx", "xls")
 
 MANIFEST_SCHEMA = "short_id string, pos int, name string, url string, format string"
+REGISTRY_SCHEMA = ("key string, short_id string, resource_name_contains string, prefer_historical boolean, "
+                   "combine_resources boolean, combine_stride int")
 
 
 class UnknownSourceError(KeyError):
@@ -58,7 +60,7 @@ def with_defaults(registry: DataFrame) -> DataFrame:
 
 def match_resources(manifest: DataFrame, registry: DataFrame) -> DataFrame:
     """M1: every (dataset key, resource) pair that passes the rules."""
-    reg = F.broadcast(with_defaults(registry).alias("r"))
+    reg = with_defaults(registry).alias("r")
     m = manifest.alias("m")
     cond = ((F.col("m.short_id") == F.col("r.short_id"))
             & is_tabular(F.col("m.url"), F.col("m.format"))

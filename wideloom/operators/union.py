@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,18 +25,38 @@ def target_schema(frames: Sequence[DataFrame]) -> list[tuple[str, T.DataType]]:
             for name, types in kinds.items()]
 
 
+def plain_text(c: Column, dtype: T.DataType) -> Column:
+    """A value as text. Numbers have no exponent and no empty fraction (``1.2345678E7`` and ``12345678``
+    are both ``12345678``), so one number is one text whatever type a snapshot had given its column."""
+    text = c.cast("string")
+    if not isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return text
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    whole, frac, power = (F.regexp_extract(text, r"^-?([0-9]+)(?:\.([0-9]+))?(?:E(-?[0-9]+))?$", k) for k in (1, 2, 3))
+    frac = F.regexp_replace(frac, "0+$", "")
+    shift = F.when(power == "", F.lit(0)).otherwise(power.try_cast("int"))
+    digits, point = F.concat(whole, frac), F.length(whole) + shift              # the point's place in the digits
+    padded = F.rpad(F.concat(F.repeat(F.lit("0"), F.greatest(1 - point, F.lit(0))), digits),
+                    F.greatest(point, F.length(digits) + F.greatest(1 - point, F.lit(0))), "0")
+    at = F.greatest(point, F.lit(1))
+    whole_number = F.substring(padded, F.lit(1), at)
+    rest = F.regexp_replace(F.substr(padded, at + 1), "0+$", "")
+    plain = F.concat(sign, F.regexp_replace(whole_number, "^0+(?=[0-9])", ""),
+                     F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)))
+    return F.when(whole == "", text).when(plain == "-0", F.lit("0")).otherwise(plain)           # NaN and Infinity as they are
+
+
 def align(df: DataFrame, schema: Sequence[tuple[str, T.DataType]]) -> DataFrame:
-    """Project one frame onto the target schema (N8 cast to text, N9 typed nulls)."""
-    have = {f.name: f.dataType for f in df.schema.fields}
+    """Project one frame onto the target schema (N8 cast to text, N9 typed nulls). Columns are taken by
+    position, so a name may hold any character."""
+    have = {f.name: (i, f.dataType) for i, f in enumerate(df.schema.fields)}
+    rows = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
     cols = []
-    for name, dtype in schema:
-        if name not in have:
-            cols.append(F.lit(None).cast(dtype).alias(name))
-        elif have[name] != dtype:
-            cols.append(F.col(name).cast("string").alias(name))
-        else:
-            cols.append(F.col(name))
-    return df.select(*cols)
+    for k, (name, dtype) in enumerate(schema):
+        i, own = have.get(name, (None, None))
+        c = F.lit(None).cast(dtype) if own is None else F.col(f"_{i}")
+        cols.append((c if own in (None, dtype) else plain_text(c, own)).alias(f"c{k}"))
+    return rows.select(*cols).toDF(*[name for name, _ in schema])
 
 
 def reconcile_union(frames: Sequence[DataFrame]) -> DataFrame:

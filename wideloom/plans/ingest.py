@@ -2,12 +2,13 @@
 
 Per dataset (M5/M6):
 
-1. select resources from the manifest (newest match, or a stride sample of rolling snapshots);
+1. select resources from the manifest (newest match, or a stride sample of rolling snapshots), for all
+   datasets in one job;
 2. parse each: CSV (S1 + S1b) or a workbook cell grid (S2), chosen by extension (S3);
 3. normalise: column names (N1/N2), then the numeric sniff (N5);
 4. combined datasets: reconciling union (N6), exact dedupe (N7); a snapshot that fails to parse
    is skipped and *reported*;
-5. write zstd Parquet (S4).
+5. write zstd Parquet that takes the place of the dataset of before (S4).
 
 The driver only loops over datasets and snapshot files (a bounded list from the manifest); every
 row-level step is a Spark plan. One failing dataset does not stop the others; the report says
@@ -23,13 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import normalise_names
-from ..operators.manifest import match_resources, pick_resources, select_sources, stride_sample
+from ..operators.manifest import REGISTRY_SCHEMA, plan_refresh, select_sources
 from ..operators.sniff import TypeDecision, sniff
 from ..operators.union import dedupe, reconcile_union
 from ..sources.csv import is_excel, literal_path, parse_csv
 from ..sources.sheets import stack_sheets
 from ..sources.sinks import save_parquet
-from ..sources.xlsx import read_xlsx_grid
 from ..session import scratch_dir
 
 GridReader = Callable[[SparkSession, str], DataFrame]
@@ -42,15 +42,21 @@ def normalise(df: DataFrame, *, numeric: bool = True) -> tuple[DataFrame, list[T
     return sniff(df) if numeric else (df, [])
 
 
+class NoGridReaderError(ValueError):
+    """A workbook is to be read and no reader of cell grids was given."""
+
+
 def parse_resource(spark: SparkSession, url: str, *, grid_reader: GridReader | None = None,
                    multiline: bool | None = None) -> DataFrame:
-    """S3 + S1/S2 + normalise for one resource path."""
+    """S3 + S1/S2 + normalise for one resource path. ``grid_reader`` gives a workbook's cells (see
+    :mod:`wideloom.sources.sheets`); decoding workbook files is no work of this library."""
     if is_excel(url):
+        if grid_reader is None:
+            raise NoGridReaderError(f"{url}: a workbook needs a grid_reader")
         # Decode once: the sheet metadata, the rows, the typing pass and the final write all
         # read the checkpointed grid instead of re-running the workbook decoder.
         scratch_dir(spark)
-        grid = (grid_reader or read_xlsx_grid)(spark, url).checkpoint(eager=True)
-        return normalise(stack_sheets(grid))[0]
+        return normalise(stack_sheets(grid_reader(spark, url).checkpoint(eager=True)))[0]
     # S1b has seen every value already, so N5 has nothing to add; a resource's path is no pattern
     return normalise(parse_csv(spark, literal_path(url), multiline=multiline)[0], numeric=False)[0]
 
@@ -70,29 +76,37 @@ REPORT_SCHEMA = ("key string, path string, rows bigint, status string, error str
                  "used array<string>, skipped array<string>")
 
 
-def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_root: str, *,
-                   grid_reader: GridReader | None = None, multiline: bool | None = None,
-                   partition_by: list[str] | None = None,
-                   snapshot_workers: int = 4) -> RefreshReport:
-    """One dataset: pick (or stride-sample) resources, parse, combine, save."""
-    reg = spark.createDataFrame([(source["key"], source["short_id"],
-                                  source.get("resource_name_contains", ""),
-                                  bool(source.get("prefer_historical", False)),
-                                  bool(source.get("combine_resources", False)),
-                                  int(source.get("combine_stride", 1) or 1))],
-                                "key string, short_id string, resource_name_contains string, "
-                                "prefer_historical boolean, combine_resources boolean, "
-                                "combine_stride int")
+def registry_of(spark: SparkSession, sources: list[dict]) -> DataFrame:
+    """The settings of ``sources`` that choose files, as a registry frame."""
+    return spark.createDataFrame([(s["key"], s["short_id"], s.get("resource_name_contains", ""),
+                                   bool(s.get("prefer_historical", False)), bool(s.get("combine_resources", False)),
+                                   int(s.get("combine_stride", 1) or 1)) for s in sources], REGISTRY_SCHEMA)
+
+
+def chosen_files(spark: SparkSession, sources: list[dict], manifest: DataFrame) -> dict[str, list[str]]:
+    """The files of every dataset in reading order, from one job over the manifest; a dataset without a
+    match has none. Only the chosen files' names reach the driver."""
+    rows = plan_refresh(manifest, registry_of(spark, sources)).select("key", "rn", "url").collect()
+    found: dict[str, list[str]] = {s["key"]: [] for s in sources}
+    for r in sorted(rows, key=lambda r: (r.key, r.rn)):
+        found[r.key].append(r.url)
+    return found
+
+
+def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_root: str, **kw) -> RefreshReport:
+    """One dataset: pick (or stride-sample) its files, parse, combine, save."""
+    return refresh_files(spark, source, chosen_files(spark, [source], manifest)[source["key"]], out_root, **kw)
+
+
+def refresh_files(spark: SparkSession, source: dict, urls: list[str], out_root: str, *,
+                  grid_reader: GridReader | None = None, multiline: bool | None = None,
+                  partition_by: list[str] | None = None, snapshot_workers: int = 4) -> RefreshReport:
+    """One dataset from its chosen files: parse, combine, save."""
     report = RefreshReport(source["key"])
-    matches = match_resources(manifest, reg)
-    if source.get("combine_resources"):
-        chosen = stride_sample(matches).orderBy("pos").select("url").collect()
-    else:
-        chosen = pick_resources(matches).select("url").collect()
-    urls = [r.url for r in chosen]   # bounded: a dataset's published files
     if not urls:
         report.status = "no-match"
         return report
+
     def parse(url: str):
         try:
             return url, parse_resource(spark, url, grid_reader=grid_reader, multiline=multiline), None
@@ -130,14 +144,17 @@ def refresh_source(spark: SparkSession, source: dict, manifest: DataFrame, out_r
 
 def refresh(spark: SparkSession, sources: list[dict], manifest: DataFrame, out_root: str, *,
             parallel: int = 1, **kw) -> DataFrame:
-    """M5: refresh every source independently; the report is a DataFrame.
+    """M5: refresh every source independently; the report is a DataFrame, one row per source.
 
-    Datasets share nothing, so with ``parallel > 1`` their Spark jobs are submitted from a small
-    driver thread pool and run concurrently on the cluster; one failure never stops the others.
+    The files of all sources are chosen by one job over the manifest. Datasets share nothing after that,
+    so with ``parallel > 1`` their Spark jobs are submitted from a small driver thread pool and run
+    concurrently on the cluster; one failure never stops the others and leaves its own dataset as it was.
     """
+    files = chosen_files(spark, sources, manifest)
+
     def one(s: dict) -> RefreshReport:
         try:
-            return refresh_source(spark, s, manifest, out_root, **kw)
+            return refresh_files(spark, s, files[s["key"]], out_root, **kw)
         except Exception as e:  # noqa: BLE001 - isolation: record and continue
             return RefreshReport(s["key"], status="failed",
                                  error=f"{type(e).__name__}: {str(e)[:300]}")

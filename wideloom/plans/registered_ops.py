@@ -70,11 +70,11 @@ def _in(i: int) -> str:
 
 
 _SNAP_SQL = f"""
-SELECT event_id, ts, user_id, event_type, CAST(value AS VARCHAR) AS value, props,
+SELECT event_id, ts, user_id, event_type, regexp_replace(CAST(value AS VARCHAR), '\\.0$', '') AS value, props,
        NULL::VARCHAR AS eventtype, NULL::VARCHAR AS channel
 FROM events WHERE {_in(0)}
 UNION ALL
-SELECT event_id, ts, user_id, event_type, CAST(value AS VARCHAR), props, NULL, NULL
+SELECT event_id, ts, user_id, event_type, regexp_replace(CAST(value AS VARCHAR), '\\.0$', ''), props, NULL, NULL
 FROM events WHERE {_in(1)}
 UNION ALL
 SELECT event_id, ts, user_id, NULL, CAST(value AS VARCHAR), props, event_type, upper(event_type)
@@ -394,29 +394,66 @@ SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S'), user_id, NULL, value, props,
 FROM events WHERE {_in(2)})"""
 
 
-@register("m06_combined_refresh", _SNAP_CSV_SQL)
-def m06(spark, sf_dir):
-    """Stage the three event snapshots as CSV resources, list them in a manifest (newest
-    first), and run the combined refresh (stride 1) end to end; returns the written dataset."""
-    root = f"{scratch_dir(spark)}/refresh-{uuid.uuid4().hex}"
-    snaps = S.event_snapshots(spark, sf_dir)
+def staged_snapshots(spark: SparkSession, sf_dir: str, root: str) -> list[tuple]:
+    """The three event snapshots staged as CSV resources: manifest rows, newest first."""
     rows = []
-    for i, snap in enumerate(reversed(snaps)):
+    for i, snap in enumerate(reversed(S.event_snapshots(spark, sf_dir))):
         text = snap.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c == "ts"
                              else F.col(c).cast("string").alias(c) for c in snap.columns])
         url = _stage_csv(text, f"{root}/in/LDS_Extract_{i}.csv")
         rows.append(("events", i, f"LDS_Extract snapshot {i}", url, "csv"))
-    manifest = spark.createDataFrame(rows, M.MANIFEST_SCHEMA)
-    source = {"key": "events-combined", "short_id": "events", "resource_name_contains": "LDS_Extract",
-              "prefer_historical": False, "combine_resources": True, "combine_stride": 1,
-              "output": "events-combined.parquet"}
-    report = I.refresh_source(spark, source, manifest, f"{root}/out")
+    return rows
+
+
+# Settings of the staged datasets (key, short id, name hint, all snapshots).
+_EVENT_SOURCES = (("events-combined", "events", "LDS_Extract", True), ("events-newest", "events", "lds_extract", False),
+                  ("broken", "broken", "", False), ("unmatched", "events", "no such name", True))
+
+
+def event_sources(keys: tuple[str, ...]) -> list[dict]:
+    return [{"key": k, "short_id": s, "resource_name_contains": h, "prefer_historical": False, "combine_resources": c,
+             "combine_stride": 1, "output": f"{k}.parquet"} for k, s, h, c in _EVENT_SOURCES if k in keys]
+
+
+@register("m06_combined_refresh", _SNAP_CSV_SQL)
+def m06(spark, sf_dir):
+    """Stage the three event snapshots as CSV resources, list them in a manifest (newest
+    first), and run the combined refresh (stride 1) end to end; returns the written dataset."""
+    root = f"{scratch_dir(spark)}/refresh-{uuid.uuid4().hex}"
+    manifest = spark.createDataFrame(staged_snapshots(spark, sf_dir, root), M.MANIFEST_SCHEMA)
+    report = I.refresh_source(spark, event_sources(("events-combined",))[0], manifest, f"{root}/out")
     out = spark.read.parquet(report.path)
     # newest snapshot is read first, so restore the documented column order
     cols = ["event_id", "ts", "user_id", "event_type", "value", "props", "eventtype", "channel"]
     return out.select(*[c for c in cols if c in out.columns])
 
 
+@register("m05_batch_refresh", f"""
+WITH r AS (
+  SELECT 'events-combined' AS key, 'ok' AS status, (SELECT count(*) FROM ({_SNAP_CSV_SQL})) AS n_rows, 3 AS used, 0 AS skipped
+  UNION ALL SELECT 'events-newest', 'ok', (SELECT count(*) FROM events WHERE {_in(2)}), 1, 0
+  UNION ALL SELECT 'broken', 'failed', 0, 0, 0
+  UNION ALL SELECT 'unmatched', 'no-match', 0, 0, 0)
+SELECT key, status, n_rows, used, skipped, CAST(NULL AS BIGINT) AS files, CAST(NULL AS VARCHAR) AS failed FROM r
+UNION ALL
+SELECT '(all)', NULL, sum(n_rows)::BIGINT, sum(used)::INTEGER, sum(skipped)::INTEGER, count(*) FILTER (status = 'ok'),
+       string_agg(key, ',') FILTER (status = 'failed') FROM r""")
+def m05(spark, sf_dir):
+    """Four datasets refreshed from one manifest: two good ones, one whose file is missing, one without a
+    match; the report and its totals (A10)."""
+    root = f"{scratch_dir(spark)}/batch-{uuid.uuid4().hex}"
+    rows = staged_snapshots(spark, sf_dir, root) + [("broken", 0, "missing file", f"{root}/in/missing.csv", "csv")]
+    report = I.refresh(spark, event_sources(tuple(k for k, *_ in _EVENT_SOURCES)),
+                       spark.createDataFrame(rows, M.MANIFEST_SCHEMA), f"{root}/out", parallel=4)
+    lines = report.select("key", "status", F.col("rows").alias("n_rows"), F.size("used").alias("used"),
+                          F.size("skipped").alias("skipped"))
+    total = I.summarise(report).select("files", F.array_join("failed", ",").alias("failed"))
+    whole = lines.agg(F.lit("(all)").alias("key"), F.lit(None).cast("string").alias("status"), F.sum("n_rows").alias("n_rows"),
+                      F.sum("used").cast("int").alias("used"), F.sum("skipped").cast("int").alias("skipped"))
+    return lines.withColumns({"files": F.lit(None).cast("bigint"), "failed": F.lit(None).cast("string")}) \
+        .unionByName(whole.withColumns({"files": F.lit(total.first().files), "failed": F.lit(total.first().failed)}))
+
+
 # ── column labels (F7) and chart payloads (S8) ────────────────────────────────────────────────
 
 @register("f07_month_labels", """
@@ -442,7 +479,7 @@ def s08(spark, sf_dir):
     from ..sources.sinks import chart_payload
     from . import analyses as A
     by = A.by_borough(S.crime_wide(spark, sf_dir))
-    return chart_payload(by, "boroughname", "total", order=[F.desc("total"), F.col("boroughname")])
+    return chart_payload(by, "boroughname", "total", order=["-total", "boroughname"])
 
 
 # ── text and number defaults (F19, F20) and notebook tick labels (F14) ────────────────────────

@@ -28,23 +28,23 @@ def build_documents(spark: SparkSession, catalog: Catalog) -> dict[str, DataFram
     borough = catalog.recorded_crime_borough().persist(StorageLevel.MEMORY_AND_DISK)
     docs = {
         "monthly_totals.json": chart_payload(A.monthly_totals(borough), "month", "total",
-                                             order=[F.col("month")]),
+                                             order=["month"]),
         "by_category.json": chart_payload(A.top_categories(borough), "category", "total",
-                                          order=[F.desc("total"), F.col("category")]),
+                                          order=["-total", "category"]),
         "by_borough.json": chart_payload(A.by_borough(borough), "boroughname", "total",
-                                         order=[F.desc("total"), F.col("boroughname")]),
+                                         order=["-total", "boroughname"]),
     }
     if catalog.exists("monthly-crime-dashboard"):
         trend = A.knife_trend(catalog.monthly_crime_dashboard(), equals=KNIFE_FILTER)
-        docs["knife_crime.json"] = chart_payload(trend, "month", "total", order=[F.col("month")])
+        docs["knife_crime.json"] = chart_payload(trend, "month", "total", order=["month"])
     if catalog.exists("stop-search"):
         eth = A.stops_by_ethnicity(catalog.stop_search())
         docs["stop_search_ethnicity.json"] = chart_payload(
             eth, "ethnicappearance", "stops",
-            order=[F.desc("stops"), F.col("ethnicappearance")], note=ETHNICITY_NOTE)
+            order=["-stops", "ethnicappearance"], note=ETHNICITY_NOTE)
     sample = A.sample_rows(borough, major_pattern=SAMPLE_MAJOR, place_pattern=SAMPLE_PLACES)
     docs["sample_rows.json"] = table_payload(
-        sample, order=[F.col(c) for c in ("boroughname", "majortext", "minortext")])
+        sample, order=["boroughname", "majortext", "minortext"])
     present = {name: catalog.load(key) for name, key in META_DATASETS if catalog.exists(key)}
     docs["meta.json"] = meta_document(A.meta(present, borough) if present else
                                       A.meta({}, borough))

@@ -1,7 +1,7 @@
 """Workbook sheets as a cell grid.
 
 A workbook arrives as a *cell grid* (XLSX bytes are decoded into one by
-:mod:`wideloom.sources.xlsx`; any other reader may produce it): one row per sheet row with ``file``, ``sheet_pos``, ``sheet``,
+the caller's reader): one row per sheet row with ``file``, ``sheet_pos``, ``sheet``,
 ``row_idx`` (0 = header) and ``cells ARRAY<STRING>``. :func:`stack_sheets` applies the table
 rules to it with DataFrame operations:
 
