@@ -82,3 +82,31 @@ def test_session_defaults_adaptive(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_counts_come_from_footers(spark):
+    from wideloom.sources.catalog import footer_count
+    df = footer_count(spark, SF["0.001"] + "/events.parquet")
+    assert "PushedAggregation: [COUNT(*)]" in plan(df) and "ReadSchema: struct<>" not in plan(df)
+    assert df.first().rows == spark.read.parquet(SF["0.001"] + "/events.parquet").count()
+
+
+def test_wide_table_needs_one_exchange(spark):
+    from wideloom.plans import shapes as S
+    wide = S.crime_wide(spark, SF["0.001"])
+    assert plan(wide).count("Exchange") == 1
+    assert "Pivot" not in plan(wide)
+
+
+def test_meta_groups_no_key_for_the_month(spark):
+    from wideloom.plans import shapes as S
+    p = plan(S.latest_crime_month(spark, SF["0.001"]))
+    assert "p_name" not in p and "keys=[]" in p
+
+
+def test_full_series_is_in_a_total_order(spark):
+    from wideloom.plans import analyses as A, shapes as S
+    c = S.CrimeCounts(spark, SF["0.001"])
+    df = A.full_series(c.historical(), c.current())
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [month" in p and all(f"{i}#" in p.split("Sort [")[1].split("]")[0] for i in A.WIDE_IDS)

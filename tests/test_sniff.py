@@ -32,7 +32,7 @@ def test_spark_lenient_number_forms_rejected(spark):
 
 
 def test_overflow_not_bigint(spark):
-    assert typed(spark, ["99999999999999999999"])[0] == "double"
+    assert typed(spark, ["99999999999999999999"])[0] == "string"       # a double would lose digits
 
 
 def test_csv_rules(spark):
@@ -54,3 +54,10 @@ def test_any_column_name(spark):
     out, dec = sniff(df)
     assert out.dtypes == [("No. of `x`", "bigint"), ("a", "string"), ("A", "double")]
     assert [d.rule for d in dec] == ["N5", "none", "N5"]
+
+
+def test_text_stays_where_a_value_would_not_survive(spark):
+    rows = [("1e400", "12345678901234567890", "9007199254740993", "1", "0.1"), ("2.5", "3", "1.5", "2.5", "1e-400"), ("", None, "2", "7", "3")]
+    df, dec = sniff(spark.createDataFrame(rows, "a string, b string, c string, d string, e string"))
+    assert [d.kind for d in dec] == ["string", "string", "string", "double", "double"]
+    assert df.collect()[0].b == "12345678901234567890" and df.collect()[0].a == "1e400"

@@ -75,3 +75,27 @@ def test_names_with_backticks_and_dots(spark):
     b = spark.createDataFrame([("q", 2.5)], "`c``d` string, `a.b` double")
     got = reconcile_union([a, b])
     assert got.columns == ["a.b", "c`d"] and sorted(map(tuple, got.collect())) == [("1", "p"), ("2.5", "q")]
+
+
+def test_digest_dedupe_equals_distinct(spark):
+    from wideloom.operators.union import dedupe_by_digest, row_digest
+    nan = float("nan")
+    rows = [("a", 1.0, None), ("a", 1.0, None), ("a", None, 1), ("b", nan, 2), ("b", nan, 2), ("c", -0.0, 3), ("c", 0.0, 3),
+            (None, None, None), (None, None, None), ("d", 2.0, 4)] + [(f"k{i % 50}", float(i % 5), i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "`a.b` string, `x``y` double, z int").repartition(4)
+
+    def have(d):
+        return sorted(str(tuple(0.0 if v == 0 else v for v in r)) for r in d.collect())
+    want = have(df.distinct())
+    assert have(dedupe_by_digest(df)) == want and dedupe_by_digest(df).columns == df.columns
+    for weak in (lambda d: [F.lit(1).cast("bigint")] * 2, lambda d: [row_digest(d)[0] % 3, F.lit(0).cast("bigint")]):
+        assert have(dedupe_by_digest(df, digest=weak)) == want               # digests of different rows are equal
+    assert have(dedupe_by_digest(df, max_repeated=2)) == want                # too many: whole rows
+    assert dedupe_by_digest(df.limit(0)).count() == 0
+
+
+def test_digest_dedupe_shuffles_no_row_that_occurs_once(spark):
+    from wideloom.operators.union import dedupe_by_digest
+    df = spark.range(1000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("wide"))
+    p = dedupe_by_digest(df.union(df.limit(3)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in p and "LeftSemi" in p and "rightHint=(strategy=broadcast)" in p

@@ -8,7 +8,8 @@ the rows (one row of flags reaches the driver), and cast the column in one proje
 * N5 (every column still text): all integers -> bigint; all numbers -> double; else unchanged.
 
 Nulls and ``""`` say nothing about the type; a column without any other value stays text. Since all
-values are seen, a cast turns no value into null but ``""``.
+values are seen, a cast turns no value into null but ``""``. A column stays text if a value would not
+survive: ``1e400`` is no double, a whole number beyond 64 bits (beyond 2^53 beside decimals) would lose digits.
 
 Spark's own casts accept more than a strict number grammar (``' 12 '``, ``'1d'``, ``'inf'``), so
 every decision and cast goes through the guards below. Columns are addressed by position, so names
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 INT_RX = r"^[+-]?[0-9]+$"
 FLOAT_RX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 BOOL_RX = r"^(?i)(true|false)$"
+EXACT_WHOLE = 1 << 53                      # whole numbers up to here are exact as doubles
 
 
 def is_int(v: Column) -> Column:
@@ -35,7 +37,10 @@ def is_int(v: Column) -> Column:
 
 
 def is_float(v: Column) -> Column:
-    return v.rlike(FLOAT_RX) & v.try_cast("double").isNotNull()
+    """A finite number; a whole number only if a double holds all of its digits."""
+    number = v.try_cast("double")
+    exact = F.when(v.rlike(INT_RX), F.coalesce(F.abs(v.try_cast("bigint")) <= EXACT_WHOLE, F.lit(False))).otherwise(F.lit(True))
+    return v.rlike(FLOAT_RX) & F.coalesce(F.abs(number) < float("inf"), F.lit(False)) & exact
 
 
 def is_bool(v: Column) -> Column:
@@ -67,7 +72,7 @@ def decide_types(df: DataFrame, cols: Sequence[str], *, booleans: bool) -> dict[
     aggs = []
     for c in cols:
         v = F.col(c)
-        for name, fits in (("int", is_int(v)), ("num", is_int(v) | is_float(v)), ("bool", is_bool(v))):
+        for name, fits in (("int", is_int(v)), ("num", is_float(v)), ("bool", is_bool(v))):
             aggs.append(F.bool_and(F.when(v != "", fits)).alias(f"{c}_{name}"))
     flags = df.agg(*aggs).first()          # a flag is null when the column has no value
     return {c: "bigint" if flags[f"{c}_int"] else "double" if flags[f"{c}_num"]

@@ -8,13 +8,15 @@ union would widen long + double to double, and under ANSI would parse text into
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_dir
+
 
 def target_schema(frames: Sequence[DataFrame]) -> list[tuple[str, T.DataType]]:
     """N6 rule: columns in order of first occurrence; a name with more than one type is text."""
@@ -70,6 +72,15 @@ def reconcile_union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, [align(f, schema) for f in frames])
 
 
+def row_digest(df: DataFrame) -> list[Column]:
+    """128 bits of a row as two longs; equal rows (null = null, NaN = NaN, -0.0 = 0.0) have equal digests."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        cols += [c + F.lit(0.0).cast(f.dataType) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else c, c.isNull()]
+    return [F.xxhash64(*cols), F.xxhash64(F.lit(1), *reversed(cols))]
+
+
 def dedupe(df: DataFrame) -> DataFrame:
     """Drop exact duplicate rows (null equals null; no key exists, the row is the identity).
 
@@ -77,3 +88,26 @@ def dedupe(df: DataFrame) -> DataFrame:
     so even one row repeated across a third of the input ships once per task.
     """
     return df.distinct()
+
+
+# Digests that more than one row has, at most so many are broadcast (about 32 MB).
+REPEATED_DIGESTS = 1_000_000
+
+
+def dedupe_by_digest(df: DataFrame, digest: Callable[[DataFrame], list[Column]] = row_digest,
+                     max_repeated: int = REPEATED_DIGESTS) -> DataFrame:
+    """N7 with the rows of :func:`dedupe`, for wide rows few of which repeat: only digests are shuffled to
+    find out which occur twice (their number is checked before they are broadcast). A row whose digest
+    occurs once is kept where it is; the others are compared in whole, so equal digests of different rows
+    lose nothing. With more repeated digests than ``max_repeated`` it is :func:`dedupe`.
+
+    ``df`` is read twice and must give the same rows each time."""
+    names, two = df.columns, ["_d0", "_d1"]
+    rows = df.select("*", *[d.alias(n) for d, n in zip(digest(df), two)])
+    scratch_dir(df.sparkSession)
+    repeated = rows.groupBy(*two).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*two).checkpoint(eager=True)
+    if repeated.limit(max_repeated + 1).count() > max_repeated:
+        return dedupe(df)
+    known = F.broadcast(repeated)
+    once = rows.join(known, two, "left_anti").drop(*two)
+    return once.unionAll(rows.join(known, two, "left_semi").drop(*two).distinct()).toDF(*names)

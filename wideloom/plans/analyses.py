@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, days_in_month, iso_month_label, month_abbr_of_number, \
@@ -86,21 +86,23 @@ def sample_rows(wide: DataFrame, *, major_pattern: str, place_pattern: str,
                 .limit(n))
 
 
-def meta(counted: Mapping[str, DataFrame], wide: DataFrame | None) -> DataFrame:
-    """Q7: ``(item, value)`` rows: the latest month label (``""`` without month columns) and the
-    row count of every dataset given. Absent datasets are simply not passed (skipped, not 0)."""
-    months = month_columns(wide) if wide is not None else []
-    updated = yyyymm_to_label(F.lit(months[-1])) if months else F.lit("")
-    parts = []
-    spark = None
-    for name, df in counted.items():
-        spark = df.sparkSession
-        parts.append(df.agg(F.count(F.lit(1)).cast("string").alias("value"))
-                       .select(F.lit(name).alias("item"), "value"))
-    if spark is None:
-        spark = wide.sparkSession
-    head = spark.range(1).select(F.lit("updated").alias("item"), updated.alias("value"))
-    return reduce(DataFrame.unionByName, parts, head)
+def meta(spark: SparkSession, counted: Mapping[str, DataFrame | int], updated: str | DataFrame) -> DataFrame:
+    """Q7: ``(item, value)`` rows: the latest month label and the row count of every dataset given, as a
+    number (see :func:`wideloom.sources.catalog.footer_count`) or a frame to count. ``updated`` is a month
+    ``YYYYMM`` (``""`` without month columns) or a one-row frame of it. Absent datasets are simply not
+    passed (skipped, not 0)."""
+    latest = updated if isinstance(updated, DataFrame) else spark.range(1).select(F.lit(updated).alias("month"))
+    month = F.col(latest.columns[0])
+    head = latest.select(F.lit("updated").alias("item"),
+                         F.when(F.coalesce(month, F.lit("")) == "", F.lit("")).otherwise(yyyymm_to_label(month)).alias("value"))
+    rows = [df.agg(F.count(F.lit(1)).cast("string").alias("value")) if isinstance(df, DataFrame)
+            else spark.range(1).select(F.lit(str(df)).alias("value")) for df in counted.values()]
+    return reduce(DataFrame.unionByName, [r.select(F.lit(n).alias("item"), "value") for n, r in zip(counted, rows)], head)
+
+
+def latest_month(wide: DataFrame) -> str:
+    """The last month column of a wide table, ``""`` without one (metadata only)."""
+    return (last_months(wide, 1) or [""])[0]
 
 
 # ── Long-table analyses (Q8-Q11, Q19-Q21) ─────────────────────────────────────────────────────
@@ -126,9 +128,10 @@ def pattern_by(long: DataFrame, *, text: str, pattern: str, key: str, value: str
 
 def full_series(historical: DataFrame, current: DataFrame,
                 ids: Sequence[str] = WIDE_IDS) -> DataFrame:
-    """Q19 (frame): historical and current wide files, each made long, stacked, by month."""
+    """Q19 (frame): historical and current wide files, each made long, stacked, by month and ids (the
+    place is not enough: a month has thousands of rows, and ties would come in any order)."""
     return concat_same_schema(wide_to_long(historical, ids), wide_to_long(current, ids)) \
-        .orderBy("month")
+        .orderBy("month", *ids)
 
 
 def series_summary(full: DataFrame, month: str = "month") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.columns import normalise_names
 from ..operators.manifest import REGISTRY_SCHEMA, plan_refresh, select_sources
 from ..operators.sniff import TypeDecision, sniff
-from ..operators.union import dedupe, reconcile_union
+from ..operators.union import dedupe_by_digest, reconcile_union
 from ..sources.csv import is_excel, literal_path, parse_csv
 from ..sources.sheets import stack_sheets
 from ..sources.sinks import save_parquet
@@ -135,7 +135,7 @@ def refresh_files(spark: SparkSession, source: dict, urls: list[str], out_root:
         report.status = "no-data"
         report.error = "all resources failed"
         return report
-    data = dedupe(reconcile_union(frames)) if source.get("combine_resources") else frames[0]
+    data = dedupe_by_digest(reconcile_union(frames)) if source.get("combine_resources") else frames[0]
     res = save_parquet(data, f"{out_root.rstrip('/')}/{source['output']}",
                        partition_by=[c for c in (partition_by or []) if c in data.columns])
     report.path, report.rows = res.path, res.rows

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.catalog import footer_count
 from . import analyses as A
 from . import shapes as S
 
@@ -102,6 +103,15 @@ def q03(spark, sf_dir):
     return A.top_categories(S.crime_wide(spark, sf_dir))
 
 
+@register("q03b_top3_categories", "WITH" + _BASE + """
+SELECT upper(substr(majortext, 1, 1)) || lower(substr(majortext, 2)) AS category, total FROM (
+  SELECT majortext, CAST(SUM(qty) AS BIGINT) AS total FROM base GROUP BY majortext
+  ORDER BY total DESC, majortext LIMIT 3)""")
+def q03b(spark, sf_dir):
+    """Q3 with a cut that leaves categories out."""
+    return A.top_categories(S.crime_wide(spark, sf_dir), k=3)
+
+
 @register("q04_by_borough", "WITH" + _BASE + """
 SELECT boroughname, CAST(SUM(qty) AS BIGINT) AS total FROM base GROUP BY boroughname""")
 def q04(spark, sf_dir):
@@ -135,10 +145,10 @@ UNION ALL SELECT 'stop_search', CAST(COUNT(*) AS VARCHAR) FROM events
 UNION ALL SELECT 'vawg_offences', CAST(COUNT(*) AS VARCHAR) FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 UNION ALL SELECT 'dashboard', CAST(COUNT(*) AS VARCHAR) FROM dash""")
 def q07(spark, sf_dir):
-    counted = {"stop_search": S.stop_records(spark, sf_dir),
+    counted = {"stop_search": footer_count(spark, f"{sf_dir.rstrip('/')}/events.parquet").first().rows,
                "vawg_offences": S.offence_records(spark, sf_dir),
                "dashboard": S.dashboard(spark, sf_dir)}
-    return A.meta(counted, S.crime_wide(spark, sf_dir))
+    return A.meta(spark, counted, S.latest_crime_month(spark, sf_dir))
 
 
 # ── long table (Q8-Q11, Q19-Q21) ──────────────────────────────────────────────────────────────
@@ -285,6 +295,14 @@ def q17(spark, sf_dir):
     return A.top_by_fuzzy_column(S.stop_records(spark, sf_dir), "outcome")
 
 
+@register("q17b_top3_outcomes", "WITH" + _RECORDS + """
+SELECT outcome, COUNT(*) AS stops FROM rec WHERE outcome IS NOT NULL
+GROUP BY outcome ORDER BY stops DESC, outcome LIMIT 3""")
+def q17b(spark, sf_dir):
+    """Q17 with a cut that leaves outcomes out."""
+    return A.top_by_fuzzy_column(S.stop_records(spark, sf_dir), "outcome", k=3)
+
+
 @register("q18_offences_by_type", """
 SELECT p.p_type, CAST(SUM(CAST(l.l_quantity AS BIGINT)) AS BIGINT) AS total
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY p.p_type""")

@@ -12,16 +12,16 @@ from ..functions.numbers import axis_label, humanise
 from ..functions.text import title_case
 from ..operators import links as L
 from ..operators import manifest as M
-from ..operators.columns import coalesce_drifted, normalise_names
+from ..operators.columns import coalesce_dates, coalesce_drifted, normalise_names
 from ..operators.reshape import horizontal_sum, month_columns
 from ..operators.sniff import sniff
-from ..operators.union import dedupe, reconcile_union
+from ..operators.union import dedupe, dedupe_by_digest, reconcile_union
 from ..session import scratch_dir
 from ..sources.csv import parse_csv
 from ..sources.sheets import CELL_GRID_SCHEMA, stack_sheets
 from . import ingest as I
 from . import shapes as S
-from .registered import register
+from .registered import _BASE, _CURRENT_CUT, _DASH, register
 
 # ── names (N1) ────────────────────────────────────────────────────────────────────────────────
 
@@ -91,6 +91,42 @@ def n07(spark, sf_dir):
     return dedupe(reconcile_union(S.event_snapshots(spark, sf_dir)))
 
 
+@register("n07b_digest_dedupe", f"SELECT DISTINCT * FROM ({_SNAP_SQL})")
+def n07b(spark, sf_dir):
+    """The rows of ``n07``, found by shuffling digests."""
+    return dedupe_by_digest(reconcile_union(S.event_snapshots(spark, sf_dir)))
+
+
+@register("n08_numbers_as_text", """
+WITH w AS (SELECT o_orderkey AS k, CAST(round(o_totalprice) AS BIGINT) * 1000 AS n, round(o_totalprice, 2) * 1000 AS x FROM orders)
+SELECT DISTINCT * FROM (
+  SELECT k, CAST(n AS VARCHAR) AS n FROM w UNION ALL SELECT k, CAST(n AS VARCHAR) FROM w)
+UNION ALL
+SELECT -1 - k, CAST(CAST(round(x * 100) AS BIGINT) // 100 AS VARCHAR)
+       || CASE WHEN CAST(round(x * 100) AS BIGINT) % 100 = 0 THEN ''
+               ELSE rtrim('.' || lpad(CAST(CAST(round(x * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0'), '0') END FROM w""")
+def n08(spark, sf_dir):
+    """One count as a whole number in one snapshot and as a double in the other, above 1e7 too: the text of
+    both is the same, so each order is one row."""
+    w = S.table(spark, sf_dir, "orders")
+    n = F.round("o_totalprice").cast("bigint") * 1000
+    key = F.col("o_orderkey").alias("k")
+    x = F.round(F.round("o_totalprice", 2) * 1000, 2)
+    return dedupe(reconcile_union([w.select(key, n.alias("n")), w.select(key, n.cast("double").alias("n")),
+                                   w.select((-1 - F.col("o_orderkey")).alias("k"), x.alias("n"))]))
+
+
+@register("n11b_coalesced_dates", """
+SELECT event_id, CAST(ts AS DATE) AS day FROM events""")
+def n11b(spark, sf_dir):
+    """A date spelled ``dd/MM/yyyy`` in newer rows and ``yyyy-MM-dd`` in older ones, in columns of two names."""
+    ev = S.table(spark, sf_dir, "events")
+    newer = F.col("event_id") % 2 == 0
+    drifted = ev.select("event_id", F.when(newer, F.date_format("ts", "dd/MM/yyyy")).alias("stopdate"),
+                        F.when(~newer, F.date_format("ts", "yyyy-MM-dd")).alias("date"))
+    return coalesce_dates(drifted, "day", {"stopdate": "dd/MM/yyyy", "date": "yyyy-MM-dd"}).select("event_id", "day")
+
+
 @register("n11_coalesced_event_kinds", f"""
 SELECT coalesce(event_type, eventtype) AS event_kind, COUNT(*) AS n_rows
 FROM (SELECT DISTINCT * FROM ({_SNAP_SQL})) GROUP BY 1""")
@@ -335,6 +371,38 @@ def f08(spark, sf_dir):
     return S.table(spark, sf_dir, "part").select("p_partkey", title_case("p_name").alias("label"))
 
 
+@register("f08b_title_case_runs", """
+SELECT page_id, array_to_string(list_transform(regexp_extract_all(lower(regexp_replace(url, '[^ -~]', '', 'g')), '[a-z]+|[^a-z]+'),
+                                               lambda x: upper(x[1]) || x[2:]), '') AS label
+FROM pages""")
+def f08b(spark, sf_dir):
+    """Words that begin after digits, dots, hyphens and slashes."""
+    return S.table(spark, sf_dir, "pages").select("page_id", title_case(F.regexp_replace("url", "[^ -~]", "")).alias("label"))
+
+
+@register("f12b_humanise_large_totals", """
+WITH g AS (SELECT 'supplier ' || l_suppkey AS k, l_quantity AS q FROM lineitem UNION ALL SELECT 'flag ' || l_returnflag, l_quantity FROM lineitem
+           UNION ALL SELECT 'all', l_quantity FROM lineitem UNION ALL SELECT 'tenfold', l_quantity * 10 FROM lineitem),
+t AS (SELECT k, CAST(SUM(CAST(q AS BIGINT)) AS BIGINT) AS total FROM g GROUP BY k)
+SELECT k, total,
+  CASE WHEN total >= 1000000 THEN printf('%.1f', round(total / 1e6, 1)) || 'M'
+       WHEN total >= 1000 THEN CAST(CAST(round(total / 1e3) AS BIGINT) AS VARCHAR) || 'K'
+       ELSE CAST(total AS VARCHAR) END AS label,
+  CASE WHEN total >= 1000000 THEN printf('%.1f', round(total / 1e6, 1)) || 'M'
+       WHEN total >= 10000 THEN CAST(CAST(round(total / 1e3) AS BIGINT) AS VARCHAR) || 'K'
+       WHEN total >= 1000 THEN printf('%.1f', round(total / 1e3, 1)) || 'K'
+       ELSE CAST(total AS VARCHAR) END AS axis
+FROM t""")
+def f12b(spark, sf_dir):
+    """Labels past 1e4 and 1e6: totals of suppliers, of return flags and of everything."""
+    li = S.table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
+    keys = F.array(F.struct(F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("k"), F.col("q").alias("q")),
+                   F.struct(F.concat(F.lit("flag "), "l_returnflag").alias("k"), F.col("q").alias("q")),
+                   F.struct(F.lit("all").alias("k"), F.col("q").alias("q")), F.struct(F.lit("tenfold").alias("k"), (F.col("q") * 10).alias("q")))
+    t = li.select(F.inline(keys)).groupBy("k").agg(F.sum("q").alias("total"))
+    return t.select("k", "total", humanise("total").alias("label"), axis_label("total").alias("axis"))
+
+
 @register("f12_humanise_totals", """
 WITH t AS (SELECT l_partkey, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total
            FROM lineitem GROUP BY l_partkey)
@@ -380,6 +448,36 @@ def s01b(spark, sf_dir):
     return I.normalise(parse_csv(spark, path)[0], numeric=False)[0]
 
 
+@register("s01c_latin1_and_utf8_files", """
+SELECT c_custkey, c_name || ' äöü é' AS c_name, c_mktsegment FROM customer""")
+def s01c(spark, sf_dir):
+    """Files of two encodings under one path, told apart file by file."""
+    path = f"{scratch_dir(spark)}/csv-encodings-{uuid.uuid4().hex}"
+    c = S.table(spark, sf_dir, "customer").select("c_custkey", F.concat("c_name", F.lit(" äöü é")).alias("c_name"), "c_mktsegment")
+    for encoding, part in (("ISO-8859-1", c.filter("c_custkey % 2 = 0")), ("UTF-8", c.filter("c_custkey % 2 = 1"))):
+        part.write.mode("append").option("header", True).option("encoding", encoding).csv(path)
+    return I.normalise(parse_csv(spark, path)[0], numeric=False)[0]
+
+
+@register("s06_catalog", "WITH" + _BASE + "," + _DASH + f",\nsnap AS (SELECT DISTINCT * FROM ({_SNAP_SQL}))" + """
+SELECT 'recorded-crime-borough' AS key, (SELECT COUNT(*) FROM (SELECT DISTINCT majortext, minortext, boroughname FROM base
+  WHERE ym >= """ + _CURRENT_CUT + """)) AS n_rows, 27 AS n_columns
+UNION ALL SELECT 'recorded-crime-borough-historical', (SELECT COUNT(*) FROM (SELECT DISTINCT majortext, minortext, boroughname FROM base
+  WHERE ym < """ + _CURRENT_CUT + """)), 3 + (SELECT CAST(COUNT(DISTINCT ym) AS INTEGER) FROM base WHERE ym < """ + _CURRENT_CUT + """)
+UNION ALL SELECT 'monthly-crime-dashboard', (SELECT COUNT(*) FROM dash), 7
+UNION ALL SELECT 'stop-search', (SELECT COUNT(*) FROM events), 6
+UNION ALL SELECT 'vawg-offences', (SELECT COUNT(*) FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey), 3
+UNION ALL SELECT 'thorough-searches', (SELECT COUNT(*) FROM snap), 8""")
+def s06(spark, sf_dir):
+    """Datasets saved, then opened by their loaders: rows from the files' footers, columns from the schema."""
+    from ..sources.catalog import Catalog
+    root = f"{scratch_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    keys = S.stage_catalog(spark, sf_dir, root)
+    cat = Catalog(spark, root)
+    rows = [(k, cat.row_count(k), len(cat.load(k).columns)) for k in keys]
+    return spark.createDataFrame(rows, "key string, n_rows bigint, n_columns int")
+
+
 _SNAP_CSV_SQL = f"""
 SELECT DISTINCT * FROM (
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props,

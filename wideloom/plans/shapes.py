@@ -67,12 +67,22 @@ def crime_long_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lpad(F.col("ym").cast("string"), 6, "0").alias("month"), "qty")
 
 
+def latest_crime_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row ``month``: the last ``YYYYMM`` that a wide table over all months would have, from one
+    aggregate; the dimensions are only looked up, and no key is grouped."""
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate")
+    supp = table(spark, sf_dir, "supplier").join(_nation(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+    rows = li.join(supp, li.l_suppkey == supp.s_suppkey, "left_semi") \
+        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left_semi")
+    return rows.agg(F.date_format(F.max("l_shipdate"), "yyyyMM").alias("month"))
+
+
 class CrimeCounts:
     """The aggregated long counts, computed once and checkpointed to the shared scratch folder.
 
-    Its size is bounded by keys x months (at most 25 x 6 x 64 keys here), whatever the size of
-    ``lineitem``, so every wide table (current, historical, all months) and the month list come
-    from this one small table: one pass over the fact table instead of one per use.
+    It has a row per key and month that occur, not per row of ``lineitem`` (how many keys there are is up
+    to the part names), and it stays distributed; every wide table (current, historical, all months) and
+    the month list come from it: one pass over the fact table instead of one per use.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -86,12 +96,12 @@ class CrimeCounts:
         self.months = [m for m in obs.get["months"] if m is not None]
 
     def wide(self, months: list[str] | None = None) -> DataFrame:
-        """Wide table over ``months`` (default all): ``pivot`` with an explicit value list, so
-        Spark runs no extra distinct job; keys with no rows in these months are absent."""
+        """Wide table over ``months`` (default all): one conditional sum per month, so one aggregation and
+        one exchange; keys with no rows in these months are absent."""
         months = self.months if months is None else months
         src = self.counts.filter(F.col("month").isin(months)) if months != self.months else self.counts
         return (src.groupBy("majortext", "minortext", "boroughname")
-                   .pivot("month", months).agg(F.sum("qty")))
+                   .agg(*[F.sum(F.when(F.col("month") == m, F.col("qty"))).alias(m) for m in months]))
 
     def current(self) -> DataFrame:
         return self.wide(split_months(self.months)[1])

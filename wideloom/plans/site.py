@@ -45,9 +45,8 @@ def build_documents(spark: SparkSession, catalog: Catalog) -> dict[str, DataFram
     sample = A.sample_rows(borough, major_pattern=SAMPLE_MAJOR, place_pattern=SAMPLE_PLACES)
     docs["sample_rows.json"] = table_payload(
         sample, order=["boroughname", "majortext", "minortext"])
-    present = {name: catalog.load(key) for name, key in META_DATASETS if catalog.exists(key)}
-    docs["meta.json"] = meta_document(A.meta(present, borough) if present else
-                                      A.meta({}, borough))
+    present = {name: catalog.row_count(key) for name, key in META_DATASETS if catalog.exists(key)}
+    docs["meta.json"] = meta_document(A.meta(spark, present, A.latest_month(borough)))
     return docs
 
 

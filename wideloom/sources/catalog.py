@@ -16,6 +16,18 @@ from . import registry as R
 HISTORICAL_KEYS = {"recorded-crime-borough", "recorded-crime-ward", "recorded-crime-lsoa"}
 
 
+def footer_count(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``rows``, the rows of a Parquet dataset summed from its files' footers; no column is read.
+
+    Spark reads Parquet with its first-generation source unless told otherwise, which cannot push an
+    aggregate down, so the count is planned in a session of its own with the second one."""
+    own = spark.newSession()
+    first = own.conf.get("spark.sql.sources.useV1SourceList")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in first.split(",") if x != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+
+
 class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -48,11 +60,8 @@ class Catalog:
             return False
 
     def row_count(self, key: str) -> int | None:
-        """Rows of a dataset (metadata-only count), None when the file is missing."""
-        try:
-            return self.load(key).count()
-        except FileNotFoundError:
-            return None
+        """Rows of a dataset from its files' footers, None when it is missing."""
+        return footer_count(self.spark, self.path(key)).first().rows if self.exists(key) else None
 
     def register_views(self) -> list[str]:
         """Temp views named after the keys (``-`` -> ``_``) for every dataset present."""
@@ -108,10 +117,3 @@ class Catalog:
     def thorough_searches(self) -> DataFrame:
         return self.load("thorough-searches")
 
-
-def count_rows(frames: dict[str, DataFrame]) -> DataFrame:
-    """S7 for several frames at once: ``(name, rows)``, one aggregate per frame, no collect."""
-    from functools import reduce
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
-             for n, df in frames.items()]
-    return reduce(DataFrame.unionByName, parts)
