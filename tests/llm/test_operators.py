@@ -184,8 +184,8 @@ def test_plan_takes_every_piece_once():
     assert used == histogram and packing.plan({}, 100) == []
 
 
-def test_sketches(scratch, docs):
-    rows = sketches.fingerprints(scratch, docs, F.col("doc_id"), F.col("text")).collect()
+def test_sketches(docs):
+    rows = sketches.fingerprints(docs, F.col("doc_id"), F.col("text")).collect()
     order = sorted({(i is None, i or 0, t or "") for i, t, _ in ROWS})
     nxt = {o: order[(k + 1) % len(order)] for k, o in enumerate(order)}
     want = []
@@ -299,7 +299,7 @@ def test_empty_tables(spark, scratch, docs):
     assert mixing.mix(Scratch(spark, "t"), none, i, F.col("source"), t)[0].count() == 0
     assert simhash.near_duplicates(Scratch(spark, "t"), none, i, t).count() == 0
     assert packing.pack(Scratch(spark, "t"), packing.pieces(none, i, t, queries.tokenizer_path())).count() == 0
-    assert sketches.fingerprints(Scratch(spark, "t"), none, i, t).count() == 0
+    assert sketches.fingerprints(none, i, t).count() == 0
     assert pii.find_pii(none, i, t).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert url_rules.judge(Scratch(spark, "t"), pages, F.col("page_id"), F.col("url")).count() == 0

@@ -66,8 +66,7 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_sketches")
 def op10_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every text and its edited form, and their likenesses."""
-    out = sketches.fingerprints(Scratch(spark, "op10"), _documents(spark, sf_dir), F.col("doc_id"),
-                                F.col("text"))
+    out = sketches.fingerprints(_documents(spark, sf_dir), F.col("doc_id"), F.col("text"))
     return out.select("doc_id", "n_chars", "edited_sha256",
                       sketches.as_text(F.col("sketch")).alias("fingerprint"),
                       sketches.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),

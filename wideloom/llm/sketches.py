@@ -9,18 +9,20 @@ Words are lower-cased (A-Z) runs of ``[^\\x20\\x09-\\x0D]``; fewer than five wor
 
 Defined cases: null and empty texts have an empty sketch (fingerprint ""); two empty sketches are
 alike 1.0, an empty and another one 0.0. Rows with one id and one text are one document and get the
-same result; null ids come last in the order of documents. A single document is its own next one.
+same result (rows with one id and different texts are in the order of a hash of the text); null ids come
+last in the order of documents. A single document is its own next one; an empty table gives no row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, global_order, lower_ascii, text_or_empty
+from .common import SPACE, lower_ascii, shuffle_partitions, text_or_empty
 
 SHINGLE_WORDS = 5
-SCALE = 8                                  # one hash of SCALE is kept
+SCALE = 4                                  # one hash of SCALE is kept
+MAX_RANGES = 1 << 14                       # ranges of ids, whose bounds are sent with the plan
 
 
 def words(text: Column) -> Column:
@@ -58,49 +60,74 @@ def as_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), ",")
 
 
-def next_documents(scratch: Scratch, docs: DataFrame, id_col: Column, text_col: Column,
-                   **sketch) -> DataFrame:
+def _bounds(keys: DataFrame, ranges: int) -> list[str]:
+    """The first key of each of about ``ranges`` ranges of the distinct ``keys`` (none, id, hash), in
+    order, as JSON: one row per range reaches the driver."""
+    ordered = keys.repartitionByRange(ranges, "none", "id", "hash")
+    least = ordered.groupBy(F.spark_partition_id()).agg(F.min(F.struct("none", "id", "hash")).alias("m"))
+    return [r.j for r in least.orderBy("m").select(F.to_json("m").alias("j")).collect()]
+
+
+def _range_of(key: Column, bounds: Column, n: int) -> Column:
+    """Number of the last of ``n`` ordered bounds that is not over ``key``, by halving."""
+    steps = max(n - 1, 1).bit_length()
+    return F.aggregate(
+        F.sequence(F.lit(0), F.lit(steps - 1)), F.struct(F.lit(0).alias("low"), F.lit(n - 1).alias("high")),
+        lambda s, _: F.when(
+            F.element_at(bounds, F.floor((s["low"] + s["high"] + 1) / 2).cast("int") + 1) <= key,
+            F.struct(F.floor((s["low"] + s["high"] + 1) / 2).cast("int").alias("low"), s["high"].alias("high")))
+        .otherwise(F.struct(s["low"].alias("low"), F.greatest(
+            F.floor((s["low"] + s["high"] + 1) / 2).cast("int") - 1, s["low"]).alias("high"))),
+        lambda s: s["low"])
+
+
+def next_documents(docs: DataFrame, id_col: Column, text_col: Column, **sketch) -> DataFrame:
     """Every document beside the start of the next one (ascending id; after the last the first):
     doc_id, text, n, sketch, next_start (its first floor(n / 4) code points), next_sketch.
 
-    The order is made over ids alone; a text is shuffled once by its key, a quarter of it once more.
+    A text is shuffled once, to the range of ids it lies in; the first text of each range goes to the range
+    before as well, where it stands behind the last one. Next documents are then neighbours in the sorted
+    range, so no text is joined. Repeated rows are one row with a count on the way.
     """
-    src = docs.select(id_col.alias("doc_id"), text_or_empty(text_col).alias("text"))
-    src = src.withColumn("n", F.char_length("text"))
-    src = src.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("hash"), "n"))
-    keys = src.select("key").distinct()
-    order = [F.col("key.doc_id").asc_nulls_last(), F.col("key.hash"), F.col("key.n")]
-    line = scratch.table(global_order(scratch, keys, order, "sorted"), "order")
-    count = line.count()
-    # as seen from each document: who comes before it (its length says how much is handed over)
-    seat = line.select("key", ((F.col("at") - 1 + F.lit(count)) % F.lit(max(count, 1))).alias("at")) \
-        .join(line.select(F.col("key").alias("prev"), "at"), "at").drop("at")
-    # partitioned by key here and in both joins below, so the text moves once
-    full = with_sketch(src, "text", "sketch", **sketch)
-    start = F.expr("substring(text, 1, cast(floor(prev.n / 4) as int))")
-    hand = full.join(seat, "key").select(F.col("prev").alias("key"), F.struct(
-        start.alias("next_start"), F.col("sketch").alias("next_sketch")).alias("next"))
-    if _repeats(src, count):   # of repeated rows one hands over its start
-        hand = hand.groupBy("key").agg(F.first("next").alias("next"))
-    return full.join(hand, "key").select("doc_id", "text", "n", "sketch", "next.next_start",
-                                         "next.next_sketch")
-
-
-def _repeats(src: DataFrame, distinct: int) -> bool:
-    return src.count() > distinct
-
-
-def fingerprints(scratch: Scratch, docs: DataFrame, id_col: Column, text_col: Column,
-                 **sketch) -> DataFrame:
+    src = docs.select(id_col.alias("id"), text_or_empty(text_col).alias("text"))
+    src = src.withColumn("none", F.col("id").isNull()).withColumn("hash", F.xxhash64("text"))
+    same = src.groupBy("none", "id", "hash").agg(F.count("*").alias("rows"))
+    spark = docs.sparkSession
+    bounds = _bounds(same, min(8 * shuffle_partitions(spark), MAX_RANGES))
+    if same.agg(F.max("rows")).first()[0] not in (None, 1):
+        src = src.groupBy("none", "id", "hash").agg(F.first("text").alias("text"), F.count("*").cast("int").alias("rows"))
+    else:
+        src = src.withColumn("rows", F.lit(1))
+    n = max(len(bounds), 1)
+    kind = f"array<struct<none:boolean,id:{src.schema['id'].dataType.simpleString()},hash:bigint>>"
+    first = F.from_json(F.lit("[" + ",".join(bounds) + "]"), kind)               # folded to a constant
+    key, at = F.struct("none", "id", "hash"), _range_of(F.struct("none", "id", "hash"), first, n)
+    src = src.withColumn("at", at if bounds else F.lit(0))
+    opens = key.eqNullSafe(F.element_at(first, F.col("at") + 1)) if bounds else F.lit(False)
+    own = F.struct(F.col("at"), F.lit(False).alias("after"))
+    before = F.struct(((F.col("at") + n - 1) % n).alias("at"), F.lit(True).alias("after"))
+    src = src.withColumn("place", F.explode(F.when(opens, F.array(own, before)).otherwise(F.array(own))))
+    src = src.withColumn("at", F.col("place.at")).withColumn("after", F.col("place.after")).drop("place").repartition("at")
+    line = Window.partitionBy("at").orderBy("after", "none", "id", "hash")
+    full = with_sketch(src.withColumn("n", F.char_length("text")), "text", "sketch", **sketch)
+    full = full.select("*", F.lead("text").over(line).alias("next_text"), F.lead("sketch").over(line).alias("next_sketch"))
+    return full.filter(~F.col("after")).select(
+        F.col("id").alias("doc_id"), "text", "n", "sketch", F.expr("substring(next_text, 1, cast(floor(n / 4) as int))").alias("next_start"),
+        "next_sketch", "rows")
+
+
+def fingerprints(docs: DataFrame, id_col: Column, text_col: Column, **sketch) -> DataFrame:
     """Per document: the sketch, that of the text with its last quarter replaced by the start of the
     next document, and the likenesses of the document's sketch to that one and to the next one's."""
-    pairs = next_documents(scratch, docs, id_col, text_col, **sketch)
+    pairs = next_documents(docs, id_col, text_col, **sketch)
     cut = F.floor(F.col("n") / 4)
     edited = F.concat(F.expr("substring(text, 1, n - cast(floor(n / 4) as int))"), F.col("next_start"))
     both = with_sketch(pairs.withColumn("edited", F.when(cut > 0, edited).otherwise(F.col("text"))),
                        "edited", "edited_sketch", **sketch)
-    return both.select(
+    out = both.select(
         "doc_id", F.col("n").cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited"), 256).alias("edited_sha256"), "sketch", "edited_sketch", "next_sketch",
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"), "rows")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("rows"))).alias("copy")
+    return out.select("*", copies).drop("rows", "copy")
