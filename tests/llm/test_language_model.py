@@ -63,7 +63,7 @@ def test_base_scores_and_counts(spark, tmp_path, monkeypatch, known):
     assert sum(r.score for r in out) > sum(r.base_score for r in out) + 50
 
 
-def test_long_texts_do_not_depend_on_the_chunks(spark, monkeypatch):
+def test_texts_do_not_depend_on_slices(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t) for i, t in rows()], "doc_id long, text string").coalesce(1)
     scratch = Scratch(spark, "test")
     counts, model = lm.train(scratch, docs, F.col("text"), F.lit(True))
@@ -72,20 +72,40 @@ def test_long_texts_do_not_depend_on_the_chunks(spark, monkeypatch):
         return sorted((r.n_tokens, round(r.base_score, 6), round(r.score, 3)) for r in lm.scored(
             Scratch(spark, name), docs, F.col("doc_id"), F.col("text"), counts, model).collect())
     whole = run("a")
-    monkeypatch.setattr(lm, "CHUNK", 7)
-    held = list(lm.chunks([pa.scalar(LONG.encode())], 7))
-    assert sum(len(w) for h in held for _, w, _ in h) == 8001
-    assert [b for h in held for _, _, b in h][1] == [w.encode() for w in words(LONG)[4:7]]
+    monkeypatch.setattr(lm, "SLICE_BYTES", 50)
+    monkeypatch.setattr(lm, "BATCH", 13)
     assert run("b") == whole
 
 
+def test_words_and_histories():
+    texts = pa.array(["", None, " A\x0bb \x1c\tÜB\n", "a b a b", "x" * 70])
+    size, place, kinds = lm.words(texts.fill_null(""))
+    split = [words(t.as_py())[:-1] for t in texts]
+    assert size.tolist() == [len(w) for w in split]
+    assert [kinds[i].as_py().decode() for i in place.tolist()] == [w for ws in split for w in ws]
+    assert [len(t) for _, t in lm.slices(texts, 20)] == [4, 1] and [a for a, _ in lm.slices(texts.slice(2), 20)] == [0, 2]
+    v = lm.Vocabulary(pa.array([b"x", b"a"], pa.large_binary()), pa.array([b"b", b"\n"], pa.large_binary()), np.array([7, 9]))
+    owner, at, before = v.read(texts.slice(2, 2).cast(pa.large_string()))
+    line = [w.encode() for t in split[2:4] for w in [*t, "\n"]]
+    assert [v.kinds[i].as_py() for i in at.tolist()] == line and owner.tolist() == [0] * (len(split[2]) + 1) + [1] * 5
+    assert v.head[at].tolist() == [1 if w == b"a" else -1 for w in line]
+    assert v.count[at].tolist() == [{b"b": 7, b"\n": 9}.get(w, 0) for w in line]
+    past = [([b"\n"] * 3 + [w.encode() for w in t])[i:i + 3][::-1] for t in split[2:4] for i in range(len(t) + 1)]
+    assert [[h[i] for h in before] for i in range(len(line))] == [hash_of(p).tolist() for p in past]
+
+
+def hash_of(ws):
+    return lm.hashes(pa.array(ws, pa.large_binary()))
+
+
 def test_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame([(i, t) for i, t in rows()], "doc_id long, text string")
     counts, model = lm.train(Scratch(spark, "test"), docs, F.col("text"), F.lit(True))
-    rare = [c for w, c in counts.known.items() if w not in model.head]
+    head = set(model.head.to_pylist())
+    rare = [c for w, c in zip(counts.known.to_pylist(), counts.counts.tolist()) if w not in head]
     assert math.isclose(sum(c + 1 for c in rare) + 1, model.rare_total)
     assert sorted(set(model.group.tolist())) == list(range(len(model.bias) - 1))
-    before = [np.array([lm._hash(w) for w in p], np.uint64) for p in ([b"w1", b"never"], [b"w2", b"x"], [lm.END, b"y"])]
+    before = [hash_of(p) for p in ([b"w1", b"never"], [b"w2", b"x"], [lm.END, b"y"])]
     classes = np.exp(model.log_classes(lm.features(before)))
     inside = np.exp(model.inside[lm.bucket(before)])
     for k in range(2):

@@ -27,15 +27,15 @@ they come; a null id counts as empty text when the training documents are chosen
 from __future__ import annotations
 
 import math
-import zlib
 from dataclasses import dataclass, replace
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import textarrays as T
 from .common import Scratch
 
 HEAD, KNOWN, LEAST_COUNT = 8192, 1 << 18, 3
@@ -43,80 +43,71 @@ BUCKETS = 256                                  # of the last word, inside the cl
 CLASSES, ROWS = 32, 1 << 15                    # the last class holds the rare words; hashed feature rows
 ROUNDS, BATCH, RATE, DECAY = 2, 16384, 0.15, 1e-6
 TASK_TOKENS = 1 << 21                          # training tokens that are worth a set of weights
-MEMO_WORDS = 1 << 20
-CHUNK = 1 << 17                                # tokens handled at once
+SLICE_BYTES = 1 << 22                          # of texts split at once
 END = b"\n"                                    # no word holds white space
 _BLOCK_ROWS = 256
 _SALT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
-
-
-def chunks(texts, size: int = CHUNK):
-    """Lists of (text number, words, last three words before, is the end reached), of about ``size`` tokens."""
-    held, total = [], 0
-    for i, t in enumerate(texts):
-        words = tokens(t.as_py())
-        for at in range(0, len(words) + 1, size):
-            part = words[at:at + size]
-            last = at + size > len(words)
-            held.append((i, part + [END] * last, words[max(at - 3, 0):at]))
-            total += len(part) + last
-            if total >= size:
-                yield held
-                held, total = [], 0
-    if held:
-        yield held
-
-
-def _hash(word: bytes) -> int:
-    """Stable 64-bit hash of a word."""
-    h = zlib.crc32(word) | zlib.crc32(word, 0x5BD1E995) << 32
-    h = (h ^ h >> 31) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
-    return h ^ h >> 29
-
-
-class Vocabulary(dict):
-    """Words met by a worker, numbered from 0; of each its ``hash``, ``head`` (the head's number, or -1) and
-    ``count`` (of the known words, else 0) in arrays."""
-
-    def __init__(self, heads: dict[bytes, int], known: dict[bytes, int] | None = None):
-        super().__init__()
-        self.heads, self.known = heads, known or {}
-        self._reset()
-
-    def _reset(self):
-        self.clear()
-        self.words: list[bytes] = []
-        self.hash, self.head, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def __missing__(self, word):
-        self[word] = at = len(self.words)
-        self.words.append(word)
-        return at
-
-    def _grow(self):
-        new = self.words[len(self.hash):]
-        if new:
-            self.hash = np.append(self.hash, np.fromiter(map(_hash, new), np.uint64, len(new)))
-            self.head = np.append(self.head, np.fromiter((self.heads.get(w, -1) for w in new), np.int64, len(new)))
-            self.count = np.append(self.count, np.fromiter((self.known.get(w, 0) for w in new), np.int64, len(new)))
-
-    def read(self, held):
-        """(text number, word number, hashes of the three tokens before) of all tokens of a list of chunks."""
-        if len(self) > MEMO_WORDS:
-            self._reset()
-        owner = np.repeat([i for i, _, _ in held], [len(w) for _, w, _ in held])
-        parts = [p for _, w, b in held for p in (([END] * 3 + b)[-3:], w)]
-        line = np.fromiter(map(self.__getitem__, chain.from_iterable(parts)), np.int64)
-        self._grow()
-        size = np.array([len(w) for _, w, _ in held])
-        first = np.cumsum(size + 3) - size
-        at = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
-        hashes = self.hash[line]
-        return owner, line[at], [hashes[at - k] for k in (1, 2, 3)]
+def slices(texts: pa.Array, size: int | None = None):
+    """(number of the first text, texts) of runs of whole texts of about ``size`` bytes."""
+    size = SLICE_BYTES if size is None else size
+    texts = texts.cast(pa.large_string()).fill_null("")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:][1:len(texts) + 1]
+    at = 0
+    while at < len(texts):
+        start = ends[at - 1] if at else np.frombuffer(texts.buffers()[1], np.int64)[texts.offset]
+        to = max(at + 1, int(np.searchsorted(ends, start + size, "right")))
+        yield at, texts.slice(at, to - at)
+        at = to
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Number of words of each text, and all words as places in an array of the different ones."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    own = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    coded = lists.flatten().dictionary_encode()
+    kinds, place = coded.dictionary.cast(pa.large_binary()), coded.indices.to_numpy()
+    empty = pc.index(kinds, pa.scalar(b"", pa.large_binary())).as_py()
+    if empty >= 0:                                         # before leading and after trailing white space
+        keep = place != empty
+        own, place = own[keep], place[keep]
+    return np.bincount(own, minlength=len(texts)), place, kinds
+
+
+def hashes(kinds: pa.Array) -> np.ndarray:
+    """Stable 64-bit hashes of words."""
+    ends = np.frombuffer(kinds.buffers()[1], np.int64)[kinds.offset:][:len(kinds) + 1]
+    data = np.frombuffer(kinds.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    return T.hashes(data, ends[:-1] - ends[0], [ends[1:] - ends[0]])[0]
+
+
+class Vocabulary:
+    """The tables that words are looked up in: the head's words, and the known words with their counts."""
+
+    def __init__(self, head: pa.Array, known: pa.Array | None = None, counts: np.ndarray | None = None):
+        self.heads, self.known, self.counts = head, known, counts
+
+    def _look_up(self, table: pa.Array) -> np.ndarray:
+        return pc.index_in(self.kinds, value_set=table).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def read(self, texts: pa.Array):
+        """(text number, word place, hashes of the three tokens before) of all tokens of an array of texts,
+        an end token after each. ``kinds``, ``head`` (the head's number, or -1) and ``count`` (of known words,
+        else 0) hold what the places stand for."""
+        size, place, kinds = words(texts)
+        self.kinds = pa.concat_arrays([kinds, pa.array([END], pa.large_binary())])
+        self.head = self._look_up(self.heads)
+        if self.known is not None:
+            self.count = np.append(self.counts, 0)[self._look_up(self.known)]
+        # per text: three ends as the history of its start, its words, an end
+        first = np.cumsum(size + 4) - size - 1
+        line = np.full(int(size.sum()) + 4 * len(size), len(kinds), np.int64)
+        line[np.arange(len(place)) + np.repeat(first - (np.cumsum(size) - size), size)] = place
+        owner = np.repeat(np.arange(len(size)), size + 1)
+        at = np.arange(len(owner)) + 3 * (owner + 1)
+        line_hash = hashes(self.kinds)[line]
+        return owner, line[at], [line_hash[at - k] for k in (1, 2, 3)]
 
 
 def features(before) -> np.ndarray:
@@ -166,23 +157,14 @@ def _numbered(name: str, blocks) -> pa.RecordBatch:
 # ---------------------------------------------------------------- exact counts
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word binary, n) of all tokens of ``texts(text)``; each task sends partial counts."""
+    """(word binary, n) of all tokens of ``texts(text)``; partial counts of slices of texts, then of tasks."""
     def run(batches):
-        held: dict[bytes, int] = {}
-        get = held.get
         for b in batches:
-            for t in b.column("text").cast(pa.binary()):
-                for w in tokens(t.as_py()):
-                    held[w] = get(w, 0) + 1
-                if len(held) > MEMO_WORDS:
-                    yield out(held)
-                    held.clear()
-            held[END] = get(END, 0) + b.num_rows
-        yield out(held)
-
-    def out(held):
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())],
-                                          ["word", "n"])
+            for _, part in slices(b.column("text"), 4 * SLICE_BYTES):
+                _, place, kinds = words(part)
+                n = np.append(np.bincount(place, minlength=len(kinds)), len(part))
+                kinds = pa.concat_arrays([kinds, pa.array([END], pa.large_binary())])
+                yield pa.RecordBatch.from_arrays([kinds.filter(pa.array(n > 0)).cast(pa.binary()), pa.array(n[n > 0])], ["word", "n"])
     return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -192,13 +174,16 @@ class Counts:
     table: DataFrame
     tokens: int
     words: int
-    known: dict[bytes, int]
-    head: dict[bytes, int]
+    known: pa.Array
+    counts: np.ndarray
+    head: pa.Array
+    in_head: int
 
     def rare(self) -> DataFrame:
         """The counts of the words that are not in ``known``."""
-        least = min(self.known.values(), default=None)
-        return self.table if least is None else self.table.filter(F.col("n") < least)
+        if len(self.known) == self.words:
+            return self.table.limit(0)
+        return self.table.filter(F.col("n") < int(self.counts.min())) if len(self.known) else self.table
 
 
 def count(scratch: Scratch, texts: DataFrame) -> Counts:
@@ -208,18 +193,18 @@ def count(scratch: Scratch, texts: DataFrame) -> Counts:
     kind = F.floor(F.lit(64) * F.log2("n"))
     kinds = table.groupBy(kind.alias("kind")).agg(F.min("n").alias("least"), F.count("*").alias("words"),
                                                   F.sum("n").alias("tokens")).collect()
-    words, least = 0, None
+    words_, least = 0, None
     for r in sorted(kinds, key=lambda r: -r["kind"]):
-        words += r["words"]
-        if words > KNOWN:
+        words_ += r["words"]
+        if words_ > KNOWN:
             break
         least = r["least"]
-    known = {}
-    if least is not None:
-        top = table.filter(F.col("n") >= least).toArrow()                                          # bounded
-        known = dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist()))
-    frequent = sorted((w for w, n in known.items() if n >= LEAST_COUNT), key=lambda w: (-known[w], w))
-    return Counts(table, sum(r["tokens"] for r in kinds), sum(r["words"] for r in kinds), known, {w: i for i, w in enumerate(frequent[:HEAD])})
+    top = table.filter(F.col("n") >= least if least is not None else F.lit(False)).toArrow()       # bounded
+    top = top.sort_by([("n", "descending"), ("word", "ascending")])
+    known = pa.concat_arrays([pa.array([], pa.large_binary()), *(c.cast(pa.large_binary()) for c in top.column("word").chunks)])
+    n = top.column("n").to_numpy()
+    heads = min(HEAD, int((n >= LEAST_COUNT).sum()))
+    return Counts(table, sum(r["tokens"] for r in kinds), sum(r["words"] for r in kinds), known, n, known[:heads], int(n[:heads].sum()))
 
 
 # ---------------------------------------------------------------- the model
@@ -227,7 +212,7 @@ def count(scratch: Scratch, texts: DataFrame) -> Counts:
 @dataclass
 class Model:
     """Tables of fixed size. ``inside``: log P(word | class, bucket) of the head's words."""
-    head: dict[bytes, int]
+    head: pa.Array
     group: np.ndarray                    # class of each head word
     inside: np.ndarray                   # (buckets, head)
     weights: np.ndarray                  # (feature rows, classes)
@@ -236,28 +221,32 @@ class Model:
 
     def log_classes(self, rows: np.ndarray) -> np.ndarray:
         """Log P(class | h), (tokens, classes)."""
-        out = np.empty((len(rows), len(self.bias)), np.float32)
-        for a in range(0, len(rows), BATCH):                    # small enough for a processor's cache
-            part = rows[a:a + BATCH]
-            z = self.weights.take(part[:, 0], axis=0)
-            for k in range(1, rows.shape[1]):
-                z += self.weights.take(part[:, k], axis=0)
-            z += self.bias
-            z -= z.max(1, keepdims=True)
-            z -= np.log(np.exp(z).sum(1, keepdims=True))
-            out[a:a + BATCH] = z
+        z = self.weights.take(rows[:, 0], axis=0)
+        for k in range(1, rows.shape[1]):
+            z += self.weights.take(rows[:, k], axis=0)
+        z += self.bias
+        z -= z.max(1, keepdims=True)
+        z -= np.log(np.exp(z).sum(1, keepdims=True))
+        return z
+
+    def log_class(self, rows: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Log P(class | h) of one class for each token, in batches that fit a processor's cache."""
+        out = np.empty(len(rows))
+        for a in range(0, len(rows), BATCH):
+            own = group[a:a + BATCH]
+            out[a:a + BATCH] = self.log_classes(rows[a:a + BATCH])[np.arange(len(own)), own]
         return out
 
 
-def pair_counts(texts: DataFrame, head: dict[bytes, int]) -> np.ndarray:
+def pair_counts(texts: DataFrame, head: pa.Array) -> np.ndarray:
     """(buckets, head) counts of (last word's bucket, head word) over all tokens."""
     size = max(len(head), 1)
 
     def run(batches):
         vocabulary, total = Vocabulary(head), np.zeros(BUCKETS * size, np.int64)
         for b in batches:
-            for held in chunks(b.column("text").cast(pa.binary()), 8 * CHUNK):
-                _, at, before = vocabulary.read(held)
+            for _, part in slices(b.column("text")):
+                _, at, before = vocabulary.read(part)
                 own = vocabulary.head[at]
                 ok = own >= 0
                 total += np.bincount(bucket(before)[ok] * size + own[ok], minlength=len(total))
@@ -332,8 +321,8 @@ def train_classes(scratch: Scratch, texts: DataFrame, model: Model, tokens_: int
             sums = np.repeat(step.astype(np.float32)[:, None] / classes, classes, 1) + np.float32(0.1)
             met = np.zeros(ROWS + 1, np.float32)
             for b in batches:
-                for held in chunks(b.column("text").cast(pa.binary())):
-                    _, at, before = vocabulary.read(held)
+                for _, part in slices(b.column("text")):
+                    _, at, before = vocabulary.read(part)
                     y = group[vocabulary.head[at]]
                     rows = features(before)
                     for a in range(0, len(y), BATCH):
@@ -413,12 +402,11 @@ def train(scratch: Scratch, docs: DataFrame, text_col: Column, training: Column,
     pairs = pair_counts(texts.coalesce(tasks), counts.head)
     group = groups(pairs, CLASSES - 1)
     classes = 2 + int(group.max(initial=-1))
-    in_head = sum(counts.known[w] for w in counts.head)
     mass = np.bincount(group, pairs.sum(0), classes).astype(np.float64)
-    mass[-1] = counts.tokens - in_head
+    mass[-1] = counts.tokens - counts.in_head
     model = Model(counts.head, group, fit_inside(pairs, group), np.zeros((ROWS, classes), np.float32),
                   np.log((mass + 1) / (mass + 1).sum()).astype(np.float32),
-                  counts.tokens - in_head + counts.words - len(counts.head) + 1)
+                  counts.tokens - counts.in_head + counts.words - len(counts.head) + 1)
     if counts.tokens:
         train_classes(scratch, texts, model, counts.tokens, rounds)
     return counts, model
@@ -432,34 +420,36 @@ def partial_scores(docs: DataFrame, counts: Counts, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     total, log_rare = math.log10(counts.tokens + counts.words + 1), math.log10(model.rare_total)
     every = len(counts.known) == counts.words
-    shared = docs.sparkSession.sparkContext.broadcast((counts.known, model))     # KNOWN words, fixed tables
+    shared = docs.sparkSession.sparkContext.broadcast((counts.known, counts.counts, model))     # KNOWN words, fixed tables
 
     def run(batches):
-        known, m = shared.value
-        vocabulary = Vocabulary(m.head, known)
+        known, n_of, m = shared.value
+        vocabulary = Vocabulary(m.head, known, n_of)
         group = np.append(m.group, len(m.bias) - 1)                              # of -1: the last class
         for b in batches:
             n = b.num_rows
             n_tokens, n_known, base, score = np.zeros((4, n))
-            who, word, times = [], [], []
-            for held in chunks(b.column("text").cast(pa.binary())):
-                owner, at, before = vocabulary.read(held)
+            who, word, times = [], [pa.array([], pa.binary())], []
+            for first, part in slices(b.column("text")):
+                owner, at, before = vocabulary.read(part)
+                owner += first
                 c, head = vocabulary.count[at], vocabulary.head[at]
+                log_c = np.log10(vocabulary.count + 1)[at]
                 own = head >= 0
-                inside = (np.log10(c + 1) - log_rare) * math.log(10)
-                inside[own] = m.inside[bucket(before)[own], head[own]]
-                z = m.log_classes(features(before))[np.arange(len(at)), group[head]] + inside
+                z = (log_c - log_rare) * math.log(10)
+                z[own] = m.inside[bucket(before)[own], head[own]]
+                z += m.log_class(features(before), group[head])
                 n_tokens += np.bincount(owner, minlength=n)
                 n_known += np.bincount(owner, c > 0, n)
-                base += np.bincount(owner, np.log10(c + 1) - total, n)
+                base += np.bincount(owner, log_c - total, n)
                 score += np.bincount(owner, z / math.log(10), n)
                 if not every and (c == 0).any():
                     key, often = np.unique(owner[c == 0] << 32 | at[c == 0], return_counts=True)
                     who.append(key >> 32)
-                    word += [vocabulary.words[i] for i in (key & 0xFFFFFFFF).tolist()]
+                    word.append(vocabulary.kinds.take(pa.array(key & 0xFFFFFFFF)).cast(pa.binary()))
                     times.append(often)
             who = np.concatenate([np.zeros(0, np.int64), *who])                  # ascending: texts come in order
-            rare = pa.StructArray.from_arrays([pa.array(word, pa.binary()), pa.array(
+            rare = pa.StructArray.from_arrays([pa.concat_arrays(word), pa.array(
                 np.concatenate([np.zeros(0, np.int64), *times]))], ["word", "n"])
             ends = np.searchsorted(who, np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
