@@ -28,16 +28,17 @@ from .common import Scratch
 SEQUENCE = 2048
 END_ID = 0
 BUCKET_ROWS = 4096
-CACHE_WORDS = 400_000              # words whose ids a worker remembers
-_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+CACHE_WORDS = 500_000              # chunks whose ids a worker remembers
+_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class _Ids(dict):
     """Ids of white-space separated chunks as little-endian bytes.
 
     The tokenizer drops white space and never looks across it, so a text's ids are those of its
-    chunks. A chunk of letters and final punctuation goes to the model at once (its normaliser only
-    lower-cases such letters); any other chunk takes the whole tokenizer.
+    chunks. A chunk of letters and final punctuation goes to the model at once, letters and punctuation
+    each by itself and remembered each by itself (its normaliser only lower-cases such letters); any
+    other chunk takes the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -49,22 +50,37 @@ class _Ids(dict):
         self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         kinds = str(self.tokenizer.normalizer) + str(self.tokenizer.pre_tokenizer)
         self.direct = "Lowercase" in kinds and "ByteLevel" in kinds and "NFC" in kinds
+        self.pieces: dict[bytes, bytes] = {}               # of letters in lower case, and of punctuation
 
-    def _piece(self, piece: str) -> bytes:
-        if not piece.isascii():
-            piece = self.byte_level.pre_tokenize_str(piece)[0][0]
-        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+    def clear(self) -> None:
+        super().clear()
+        self.pieces.clear()
+
+    def _piece(self, raw: bytes) -> bytes:
+        ids = self.pieces.get(raw)
+        if ids is None:
+            piece = raw.decode("ascii") if raw.isascii() else self.byte_level.pre_tokenize_str(raw.decode("utf-8"))[0][0]
+            self.pieces[raw] = ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return ids
+
+    def _letters(self, core: bytes) -> bytes | None:
+        """Letters in lower case if the normaliser would only lower-case them."""
+        if core.isalpha():                                 # ASCII
+            return core.lower()
+        if core.isascii():
+            return None
+        text = core.decode("utf-8")
+        return text.lower().encode("utf-8") if text.isalpha() and max(text) < "ƀ" and "İ" not in text else None
 
     def __missing__(self, raw: bytes) -> bytes:
-        chunk = raw.decode("utf-8")
-        core = chunk.rstrip(_PUNCTUATION)
-        plain = self.direct and core.isalpha() and (core.isascii() or (max(core) < "ƀ" and "İ" not in core))
-        if plain:
-            ids = self._piece(core.lower())
-            if len(core) < len(chunk):
-                ids += self._piece(chunk[len(core):])
+        core = raw.rstrip(_PUNCTUATION)
+        low = self._letters(core) if self.direct else None
+        if low is not None:
+            ids = self._piece(low)
+            if len(core) < len(raw):
+                ids += self._piece(raw[len(core):])
         else:
-            ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+            ids = array("I", self.tokenizer.encode(raw.decode("utf-8"), add_special_tokens=False).ids).tobytes()
         self[raw] = ids
         return ids
 
