@@ -1,14 +1,15 @@
 """WARC archives with revisit resolution (operator 6).
 
-The headers of all records (without payloads) are shuffled by payload digest; of equal payloads the
-record of the smallest page is the response and the others become revisits that refer to it. The
-deduplicated archives are written with fresh headers as gzipped text files of a bounded number of
-records (record lines end in CR LF and payloads are counted in bytes, so the files are plain WARC/1.1),
-and read again by their Content-Length; revisits are joined to the responses they refer to.
+The headers of all records (row, page, digest, without payloads) are shuffled by payload digest; of equal
+payloads the record of the smallest page is the response and the others become revisits that refer to it.
+Payloads then meet these decisions once and go straight to the archives, revisits without them. The
+deduplicated archives are written with fresh headers as gzipped text files of bounded size (record lines
+end in CR LF and payloads are counted in bytes, so the files are plain WARC/1.1), and read again by their
+Content-Length; revisits are joined to the responses they refer to.
 
 Defined cases: null payloads are empty; payloads under ``MIN_BYTES`` are always responses; null page
 ids come last; of rows repeated with one id and payload one is the response and the others
-revisit it (all are responses if small).
+revisit it (all are responses if small); other columns are ignored. A payload over 2 GB cannot be read back.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, text_or_empty
+from .common import Scratch, keyed_rows, text_or_empty
 
 MIN_BYTES = 100
-RECORDS_PER_FILE = 4000
+LARGE_BYTES = 1 << 18              # payloads over this go to files of their own
+FILE_BYTES = 1 << 30               # of payloads in one file, unless one alone is larger
+ROW = "__record_row"               # key of a row beside the columns of the pages
 _EOL = "\r\n"
 
 
@@ -34,32 +37,19 @@ def _record_id(page: Column, digest: Column) -> Column:
                                            for x in (F.substring(h, a, n), F.lit("-" if n != 12 else ">"))])
 
 
-def resolve(pages: DataFrame, id_col: Column, url_col: Column, html_col: Column,
+def resolve(rows: DataFrame, id_col: Column, url_col: Column, html_col: Column,
             min_bytes: int = MIN_BYTES) -> DataFrame:
     """page, url, html (null for revisits), bytes, digest and first (the page referred to, as a
-    struct; null for responses) of every page."""
-    src = pages.select(id_col.alias("page"), url_col.alias("url"), text_or_empty(html_col).alias("html"))
+    struct; null for responses) of every row of ``rows``, which have a unique ``ROW``."""
+    src = rows.select(F.col(ROW).alias("row"), id_col.alias("page"), url_col.alias("url"), text_or_empty(html_col).alias("html"))
     src = src.withColumn("digest", F.sha2(F.encode("html", "UTF-8"), 256)).withColumn("bytes", F.octet_length("html"))
-    heads = src.select("page", "digest", "bytes").filter(F.col("bytes") >= min_bytes)
-    same = heads.groupBy("digest", "page").agg(F.count("*").alias("n")) \
-        .groupBy("digest").agg(F.sum("n").alias("records"), F.min(F.struct(
-            F.col("page").isNull().alias("null"), "page", "n")).alias("first")) \
-        .filter("records > 1")
-    joined = src.join(same, "digest", "left")
-    plain = F.col("first").isNull() | (F.col("page").eqNullSafe(F.col("first.page")) & (F.col("first.n") == 1))
-    out = ["page", "url", "html", "bytes", "digest", "first"]
-    none = F.lit(None).cast(same.schema["first"].dataType)
-    responses = joined.filter(plain).withColumn("first", none).select(*out)
-    others = joined.filter(~plain)
-    again = F.col("page").eqNullSafe(F.col("first.page"))
-    revisits = others.filter(~again).withColumn("html", F.lit(None).cast("string")).select(*out)
-    # the smallest page comes several times with this payload: one response, the others revisit it
-    repeated = others.filter(again).groupBy("digest", "page", "bytes").agg(
-        F.min("url").alias("url"), F.first("html").alias("html"), F.first("first").alias("first"))
-    copies = repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("first.n")))) \
-        .withColumn("html", F.when(F.col("copy") == 1, F.col("html"))) \
-        .withColumn("first", F.when(F.col("copy") > 1, F.col("first"))).select(*out)
-    return responses.unionByName(revisits).unionByName(copies)
+    same = src.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(
+        F.count("*").alias("records"),
+        F.min(F.struct(F.col("page").isNull().alias("null"), "page", "row")).alias("first")).filter("records > 1")
+    again = F.col("first").isNotNull() & (F.col("row") != F.col("first.row"))
+    return src.join(same, "digest", "left").select(
+        "page", "url", F.when(~again, F.col("html")).alias("html"), "bytes", "digest",
+        F.when(again, F.struct("first.page")).alias("first"))
 
 
 def record(date: Column) -> Column:
@@ -82,11 +72,16 @@ def record(date: Column) -> Column:
         F.lit(_EOL + _EOL), F.coalesce("html", F.lit("")), F.lit(_EOL))
 
 
-def write(records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE) -> None:
-    """Archives below ``path``, one set for each task; a repeated task writes its files anew."""
+def write(records: DataFrame, path: str, largest: int | None = None) -> None:
+    """Archives below ``path``, some for each task; a repeated task writes its files anew. ``largest`` is the
+    largest payload, if known. Files hold at most ``FILE_BYTES`` of payloads or a single one."""
     date = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    records.select(record(date).alias("value")).write.mode("overwrite") \
-        .option("lineSep", _EOL).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    if largest is None:
+        largest = records.agg(F.max("bytes")).first()[0] or 0
+    sizes = [(F.col("bytes") <= LARGE_BYTES, "pages", LARGE_BYTES), (F.col("bytes") > LARGE_BYTES, "large", largest)]
+    for rows, name, most in sizes[:1 + (largest > LARGE_BYTES)]:
+        records.filter(rows).select(record(date).alias("value")).write.mode("overwrite").option("lineSep", _EOL) \
+            .option("compression", "gzip").option("maxRecordsPerFile", max(1, FILE_BYTES // most)).text(f"{path}/{name}")
 
 
 def parse(stream) -> list[tuple]:
@@ -131,7 +126,9 @@ def archive(scratch: Scratch, pages: DataFrame, id_col: Column, url_col: Column,
     """Write the archives of ``pages`` and return what reading them back gives, per page: page_id,
     payload_bytes, payload_digest, record_type, refers_to."""
     kind = pages.select(id_col.alias("page")).schema["page"].dataType
-    write(resolve(pages, id_col, url_col, html_col, min_bytes), scratch.path("warc"))
+    rows = keyed_rows(scratch, pages).select(F.col("row").alias(ROW), "rec.*")
+    largest = pages.select(F.octet_length(html_col).alias("n")).agg(F.max("n")).first()[0] or 0
+    write(resolve(rows, id_col, url_col, html_col, min_bytes), scratch.path("warc"), largest)
     heads = scratch.table(read(scratch, scratch.path("warc")), "heads")
     revisit = heads.filter("type = 'revisit'")
     origin = heads.filter("type = 'response'").select(
