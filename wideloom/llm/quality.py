@@ -6,11 +6,12 @@ document labels alone (no passage has a label), and the weighted passage represe
 
     h = tanh(x W + b),  a = softmax(w . (tanh(h V) * sigmoid(h U))),  score = sigmoid(c . sum a h + d)
 
-The fit runs over a sample of labelled documents that is bounded by ``SAMPLE`` documents and
-``BAG`` passages of each (evenly spaced); scoring reads every passage.
+The fit runs over a sample of at most ``SAMPLE`` labelled documents, one row of each id, and reads all
+of their passages; scoring reads every passage of every text.
 
 Defined cases: null and empty texts have no passage and get the score of an empty bag; without
-labelled rows (or with one class only) every score is the share of label 1, or 0.5 without any;
+labelled rows (or with one class only) every score is the share of label 1, or 0.5 without any; an id with
+several labels has the largest one, and of its rows the one whose text has the least hash is read;
 repeated rows get equal scores. A byte counts only for passages of its own text (a block of 1 MB of a
 text that is white space only has no passage). Labels, language, source and id are no inputs.
 """
@@ -29,7 +30,6 @@ from . import textarrays as T
 
 PASSAGE_WORDS = 50
 SAMPLE = 4000
-BAG = 48
 HIDDEN, GATE = 16, 8
 EPOCHS, RATE, DECAY = 60, 0.02, 1e-4
 
@@ -180,30 +180,28 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
 
 def training_rows(docs: DataFrame, id_col: Column, text_col: Column, labels: DataFrame, label: Column,
                   sample: int = SAMPLE) -> DataFrame:
-    """(text, y) of at most ``sample`` labelled documents that are not held out, by a hash of the id."""
+    """(id, text, y) of at most ``sample`` labelled documents that are not held out, by a hash of the id;
+    one row per id, however often it comes."""
     ids = labels.select(F.col("doc_id").alias("id"), label.cast("int").alias("y")) \
         .filter("y IS NOT NULL AND id IS NOT NULL") \
         .filter(F.crc32(F.col("id").cast("string")) % 3 != 1).groupBy("id").agg(F.max("y").alias("y"))
     picked = ids.orderBy(F.xxhash64("id"), "id").limit(sample)
-    return docs.select(id_col.alias("id"), text_col.alias("text")).join(F.broadcast(picked), "id").select("text", "y")
+    rows = docs.select(id_col.alias("id"), text_col.alias("text")).join(F.broadcast(picked), "id")
+    return rows.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("id", "text", "y")
 
 
 def train(docs: DataFrame, id_col: Column, text_col: Column, labels: DataFrame, label: Column,
-          sample: int = SAMPLE, bag: int = BAG) -> Model:
+          sample: int = SAMPLE) -> Model:
     rows = training_rows(docs, id_col, text_col, labels, label, sample)
 
     def encode(batches):
         for b in batches:
             texts = [t.as_py() or b"" for t in b.column("text").cast(pa.binary())]
             owner, x = passages(texts)
-            out = []
-            for i in range(len(texts)):
-                own = x[np.searchsorted(owner, i):np.searchsorted(owner, i, "right")]
-                if len(own) > bag:
-                    own = own[np.linspace(0, len(own) - 1, bag).astype(int)]
-                out.append(own.astype("<f4").tobytes())
+            cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+            out = [x[i:j].astype("<f4").tobytes() for i, j in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(out, pa.binary())], ["y", "x"])
-    got = rows.mapInArrow(encode, "y int, x binary").collect()      # bounded by sample and bag
+    got = rows.select("text", "y").mapInArrow(encode, "y int, x binary").collect()   # features of ``sample`` texts
     got.sort(key=lambda r: (r["y"], bytes(r["x"])))                 # any order of tasks gives one model
     bags = [np.frombuffer(bytes(r["x"]), "<f4").reshape(-1, FEATURES) for r in got]
     return fit(bags, np.array([r["y"] for r in got]))

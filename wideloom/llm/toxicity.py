@@ -6,17 +6,18 @@ stand for some letters or for itself, a run of one letter for one or two, separa
 for themselves or for nothing. Viterbi search over the whole stretch finds the likeliest letters under the model; a stretch without a choice is its own
 decoding, so only the others are searched. The restored words are then scored: smoothed log-odds of
 word and word-start hashes, learned from one half of the sample, are summed up for each text and
-calibrated by a logistic regression on the other half.
+calibrated by a logistic regression on the other half. The sample is at most ``SAMPLE`` labelled
+documents, one row of each id, read in whole; the tasks reduce it to counts of hash buckets and to a few
+statistics of each text, so no text reaches the driver.
 
 Defined cases: null and empty texts get the score of a text without any word; without labelled rows
-(or with one class) every score is the share of label 1, or 0.0 without any; repeated rows get equal
-scores. Labels, language, source and id are no inputs.
+(or with one class) every score is the share of label 1, or 0.0 without any; an id with several labels has
+the largest one; repeated rows get equal scores. Labels, language, source and id are no inputs.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -29,8 +30,7 @@ from pyspark.sql import functions as F
 from . import textarrays as T
 from .quality import training_rows
 
-SAMPLE = 12_000                               # labelled texts that the fit may read, and
-SAMPLE_CHARS = 20_000                         # the longest of them; scoring has no such bound
+SAMPLE = 12_000                               # labelled texts that the fit may read
 BITS = 20                                     # buckets of word hashes
 MIN_TEXTS = 3                                 # labelled texts that a bucket needs
 REMEMBERED = 64                               # characters of the longest stretch whose decoding is kept
@@ -239,28 +239,49 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.statistics(texts) @ self.line, -30, 30)))
 
 
-def fit(lm: np.ndarray, texts: list[bytes], labels: np.ndarray) -> Model:
-    """Log-odds from the even texts, calibration on the odd ones, then log-odds from all."""
-    y = np.asarray(labels, int)
-    if not len(y) or not 0 < y.mean() < 1:
-        return Model(lm, constant=float(y.mean()) if len(y) else 0.0)
-    model = Model(lm)
-    clean = model.restored(texts)
-    rows = [np.unique(features([t])[1]) for t in clean]
-
-    def odds(part):
-        pos, neg = np.zeros(1 << BITS), np.zeros(1 << BITS)
-        for i in part:
-            (pos if y[i] else neg)[rows[i]] += 1
-        a, b = max(y[part].sum(), 1), max((1 - y[part]).sum(), 1)
-        ratio = np.log((pos + 0.2) / (a + 0.4)) - np.log((neg + 0.2) / (b + 0.4))
-        return np.where(pos + neg >= MIN_TEXTS, ratio, 0.0).astype(np.float32)
-    index = np.arange(len(y))
-    half, rest = index[index % 2 == 0], index[index % 2 == 1]
-    model.weight = odds(half)
-    x = model.statistics([texts[i] for i in rest])
-    line, t = np.zeros(x.shape[1]), y[rest]
-    for _ in range(50):                                   # Newton steps of a ridge regression
+def bucket_counts(rows: DataFrame, model: Model) -> np.ndarray:
+    """(half, label, bucket) counts of the sample's texts that have a bucket; the last bucket counts all."""
+    def run(batches):
+        for b in batches:
+            texts = [t.as_py() or b"" for t in b.column("text").cast(pa.binary())]
+            total: dict[tuple, np.ndarray] = {}
+            for half, y, clean in zip(b.column("half").to_pylist(), b.column("y").to_pylist(), model.restored(texts)):
+                at = np.append(np.unique(features([clean])[1]), 1 << BITS)
+                total.setdefault((half, y), np.zeros((1 << BITS) + 1, np.int64))[at] += 1
+            for (half, y), n in total.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), half, np.int32)), pa.array(np.full(len(at), y, np.int32)), pa.array(at), pa.array(n[at])],
+                    ["half", "y", "bucket", "n"])
+    sums = rows.select("text", "half", "y").mapInArrow(run, "half int, y int, bucket long, n long") \
+        .groupBy("half", "y", "bucket").agg(F.sum("n").alias("n")).toArrow()        # four counts a bucket at most
+    out = np.zeros((2, 2, (1 << BITS) + 1), np.int64)
+    out[tuple(sums.column(c).to_numpy() for c in ("half", "y", "bucket"))] = sums.column("n").to_numpy()
+    return out
+
+
+def log_odds(counts: np.ndarray) -> np.ndarray:
+    """Smoothed log-odds of each bucket from (label, bucket) counts."""
+    (neg, pos), (b, a) = counts[:, :-1], np.maximum(counts[:, -1], 1)
+    ratio = np.log((pos + 0.2) / (a + 0.4)) - np.log((neg + 0.2) / (b + 0.4))
+    return np.where(pos + neg >= MIN_TEXTS, ratio, 0.0).astype(np.float32)
+
+
+def sample_statistics(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and labels of the texts of the second half, ordered so that any order of tasks gives one model."""
+    def run(batches):
+        for b in batches:
+            x = model.statistics([t.as_py() or b"" for t in b.column("text").cast(pa.binary())])
+            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "x"])
+    got = rows.filter("half = 1").select("text", "y").mapInArrow(run, "y int, x binary").collect()   # a few numbers a text
+    got.sort(key=lambda r: (r["y"], bytes(r["x"])))
+    return np.array([np.frombuffer(bytes(r["x"])) for r in got]), np.array([r["y"] for r in got])
+
+
+def calibrated(x: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Newton steps of a ridge regression of the labels on the statistics."""
+    line = np.zeros(x.shape[1])
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ line, -30, 30)))
         g = x.T @ (p - t) + 0.05 * line
         h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 0.05 * np.eye(len(line))
@@ -268,16 +289,23 @@ def fit(lm: np.ndarray, texts: list[bytes], labels: np.ndarray) -> Model:
         line -= step
         if np.abs(step).max() < 1e-6:
             break
-    model.line = line
-    model.weight = odds(index)
-    return model
+    return line
 
 
 def train(docs: DataFrame, id_col: Column, text_col: Column, labels: DataFrame, label: Column,
           sample: int = SAMPLE) -> Model:
-    lm = language_model(docs, text_col)
-    short = docs.filter(F.char_length(text_col) <= SAMPLE_CHARS)
-    rows = training_rows(short, id_col, text_col, labels, label, sample)
-    got = [(bytes(r["text"] or b""), r["y"]) for r in rows.select(F.col("text").cast("binary"), "y").collect()]
-    got.sort(key=lambda r: (zlib.crc32(r[0]), r))         # any order of tasks gives one model
-    return fit(lm, [t for t, _ in got], np.array([y for _, y in got]))
+    """Log-odds from one half of the sample, calibration on the other, then log-odds from all."""
+    model = Model(language_model(docs, text_col))
+    rows = training_rows(docs, id_col, text_col, labels, label, sample) \
+        .withColumn("half", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(2)).cast("int")) \
+        .withColumn("y", (F.col("y") > 0).cast("int"))
+    counts = bucket_counts(rows, model)
+    texts = counts[:, :, -1]                                   # by half and label
+    if not texts.sum(0).all():
+        model.constant = float(texts[:, 1].sum() / texts.sum()) if texts.any() else 0.0
+        return model
+    model.weight = log_odds(counts[0])
+    x, t = sample_statistics(rows, model)
+    model.line = calibrated(x, t) if len(x) else np.zeros(9)
+    model.weight = log_odds(counts.sum(0))
+    return model
