@@ -43,7 +43,7 @@ BUCKETS = 256                                  # of the last word, inside the cl
 CLASSES, ROWS = 32, 1 << 15                    # the last class holds the rare words; hashed feature rows
 ROUNDS, BATCH, RATE, DECAY = 2, 16384, 0.15, 1e-6
 TASK_TOKENS = 1 << 21                          # training tokens that are worth a set of weights
-SLICE_BYTES = 1 << 22                          # of texts split at once
+SLICE_BYTES = 1 << 21                          # of texts split at once
 END = b"\n"                                    # no word holds white space
 _BLOCK_ROWS = 256
 _SALT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -60,6 +60,7 @@ def slices(texts: pa.Array, size: int | None = None):
         to = max(at + 1, int(np.searchsorted(ends, start + size, "right")))
         yield at, texts.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
