@@ -35,3 +35,13 @@ def test_find_column_schema_order():
     assert find_column(cols, "count", "total") == "county"   # the documented trap
     assert find_column(cols, "type", "offence") == "offence_type"
     assert find_column(cols, "legislat") is None
+
+
+def test_names_of_a_table_of_headers(spark):
+    from pyspark.sql import functions as F
+    from wideloom.operators.columns import name_collisions, normalise_name, normalised
+    names = ["A B", "A-B", "a.b", " x ", "x/y (z)", "()", "--", "__a__", "Ä ö", "tab\tkept", "50%"]
+    df = spark.createDataFrame([(i % 2, n) for i, n in enumerate(names)], "file int, name string")
+    assert [r.n for r in df.select(normalised(F.col("name")).alias("n")).collect()] == [normalise_name(n) for n in names]
+    got = {(r.file, r.normalised): r.headers for r in name_collisions(df, ["file"], "name").collect()}
+    assert got == {(0, "a_b"): ["A B", "a.b"], (1, ""): ["()"], (0, ""): ["--"]}

@@ -88,11 +88,11 @@ def test_try_parse_month(spark):
 
 
 def test_as_date_accepts_date_timestamp_text(spark):
-    from wideloom.functions.dates import as_date, month_of_year
+    from wideloom.functions.dates import as_date
     df = spark.createDataFrame([("2024-03-05",)], "s string").selectExpr(
         "s", "to_date(s) AS d", "to_timestamp(concat(s, ' 10:11:12')) AS t",
         "concat(s, 'T10:11:12') AS iso")
-    r = df.select(*[as_date(c).alias(c) for c in df.columns], month_of_year("t").alias("m")).first()
+    r = df.select(*[as_date(c).alias(c) for c in df.columns], F.month(as_date("t")).alias("m")).first()
     assert {str(r.s), str(r.d), str(r.t), str(r.iso)} == {"2024-03-05"} and r.m == 3
 
 

@@ -20,11 +20,6 @@ def try_parse_month(c: Column | str) -> Column:
     return F.try_to_date(_c(c), "yyyyMM")
 
 
-def month_of_year(c: Column | str) -> Column:
-    """month number 1-12 of a date, timestamp or ISO text."""
-    return F.month(as_date(c))
-
-
 def days_in_month(c: Column | str) -> Column:
     """number of days in the month of ``c``."""
     return F.day(F.last_day(as_date(c)))

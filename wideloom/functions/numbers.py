@@ -1,4 +1,4 @@
-"""Number scalars: integer coercion (F11), humanised labels (F12-F14), defaults."""
+"""Number scalars: humanised labels (F12-F14), defaults."""
 
 from __future__ import annotations
 
@@ -10,11 +10,6 @@ def _c(c: Column | str) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
-def as_bigint(c: Column | str) -> Column:
-    """totals are always 64-bit integers."""
-    return _c(c).cast("bigint")
-
-
 def _plain(n: Column) -> Column:
     # Whole numbers print without a fraction, as String(n) does for integers.
     return F.when(n == F.floor(n), F.floor(n).cast("bigint").cast("string")).otherwise(n.cast("string"))

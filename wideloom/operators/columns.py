@@ -1,5 +1,5 @@
 """Column-name operators: normalise (N1), collision check (N2), fuzzy resolve (N4),
-provenance and typed-null columns (N9, N10).
+provenance column (N10).
 
 Names are schema metadata, so these run on the driver over ``df.columns`` and end in one
 ``toDF``/``select``; no rows move.
@@ -35,6 +35,22 @@ def normalise_name(name: str) -> str:
     return out.strip("_")
 
 
+def normalised(c: Column) -> Column:
+    """N1 over a table of header names: :func:`normalise_name` as a column."""
+    out = F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
+    out = F.regexp_replace(out, "[" + re.escape("".join(UNDERSCORED)) + "]", "_")
+    out = F.regexp_replace(F.regexp_replace(out, "[" + re.escape("".join(REMOVED)) + "]", ""), "_{2,}", "_")
+    return F.regexp_replace(out, "^_+|_+$", "")
+
+
+def name_collisions(headers: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """N2 over the headers of many files at once, before any is read: for each file (``by``) the
+    normalised names that are empty or that several different headers come to, with these headers."""
+    return headers.groupBy(*by, normalised(F.col(name)).alias("normalised")) \
+        .agg(F.array_sort(F.collect_set(name)).alias("headers")) \
+        .filter((F.size("headers") > 1) | (F.col("normalised") == ""))
+
+
 def unique_names(names: Sequence[str]) -> list[str]:
     """Header names with repeats (case aside) marked by their position: ``a, A`` -> ``a, A_2``."""
     taken, out = {n.casefold() for n in names}, []
@@ -76,11 +92,6 @@ def find_column(df: DataFrame | Sequence[str], *needles: str) -> str | None:
     return None
 
 
-def typed_null(name: str, dtype: T.DataType) -> Column:
-    """A null column of a given type."""
-    return F.lit(None).cast(dtype).alias(name)
-
-
 def with_provenance(df: DataFrame, name: str, value: str | None = None) -> DataFrame:
     """A literal provenance column (sheet name); without a value, the input file path."""
     col = F.lit(value) if value is not None else F.col("_metadata.file_path")

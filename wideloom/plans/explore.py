@@ -1,6 +1,7 @@
 """The exploration notebook's tables (Q8-Q21) from a catalog, in one session.
 
-The borough table is read once and its long form persisted for the three analyses that use it;
+The borough table is read once and its long form persisted for the three analyses that use it, until
+the tables are closed (``with explore(catalog) as tables: ...``);
 datasets missing from the catalog are skipped (their entries are absent), and the fuzzy column
 resolvers skip a chart when no column matches, as the notebook does. Every value is a lazy
 DataFrame; nothing is collected here.
@@ -23,10 +24,24 @@ VAWG_TYPE_NEEDLES = ("type", "offence", "category")
 VAWG_COUNT_NEEDLES = ("count", "total", "offences")
 
 
+class Tables(dict):
+    """Name -> DataFrame; ``close`` (or the end of a ``with`` block) releases what is persisted."""
+
+    def close(self) -> None:
+        if "long" in self:
+            self["long"].unpersist()
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
 def explore(catalog: Catalog, *, dashboard_count: str = "count_of_incidents",
-            dashboard_month: str = "month_year") -> dict[str, DataFrame]:
+            dashboard_month: str = "month_year") -> Tables:
     """Name -> DataFrame for every table the notebook shows."""
-    out: dict[str, DataFrame] = {}
+    out = Tables()
     if catalog.exists("recorded-crime-borough"):
         long = A.wide_to_long(catalog.recorded_crime_borough()).persist(StorageLevel.MEMORY_AND_DISK)
         out["long"] = long                                                       # Q8

@@ -12,12 +12,12 @@ from ..functions.numbers import axis_label, humanise
 from ..functions.text import title_case
 from ..operators import links as L
 from ..operators import manifest as M
-from ..operators.columns import coalesce_dates, coalesce_drifted, normalise_names
+from ..operators.columns import coalesce_dates, coalesce_drifted, name_collisions, normalise_names
 from ..operators.reshape import horizontal_sum, month_columns
 from ..operators.sniff import sniff
 from ..operators.union import dedupe, dedupe_by_digest, reconcile_union
 from ..session import scratch_dir
-from ..sources.csv import parse_csv
+from ..sources.csv import parse_csv, resource_kind
 from ..sources.sheets import CELL_GRID_SCHEMA, stack_sheets
 from . import ingest as I
 from . import shapes as S
@@ -36,6 +36,20 @@ def n01(spark, sf_dir):
     return normalise_names(S.table(spark, sf_dir, "customer").toDF(*MESSY_CUSTOMER_HEADERS))
 
 
+@register("n02_name_collisions", r"""
+WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, 'href=["'']([^"'']+)["'']', 1)) AS header FROM pages),
+n AS (SELECT page_id % 20 AS file, header, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        lower(trim(regexp_replace(header, '[^ -~]', '', 'g'))), '[ \-/.]', '_', 'g'), '[()]', '', 'g'), '_{2,}', '_', 'g'), '^_+|_+$', '', 'g') AS normalised FROM h)
+SELECT file, normalised, array_to_string(list_sort(list(DISTINCT regexp_replace(header, '[^ -~]', '', 'g'))), '|') AS headers
+FROM n GROUP BY file, normalised
+HAVING count(DISTINCT regexp_replace(header, '[^ -~]', '', 'g')) > 1 OR normalised = ''""")
+def n02(spark, sf_dir):
+    """Links of twenty shelves of pages as the headers of twenty files: names that clash once normalised."""
+    heads = L.extract_links(S.table(spark, sf_dir, "pages"), "html", keep=["page_id"], extensions=None, base=F.col("url"))
+    heads = heads.select((F.col("page_id") % 20).alias("file"), F.regexp_replace("href", "[^ -~]", "").alias("header"))
+    return name_collisions(heads, ["file"], "header").withColumn("headers", F.array_join("headers", "|"))
+
+
 # ── typing (N5) ───────────────────────────────────────────────────────────────────────────────
 
 def events_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,6 +318,33 @@ def m07b(spark, sf_dir):
     return L.extract_links(linked_pages(spark, sf_dir), "html", keep=["page_id"], base=F.col("url"))
 
 
+@register("s03_resource_kinds", rf"""
+WITH h AS (SELECT page_id, regexp_replace(html, 'href="/([^"''?#:]*)["]',
+             'href="' || ({_KINDS_SQL})[CAST(page_id % {len(LINK_KINDS)} AS INTEGER) + 1] || '"', 'g') AS html FROM pages),
+u AS (SELECT unnest(regexp_extract_all(html, 'href=["'']([^"'']+)["'']', 1)) AS href FROM h)
+SELECT CASE WHEN regexp_matches(lower(href), '\.xlsx?$') THEN 'sheets' ELSE 'csv' END AS kind, count(*) AS n FROM u GROUP BY 1""")
+def s03(spark, sf_dir):
+    """How the linked files would be read."""
+    links = L.extract_links(linked_pages(spark, sf_dir), "html", extensions=None, base=F.col("url"))
+    return links.groupBy(resource_kind(F.col("href")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("s09_dataset_pages", """
+WITH k AS (SELECT lower(regexp_replace(p_type, '[^A-Za-z]+', '-', 'g')) AS key, COUNT(*) AS n FROM part GROUP BY 1)
+SELECT key, 'https://data.example.org/dataset/' || key AS page_url, 1 AS combine_stride, '' AS resource_name_contains, n FROM k""")
+def s09(spark, sf_dir):
+    """A registry made from the kinds of parts: the defaults of what it leaves open, and its page map."""
+    from ..sources.registry import dataset_pages
+    key = F.lower(F.regexp_replace("p_type", "[^A-Za-z]+", "-"))
+    reg = S.table(spark, sf_dir, "part").groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    for name, kind in (("combine_stride", "int"), ("resource_name_contains", "string"), ("prefer_historical", "boolean"),
+                       ("combine_resources", "boolean")):
+        reg = reg.withColumn(name, F.lit(None).cast(kind))
+    reg = reg.withColumn("short_id", F.col("key"))
+    filled = M.with_defaults(reg).select("key", "combine_stride", "resource_name_contains")
+    return filled.join(dataset_pages(reg, "https://data.example.org/dataset/"), "key").join(reg.select("key", "n"), "key")
+
+
 # The "extensions" searched for in the serialised page records.
 JSON_URL_ENDINGS = (".net", "/en")
 

@@ -24,8 +24,9 @@ META_DATASETS = (("stop_search", "stop-search"), ("vawg_offences", "vawg-offence
                  ("homicide", "homicide"), ("thorough_searches", "thorough-searches"))
 
 
-def build_documents(spark: SparkSession, catalog: Catalog) -> dict[str, DataFrame]:
-    borough = catalog.recorded_crime_borough().persist(StorageLevel.MEMORY_AND_DISK)
+def build_documents(spark: SparkSession, catalog: Catalog, borough: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The documents by name; ``borough`` is the wide borough table, if it is kept somewhere already."""
+    borough = catalog.recorded_crime_borough() if borough is None else borough
     docs = {
         "monthly_totals.json": chart_payload(A.monthly_totals(borough), "month", "total",
                                              order=["month"]),
@@ -62,8 +63,8 @@ def meta_document(meta: DataFrame, order: tuple[str, ...] = tuple(n for n, _ in
 
 
 def build_site(spark: SparkSession, catalog: Catalog, out_dir: str) -> dict[str, str]:
-    docs = build_documents(spark, catalog)
+    borough = catalog.recorded_crime_borough().persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return write_documents(spark, docs, out_dir)
+        return write_documents(spark, build_documents(spark, catalog, borough), out_dir)
     finally:
-        catalog.recorded_crime_borough().unpersist()
+        borough.unpersist()

@@ -23,10 +23,11 @@ import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import ends_with_any
 from ..operators.columns import unique_names
 from ..operators.sniff import TypeDecision, sniff
 from .records import leaves_open, records
@@ -146,3 +147,8 @@ def parse_csv(spark: SparkSession, path: str | Sequence[str], *, encoding: str |
 def is_excel(url: str) -> bool:
     """S3: spreadsheet by extension (case-insensitive); anything else is read as CSV."""
     return url.lower().endswith(EXCEL_EXTENSIONS)
+
+
+def resource_kind(url: Column) -> Column:
+    """S3 over a manifest: ``sheets`` or ``csv``, as :func:`is_excel` tells them apart; null for no URL."""
+    return F.when(url.isNotNull(), F.when(ends_with_any(url, EXCEL_EXTENSIONS), F.lit("sheets")).otherwise(F.lit("csv")))
