@@ -61,7 +61,7 @@ def tokens(host_col: Column, path_col: Column) -> Column:
         F.lit("h:"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - i + 1, F.lit(1)), i), ".")))
     parts = F.filter(F.split(path_col, "/"), lambda x: x != "")
     segments = F.transform(parts, lambda x, i: F.concat(
-        F.lit("p"), F.least(i, F.lit(9)).cast("string"), F.lit(":"),
+        F.lit("p"), i.cast("string"), F.lit(":"),
         F.when(x.rlike("^[0-9]+$"), F.lit("#")).otherwise(x)))
     return F.array_distinct(F.concat(F.when(host_col == "", F.array().cast("array<string>")).otherwise(suffixes),
                                      segments))
