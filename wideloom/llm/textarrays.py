@@ -79,9 +79,3 @@ def hashes(data: np.ndarray, start: np.ndarray, ends: list[np.ndarray]) -> list[
             h *= np.uint64(0xBF58476D1CE4E5B9)
             out.append(h ^ (h >> np.uint64(32)))
     return out
-
-
-def held_out(ids) -> np.ndarray:
-    """crc32 of the id as text modulo 3 is 1; a null id counts as empty text."""
-    import zlib
-    return np.array([zlib.crc32(("" if i is None else str(i)).encode()) % 3 == 1 for i in ids], bool)
