@@ -168,7 +168,7 @@ def solve(parts: list[np.ndarray], low: int, high: int) -> tuple[np.ndarray, ...
 
 
 def _repeats_exactly(codes, starts, period: int) -> np.ndarray:
-    """As ``_repeats_shorter``, word by word."""
+    """Whether the ``period`` words from each start on are a shorter word several times over, word by word."""
     shifts = [d for d in range(1, period) if period % d == 0]
     return np.array([any((codes[s:s + period - d] == codes[s + d:s + period]).all() for d in shifts)
                      for s in starts], bool)
