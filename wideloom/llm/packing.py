@@ -28,7 +28,8 @@ from .common import Scratch
 SEQUENCE = 2048
 END_ID = 0
 BUCKET_ROWS = 4096
-CACHE_WORDS = 500_000              # chunks whose ids a worker remembers
+CACHE_WORDS = 400_000              # chunks whose ids a worker remembers
+CACHE_PIECES = 150_000             # letters and punctuation by themselves, likewise
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -52,10 +53,6 @@ class _Ids(dict):
         self.direct = "Lowercase" in kinds and "ByteLevel" in kinds and "NFC" in kinds
         self.pieces: dict[bytes, bytes] = {}               # of letters in lower case, and of punctuation
 
-    def clear(self) -> None:
-        super().clear()
-        self.pieces.clear()
-
     def _piece(self, raw: bytes) -> bytes:
         ids = self.pieces.get(raw)
         if ids is None:
@@ -98,6 +95,8 @@ def encode(text: bytes | None, path: str) -> bytes:
     out = b"".join(map(ids.__getitem__, (text or b"").split()))
     if len(ids) > CACHE_WORDS:
         ids.clear()
+    if len(ids.pieces) > CACHE_PIECES:
+        ids.pieces.clear()
     return out
 
 
