@@ -53,6 +53,10 @@ class _Ids(dict):
         self.direct = "Lowercase" in kinds and "ByteLevel" in kinds and "NFC" in kinds
         self.pieces: dict[bytes, bytes] = {}               # of letters in lower case, and of punctuation
 
+    def forget(self) -> None:
+        self.clear()
+        self.pieces.clear()
+
     def _piece(self, raw: bytes) -> bytes:
         ids = self.pieces.get(raw)
         if ids is None:
@@ -122,6 +126,7 @@ def pieces(docs: DataFrame, id_col: Column, text_col: Column, tokenizer: str,
             data = [pa.array(c, t) for c, t in zip(cols, kinds)][:4 + with_ids]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array(at, pa.int64())), *data], names)
+        _ids(tokenizer).forget()                           # the worker goes on to other work
     return src.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
                           + ", ids binary" * with_ids)
 
