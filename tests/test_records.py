@@ -1,5 +1,7 @@
 """Quoted line breaks read by many tasks, against the reader that gives a file to one task."""
 
+import csv
+import io
 import random
 
 import pytest
@@ -85,3 +87,69 @@ def test_names_that_differ_in_case_are_one_column(spark, tmp_dir):
             f.write(data)
     df, _ = parse_csv(spark, d)
     assert df.columns == ["Name", "n"] and sorted(map(tuple, df.collect())) == [("x", 1), ("y", 2)]
+
+
+def shuffled_rows(plan):
+    """Rows written by the exchanges of an executed plan."""
+    kind, stage = plan.getClass().getSimpleName(), 0
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_rows(plan.plan())
+    if kind == "ShuffleExchangeExec":
+        stage = plan.metrics().apply("shuffleRecordsWritten").value()
+    children = plan.children()
+    return stage + sum(shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+def read_with(spark, block, batch, path):
+    """Records of a file, cut in blocks and batches of a size, as their fields."""
+    conf = {"spark.sql.files.maxPartitionBytes": block, "spark.sql.execution.arrow.maxRecordsPerBatch": batch}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = [r.record for r in R.records(spark, [path], "UTF-8").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return sorted(next(csv.reader(io.StringIO(r, newline=""))) for r in got)
+
+
+def test_text_moves_only_at_the_ends_of_blocks(spark, tmp_dir):
+    path = f"{tmp_dir}/long.csv"
+    with open(path, "w") as f:
+        f.write("n,t\n" + "".join(f'{i},"line one of {i}\nline ""two""\nline three"\n' for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = R.records(spark, [path], "UTF-8")
+        assert len(df.collect()) == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert shuffled_rows(df._jdf.queryExecution().executedPlan()) < 300          # 9000 lines in about 5 blocks
+
+
+@pytest.mark.parametrize("rows", ['7,"text\n","en"\n', "7,plain,en\n", '7,"a\n\n\n\n",en\n', '7,"a\n",en\n7,"b",x\n', '7,"x ""y""\n\n"",z\n","\n"\n'])
+@pytest.mark.parametrize("block,batch,part", [("61", "3", 9), ("1k", "10000", 16 << 20)])
+def test_blocks_that_never_meet_and_records_over_blocks(spark, tmp_dir, monkeypatch, rows, block, batch, part):
+    monkeypatch.setattr(R, "PART_BYTES", part)
+    path = f"{tmp_dir}/r.csv"
+    with open(path, "w") as f:
+        f.write('\n  \n"head\n\ner",t,u\n' + rows * 12 + '8,"' + "long\n" * 60 + '",z\n' + rows * 12 + '9,"open\n')
+    with open(path, newline="") as f:
+        want = [r for r in csv.reader(f) if r and r != ["  "]][1:]
+    want[-1][-1] = want[-1][-1].rstrip("\n")                # the last line break is the file's
+    assert read_with(spark, block, batch, path) == sorted(want)
+
+
+def test_small_files_of_one_task_and_blank_files(spark, tmp_dir):
+    import os
+    d = f"{tmp_dir}/many"
+    os.mkdir(d)
+    for i in range(6):
+        with open(f"{d}/{i}.csv", "w") as f:
+            f.write("\n\n" if i == 3 else 'n,t\n' + f'{i},"two\nlines"\n' * i)
+    files = [f"{d}/{i}.csv" for i in range(6)]
+    got = sorted(r.record for r in R.records(spark, files, "UTF-8").collect())
+    assert got == sorted(f'{i},"two\nlines"' for i in (1, 2, 4, 5) for _ in range(i))
